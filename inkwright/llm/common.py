@@ -74,27 +74,47 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of all texts, A-Z lower-cased, and how many words each text has.
+def _scan(texts: list[bytes], white: np.ndarray):
+    """Starts and ends of the words of the joined texts, how many each text has, and a span hash.
 
-    One polynomial hash runs over the joined bytes; a word's hash is a difference of prefix
-    sums, so no Python code runs per word.
+    One polynomial hash runs over the joined bytes; the hash of a span is a difference of its
+    prefix sums, so no Python code runs per word.
     """
-    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    data = _LOWER[data]
-    white = _WHITE[data]
-    edge = np.flatnonzero(white[1:] != white[:-1]) + 1
-    starts = edge[white[edge - 1]]
-    if len(white) and not white[0]:
+    data = _LOWER[np.frombuffer(b" ".join(texts) + b" ", np.uint8)]
+    gap = white[data]
+    edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
+    starts = edge[gap[edge - 1]]
+    if len(gap) and not gap[0]:
         starts = np.concatenate(([0], starts))
-    ends = edge[~white[edge - 1]]
+    ends = edge[~gap[edge - 1]]
     power, inverse = _powers(len(data))
     prefix = np.cumsum((data.astype(_U64) + _U64(1)) * power, dtype=_U64)
-    before = np.where(starts > 0, prefix[starts - 1], _U64(0))
-    hashes = mix((prefix[ends - 1] - before) * inverse[starts] + (ends - starts).astype(_U64))
+
+    def span(first: np.ndarray, after: np.ndarray) -> np.ndarray:
+        before = np.where(first > 0, prefix[first - 1], _U64(0))
+        return mix((prefix[after - 1] - before) * inverse[first] + (after - first).astype(_U64))
+
     limits = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
-    upto = np.searchsorted(starts, limits)
-    return hashes, np.diff(upto, prepend=0)
+    return starts, ends, np.diff(np.searchsorted(starts, limits), prepend=0), span
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, A-Z lower-cased, and how many words each text has."""
+    starts, ends, counts, span = _scan(texts, _WHITE)
+    return span(starts, ends), counts
+
+
+_NOT_LETTER = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
+
+
+def stem_hashes(texts: list[bytes], prefixes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of words (runs of letters and digits) and of their first bytes, a column each, and words per text.
+
+    A word no longer than a prefix repeats its own hash in that column.
+    """
+    starts, ends, counts, span = _scan(texts, _NOT_LETTER)
+    columns = [span(starts, ends), *(span(starts, np.minimum(starts + n, ends)) for n in prefixes)]
+    return np.stack(columns, axis=1) if len(starts) else np.zeros((0, 1 + len(prefixes)), _U64), counts
 
 
 def batches_by_bytes(lengths: np.ndarray, most: int):
