@@ -74,26 +74,109 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def spans(values: np.ndarray):
+    """A function that hashes spans (first, after) of the values, bytes or code points, to 64 bits."""
+    power, inverse = _powers(len(values))
+    prefix = np.zeros(len(values) + 1, _U64)
+    np.cumsum((values.astype(_U64) + _U64(1)) * power, dtype=_U64, out=prefix[1:])
+
+    def span(first: np.ndarray, after: np.ndarray) -> np.ndarray:
+        return mix((prefix[after] - prefix[first]) * inverse[first] + (after - first).astype(_U64))
+
+    return span
+
+
+def code_points(texts: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
+
+
+class IdTable:
+    """Token ids by 64-bit hash: an open-addressed table over one array of ids, for one worker.
+
+    It holds at most `most` entries; when that is exceeded it starts afresh.
+    """
+
+    def __init__(self, most: int = 1_200_000, bits: int = 22):
+        self.most, self.bits = most, bits
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys = np.zeros(1 << self.bits, _U64)
+        self.place = np.zeros(1 << self.bits, np.int32)
+        self.start, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
+        self.ids = np.zeros(1 << 18, np.int32)
+        self.count = self.used = 0
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The entry of each hash, -1 where there is none."""
+        out = np.full(len(hashes), -1, np.int32)
+        todo = np.arange(len(hashes))
+        at = (hashes >> _U64(64 - self.bits)).astype(np.int64)
+        while len(todo):
+            key = self.keys[at]
+            hit = key == hashes[todo]
+            out[todo[hit]] = self.place[at[hit]]
+            on = ~hit & (key != 0)
+            todo, at = todo[on], at[on] + 1 & (1 << self.bits) - 1
+        return out
+
+    def add(self, hashes: np.ndarray, coded: list[bytes]) -> None:
+        """Add distinct, absent hashes with their ids (little-endian int32)."""
+        n, flat = len(hashes), np.frombuffer(b"".join(coded), "<i4")
+        while self.count + n > len(self.start):
+            self.start, self.size = np.concatenate((self.start, np.zeros_like(self.start))), np.concatenate((self.size, np.zeros_like(self.size)))
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+        sizes = np.fromiter(map(len, coded), np.int64, n) // 4
+        self.ids[self.used : self.used + len(flat)] = flat
+        self.start[self.count : self.count + n] = self.used + np.cumsum(sizes) - sizes
+        self.size[self.count : self.count + n] = sizes
+        todo, at = np.arange(n), (hashes >> _U64(64 - self.bits)).astype(np.int64)
+        while len(todo):
+            free = np.flatnonzero(self.keys[at] == 0)
+            slot, first = np.unique(at[free], return_index=True)
+            won = free[first]
+            self.keys[slot], self.place[slot] = hashes[todo[won]], self.count + todo[won]
+            rest = np.ones(len(todo), bool)
+            rest[won] = False
+            todo, at = todo[rest], at[rest]
+            at = np.where(self.keys[at] != 0, at + 1 & (1 << self.bits) - 1, at)
+        self.count += n
+        self.used += len(flat)
+
+    def resolve(self, hashes: np.ndarray, code) -> np.ndarray:
+        """Entries of all hashes; `code` makes the ids of the rows, given as indices, whose hash is new."""
+        if self.count > self.most:
+            self.clear()
+        found = self.find(hashes)
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            fresh, first = np.unique(hashes[new], return_index=True)
+            self.add(fresh, code(new[first]))
+            found[new] = self.find(hashes[new])
+        return found
+
+    def gather(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all entries in a row, and how many each has."""
+        sizes = self.size[entries].astype(np.int64)
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.start[entries] - (ends - sizes), sizes)
+        return self.ids[at + np.arange(len(at))], sizes
+
+
 def _scan(texts: list[bytes], white: np.ndarray):
     """Starts and ends of the words of the joined texts, how many each text has, and a span hash.
 
-    One polynomial hash runs over the joined bytes; the hash of a span is a difference of its
-    prefix sums, so no Python code runs per word.
+    The hash of a span is a difference of prefix sums of one polynomial hash, so no Python code runs per word.
     """
     data = _LOWER[np.frombuffer(b" ".join(texts) + b" ", np.uint8)]
+    span = spans(data)
     gap = white[data]
     edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
     starts = edge[gap[edge - 1]]
     if len(gap) and not gap[0]:
         starts = np.concatenate(([0], starts))
     ends = edge[~gap[edge - 1]]
-    power, inverse = _powers(len(data))
-    prefix = np.cumsum((data.astype(_U64) + _U64(1)) * power, dtype=_U64)
-
-    def span(first: np.ndarray, after: np.ndarray) -> np.ndarray:
-        before = np.where(first > 0, prefix[first - 1], _U64(0))
-        return mix((prefix[after - 1] - before) * inverse[first] + (after - first).astype(_U64))
-
     limits = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
     return starts, ends, np.diff(np.searchsorted(starts, limits), prepend=0), span
 

@@ -40,13 +40,12 @@ def shingle_hashes(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, n
         full[:m] = mix(acc)
     owner = np.repeat(np.arange(len(counts)), counts)
     inside = np.arange(n) + SHINGLE_WORDS <= ends[owner] if n else np.zeros(0, bool)
-    short = np.flatnonzero((counts > 0) & (counts < SHINGLE_WORDS))
-    for k in short:
-        acc = _U64(int(counts[k]))
-        for w in words[begins[k] : ends[k]]:
-            acc = mix(np.atleast_1d(acc * _U64(0xD6E8FEB86659FD93) + w))[0]
-        full[begins[k]] = acc
-        inside[begins[k]] = True
+    for few in range(1, SHINGLE_WORDS):
+        at = begins[counts == few]
+        acc = np.full(len(at), few, _U64)
+        for k in range(few):
+            acc = mix(acc * _U64(0xD6E8FEB86659FD93) + words[at + k])
+        full[at], inside[at] = acc, True
     return full[inside], np.bincount(owner[inside], minlength=len(counts))
 
 
@@ -238,7 +237,7 @@ def near_duplicates(docs: DataFrame, per_cent: int = 85, miss: float = 1e-6, see
     fan = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
     rest = rest.select("band", "b", "grp", "sig", "part", fan).select("band", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "b", "grp", "sig", "part")
 
-    def compare(key, table: pa.Table) -> pa.Table:
+    def compare(key, table):
         band, x, y = (k.as_py() for k in key)
         ids, grp, sig = table.column("b").to_numpy(), table.column("grp").to_numpy(), _matrix(table.column("sig"))
         part = table.column("part").to_numpy()

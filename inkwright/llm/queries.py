@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwright.llm import chat, embed_dedup, packing, topk
+from inkwright.llm import chat, dropout_bpe, embed_dedup, html, minhash, packing, quality, topk, toxicity
 from inkwright.llm.common import table
 
 
@@ -31,6 +31,10 @@ FROM said JOIN people USING (conv_id)
 """
 
 
+def op2_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), packing.default_tokenizer())
 
@@ -59,11 +63,32 @@ WHERE rank <= 5
 """
 
 
+def op7_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dropout_bpe.encode_documents(table(spark, sf_dir, "documents"), dropout_bpe.default_model())
+
+
+def op8_toxicity_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.severity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_perspectives": op1_chat_perspectives,
+    "op2_html_main_text": op2_html_main_text,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_exact_top_k": op6_exact_top_k,
+    "op7_merge_dropout": op7_merge_dropout,
+    "op8_toxicity_severity": op8_toxicity_severity,
+    "op9_quality_resampling": op9_quality_resampling,
+    "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
 ORACLES: dict[str, str] = {"op1_chat_perspectives": OP1_SQL, "op6_exact_top_k": OP6_SQL}

@@ -12,11 +12,21 @@ from pyspark.sql import functions as F
 from inkwright.llm.common import batches_by_bytes, stem_hashes, utf8_rows
 from inkwright.llm.quality import labelled_sample
 
-PREFIXES = (4, 5, 6)
+#: Bytes of a word's beginning that are features besides the whole word: inflected forms share their stem.
+PREFIXES = (4, 5, 6, 7, 8)
 _U64 = np.uint64
 _SCORES = "doc_id long, severity double, toxic_probability double, grade int"
 
 
+#: Features are stems whose log odds in toxic documents exceed this.
+LEAST_ODDS = 2.0
+
+
+def feature_values(times: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """A feature's value from its count and the number of words: a stem by chance in a long text weighs little."""
+    return np.log1p(times * 100 / np.maximum(words, 20))
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
@@ -31,7 +41,7 @@ class OrdinalModel:
     sieve: np.ndarray  # which of 2**20 hash values some feature has
 
     def counts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, feature, log1p of its count) for the model's features."""
+        """(text, feature, value) for the model's features."""
         hashes, words = stem_hashes(texts, PREFIXES)
         owner = np.repeat(np.arange(len(texts)), words)
         row, column = np.nonzero(self.sieve[hashes & _U64((1 << 20) - 1)])
@@ -41,7 +51,7 @@ class OrdinalModel:
         # a word no longer than a prefix shows its hash in several columns: counted once a word
         cell, _ = np.unique(np.stack((row[same], at[same])), axis=1, return_counts=True)
         pair, times = np.unique(np.stack((owner[cell[0]], cell[1])), axis=1, return_counts=True)
-        return pair[0], pair[1], np.log1p(times)
+        return pair[0], pair[1], feature_values(times, words[pair[0]])
 
     def severity(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Expected grade and P(grade >= 1) of each text."""
@@ -120,38 +130,41 @@ def fit(docs: DataFrame, labels: DataFrame, most_labels: int = 6000, most_featur
     rows = _sample_features(docs, sample).collect()
     rows = list({r["doc_id"]: r for r in sorted(rows, key=lambda r: (r["doc_id"], r["hashes"]))}.values())
     toxic = np.asarray([sample[r["doc_id"]] == 1 for r in rows], bool)
+    return fit_rows([np.frombuffer(r["hashes"], _U64) for r in rows], [np.frombuffer(r["times"], np.int32) for r in rows], np.asarray([r["words"] for r in rows]), toxic, most_features, least_docs, grades)
+
+
+def fit_rows(hashes: list[np.ndarray], times: list[np.ndarray], words: np.ndarray, toxic: np.ndarray, most_features: int = 4096, least_docs: int = 4, grades: int = 4) -> OrdinalModel:
+    """A model of documents given as distinct stem hashes with counts, their numbers of words, and toxic or not."""
     none = OrdinalModel(np.zeros(0, _U64), np.zeros(0), np.full(grades - 1, 60.0), np.zeros(1 << 20, bool))
+    n = len(toxic)
     if not toxic.any() or toxic.all():
         return none
-    hashes = [np.frombuffer(r["hashes"], _U64) for r in rows]
-    times = [np.frombuffer(r["times"], np.int32) for r in rows]
-    owner = np.repeat(np.arange(len(rows)), [len(h) for h in hashes])
-    flat = np.concatenate(hashes)
+    owner = np.repeat(np.arange(n), [len(h) for h in hashes])
+    flat, count = np.concatenate(hashes), np.concatenate(times)
     in_toxic, df1 = np.unique(flat[toxic[owner]], return_counts=True)
-    enough = df1 >= least_docs
-    candidates, df1 = in_toxic[enough], df1[enough]
+    candidates, df1 = in_toxic[df1 >= least_docs], df1[df1 >= least_docs]
     if not len(candidates):
         return none
     at = np.minimum(np.searchsorted(candidates, flat), len(candidates) - 1)
     known = candidates[at] == flat
     df0 = np.bincount(at[known & ~toxic[owner]], minlength=len(candidates))
-    n1, n0 = toxic.sum(), (~toxic).sum()
+    n1, n0 = int(toxic.sum()), int((~toxic).sum())
     odds = np.log((df1 + 0.5) / (n1 - df1 + 0.5)) - np.log((df0 + 0.5) / (n0 - df0 + 0.5))
     z = odds / np.sqrt(1 / (df1 + 0.5) + 1 / (df0 + 0.5))
-    chosen = np.sort(np.argsort(-z, kind="stable")[:most_features])
-    chosen = chosen[(z[chosen] > 3) & (odds[chosen] > 2)]
+    chosen = np.argsort(-z, kind="stable")[:most_features]
+    chosen = np.sort(chosen[(z[chosen] > 3) & (odds[chosen] > LEAST_ODDS)])
     if not len(chosen):
         return none
     features = candidates[chosen]
     at = np.minimum(np.searchsorted(features, flat), len(features) - 1)
     known = features[at] == flat
-    r, c, v = owner[known], at[known], np.concatenate(times)[known]
-    rate = np.bincount(r, v, len(rows)) / np.maximum(1, [row["words"] for row in rows])
-    grade = np.zeros(len(rows), int)
+    r, c, v = owner[known], at[known], count[known]
+    rate = np.bincount(r, v, n) / np.maximum(1, words)
+    grade = np.zeros(n, int)
     order = np.argsort(np.argsort(rate[toxic], kind="stable"), kind="stable")
-    grade[toxic] = 1 + order * (grades - 1) // int(n1)
-    balance = np.where(toxic, len(rows) / (2 * n1), len(rows) / (2 * n0))
-    weights, thresholds = fit_cumulative_link(r, c, np.log1p(v), grade, len(features), grades, balance)
+    grade[toxic] = 1 + order * (grades - 1) // n1
+    balance = np.where(toxic, n / (2 * n1), n / (2 * n0))
+    weights, thresholds = fit_cumulative_link(r, c, feature_values(v, words[r]), grade, len(features), grades, balance)
     sieve = np.zeros(1 << 20, bool)
     sieve[(features & _U64((1 << 20) - 1)).astype(np.int64)] = True
     return OrdinalModel(features, weights, thresholds, sieve)
