@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwright.llm import chat, dropout_bpe, embed_dedup, html, minhash, packing, quality, topk, toxicity
+from inkwright.llm import chat, ctw, dropout_bpe, embed_dedup, html, minhash, packing, quality, topk, toxicity
 from inkwright.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op2_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.main_text(table(spark, sf_dir, "pages"))
 
 
+def op3_context_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), packing.default_tokenizer())
 
@@ -82,6 +86,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_perspectives": op1_chat_perspectives,
     "op2_html_main_text": op2_html_main_text,
+    "op3_context_tree_score": op3_context_tree_score,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_exact_top_k": op6_exact_top_k,
