@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from inkwright.plans import record_queries, text_queries
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return text_queries.QUERIES | record_queries.QUERIES
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return text_queries.ORACLES | record_queries.ORACLES
