@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
 import sys
 import unicodedata
 import zlib
@@ -13,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkwright.llm.common import batches_by_bytes, cut
+from inkwright.llm.common import IdTable, batches_by_bytes, code_points, cut, spans
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PACKED = _PIECES + ", sequence_id long, offset long"
@@ -22,53 +21,109 @@ _PACKED = _PIECES + ", sequence_id long, offset long"
 # ---------------------------------------------------------------- tokens
 
 
-def _char_class(kind: str, upto: int = 0x250) -> str:
-    return "".join(re.escape(chr(c)) for c in range(upto) if unicodedata.category(chr(c))[0] == kind)
+SPACE, LETTER, NUMBER, OTHER, ODD = range(5)
+
+
+def _classes() -> np.ndarray:
+    """The class of each code point below U+0250; ODD ones are left to the tokenizer, with their whole text.
+
+    ODD are controls, special spaces and letters whose lower case is two characters.
+    """
+    kinds = {"L": LETTER, "N": NUMBER}
+    out = np.full(0x251, ODD, np.uint8)
+    for c in range(0x250):
+        kind = unicodedata.category(chr(c))
+        if chr(c) in " \t\n\r":
+            out[c] = SPACE
+        elif kind not in ("Cc", "Zs") and len(chr(c).lower()) == 1:
+            out[c] = kinds.get(kind[0], OTHER)
+    return out
 
 
 class WordTokens:
-    """Token ids of whole texts as bytes (little-endian uint32), word by word with a cache.
+    """Token ids of whole texts, word by word, with a table of the words' ids.
 
-    The vocabulary splits a normalised text into words before any merge, so a text's ids are its
-    words' ids in order. For texts of common Latin characters, for which this split is stated
-    below, only unseen words go to the tokenizer; any other text goes to it whole.
+    The vocabulary's split into words, stated below, comes before any merge, so a text's ids are its words' ids in order.
+    Texts of common Latin characters are split with array operations and only unseen words
+    go to the tokenizer; any other text goes to it whole.
     """
 
-    #: Fixed values of the vocabulary file's word split: contractions, letters, one number, other marks.
-    CONTRACTIONS = r"'s|'t|'re|'ve|'m|'ll|'d"
+    #: Fixed values of the vocabulary file's word split: these contractions, else runs of letters, single numbers, runs of other marks.
+    CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 
-    def __init__(self, path: str, cache_words: int = 400_000):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        letters, numbers = _char_class("L"), _char_class("N")
-        self.split = re.compile(f"{self.CONTRACTIONS}|[{letters}]+|[{numbers}]|[^\\s{letters}{numbers}]+").findall
-        # no controls but line ends and tabs, no odd spaces, no letter whose lower case is two characters
-        self.plain = re.compile("[\\t\\n\\r -~¡-¬®-įı-ɏ]*").fullmatch
-        self.cache: dict[str, bytes] = {}
-        self.cache_words = cache_words
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
+        self.kinds = _classes()
+        self.lower = np.arange(0x251, dtype="<u4")
+        for c in np.flatnonzero(self.kinds < ODD):
+            self.lower[c] = ord(chr(c).lower())
+        self.table = IdTable()
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in encoded]
+        return [np.asarray(e.ids, "<i4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of single words, from one call: the last token of each word carries the word-end mark."""
+        ids = np.asarray(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<i4")
+        ends = np.flatnonzero(self.last[ids]) + 1 if len(ids) else ids
+        if len(ends) != len(words):
+            return self._ids(words)
+        flat, stops = ids.tobytes(), (ends * 4).tolist()
+        return [flat[i:j] for i, j in zip([0, *stops[:-1]], stops)]
+
+    def _words(self, kinds: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of the words."""
+        n = len(kinds)
+        start = (kinds != SPACE) & (kinds == NUMBER)
+        start[0] |= kinds[0] != SPACE
+        start[1:] |= (kinds[1:] != SPACE) & (kinds[1:] != kinds[:-1])
+        quotes = np.flatnonzero((low == ord("'")) & start)
+        for text in self.CONTRACTIONS:
+            at = quotes[quotes + len(text) <= n]
+            for k, c in enumerate(text[1:], 1):
+                at = at[low[at + k] == ord(c)]
+            start[at + 1] = False
+            after = at + len(text)
+            after = after[after < n]
+            start[after] |= kinds[after] == LETTER
+        edge = np.flatnonzero(start | (kinds == SPACE))
+        own = start[edge]
+        return edge[own], np.append(edge[1:], n)[own]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split, cache = self.split, self.cache
-        words: list[list[str] | None] = [split(t.lower()) if self.plain(t) and "<|" not in t else None for t in texts]
-        unseen = set()
-        for ws in words:
-            if ws:
-                unseen.update(ws)
-        unseen.difference_update(cache)
-        if len(cache) + len(unseen) > self.cache_words:
-            cache.clear()
-            unseen = {w for ws in words if ws for w in ws}
-        fresh = list(unseen)
-        cache.update(zip(fresh, self._ids(fresh)))
-        get = cache.__getitem__
-        whole = iter(self._ids([t for t, ws in zip(texts, words) if ws is None]))
-        return [next(whole) if ws is None else b"".join(map(get, ws)) for ws in words]
+        """Little-endian int32 ids of each text."""
+        points = code_points([t + " " for t in texts])
+        sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
+        ends = np.cumsum(sizes)
+        near = np.minimum(points, 0x250)
+        kinds = self.kinds[near]
+        odd = np.add.reduceat(kinds == ODD, ends - sizes) > 0 if len(texts) else np.zeros(0, bool)
+        odd |= np.fromiter(("<|" in t for t in texts), bool, len(texts))
+        if odd.any():
+            kinds = np.where(np.repeat(odd, sizes), SPACE, kinds)
+        low = self.lower[near]
+        if not len(texts):
+            return []
+        first, after = self._words(kinds, low)
+
+        def code(rows: np.ndarray) -> list[bytes]:
+            return self._word_ids([low[i:j].tobytes().decode("utf-32-le") for i, j in zip(first[rows].tolist(), after[rows].tolist())])
+
+        entries = self.table.resolve(spans(low)(first, after), code) if len(first) else np.zeros(0, np.int32)
+        flat, counts = self.table.gather(entries)
+        upto = np.append(0, np.cumsum(counts))[np.searchsorted(first, ends)] * 4
+        flat = flat.astype("<i4").tobytes()
+        out = [flat[i:j] for i, j in zip([0, *upto[:-1].tolist()], upto.tolist())]
+        whole = np.flatnonzero(odd)
+        for k, ids in zip(whole, self._ids([texts[k] for k in whole])):
+            out[k] = ids
+        return out
 
 
 _WORKER: dict[str, WordTokens] = {}
@@ -96,7 +151,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end
             ids = batch.column("doc_id").to_pylist()
             texts = batch.column("text")
             sizes = np.asarray(texts.nbytes // max(1, len(ids)) * np.ones(len(ids)))
-            for i, j in batches_by_bytes(sizes, 4 << 20):
+            for i, j in batches_by_bytes(sizes, 1 << 20):
                 rows: list[tuple] = []
                 for doc, encoded in zip(ids[i:j], tokens.encode([t or "" for t in texts.slice(i, j - i).to_pylist()])):
                     encoded += end
