@@ -58,11 +58,12 @@ def _slim(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 17, sharpness: float = 200.0, most_labels: int = 20_000, seed: int = 5) -> tuple[Resampler, dict[int, int]]:
+def fit(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 17, sharpness: float = 200.0, most_labels: int = 20_000, clip: int = 64, seed: int = 5) -> tuple[Resampler, dict[int, int]]:
     """Both generative models, counted over all documents in one scan.
 
     Raw text is every document; target text is those labelled quality 1 within a bounded sample
-    of at most `most_labels` labels. Counts of `buckets` hashed n-grams are added up in each task
+    of at most `most_labels` labels. A document counts an n-gram at most `clip` times, so that a very long
+    repetitive one does not outweigh the rest. Counts of `buckets` hashed n-grams are added up in each task
     and then across tasks; the driver gets one row a bucket.
     """
     sample = labelled_sample(labels, "quality", most_labels)
@@ -75,8 +76,11 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 17, sharpness: f
             for i, j in batches_by_bytes(np.fromiter(map(len, texts), np.int64, len(texts)), 1 << 20):
                 grams, owner = ngram_buckets(texts[i:j], buckets)
                 good = np.fromiter((x in wanted for x in ids[i:j]), bool, j - i)
-                raw += np.bincount(grams, minlength=buckets)
-                target += np.bincount(grams[good[owner]], minlength=buckets)
+                own, times = np.unique(owner * buckets + grams, return_counts=True)
+                bucket, times = own % buckets, np.minimum(times, clip)
+                wanted_here = good[own // buckets]
+                raw += np.bincount(bucket, times, buckets).astype(np.int64)
+                target += np.bincount(bucket[wanted_here], times[wanted_here], buckets).astype(np.int64)
         some = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(raw[some]), pa.array(target[some])], ["bucket", "raw", "target"])
 
