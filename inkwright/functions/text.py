@@ -176,13 +176,30 @@ def count_of(c: Column, part: Column) -> Column:
     return ((F.length(c) - F.length(F.replace(c, part, F.lit("")))) / F.length(part)).cast("long")
 
 
-def hanging_prepositions(c: Column) -> Column:
-    """Words of up to three letters stay with the next word, by a no-break space."""
-    return F.regexp_replace(c, r"(?U)(?<!\S)([\p{L}]{1,3})\s+(?=\S)", "$1 ")
+# Prepositions that do not stand at the end of a line.
+HANGING = ("в", "к", "с", "у", "о", "по", "из", "от", "до", "об", "на", "за", "над", "при", "про")
 
 
-def round_up(c: Column, step: int, low: int, high: int) -> Column:
-    return F.greatest(F.lit(low), F.least(F.lit(high), F.ceil(c / step) * step))
+def hanging_prepositions(lines: Column) -> Column:
+    """array<string>: title lines with a preposition at a line's end moved to the next line."""
+    numbered = F.transform(lines, lambda line, i: F.struct(line.alias("line"), (i == F.size(lines) - 1).alias("last")))
+    state = F.struct(F.array().cast("array<string>").alias("out"), F.lit("").alias("held"))
+
+    def step(acc: Column, x: Column) -> Column:
+        line = F.when(acc["held"] == "", x["line"]).otherwise(strip(F.concat(acc["held"], F.lit(" "), x["line"])))
+        parts = F.filter(F.split(line, r"(?U)\s+", -1), lambda w: w != "")
+        tail = F.coalesce(F.try_element_at(parts, F.lit(-1)), F.lit(""))
+        hangs = ~x["last"] & F.lower(tail).isin(*HANGING)
+        before = F.array_join(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), " ")
+        kept = F.when(hangs, before).otherwise(line)
+        return F.struct(F.when(strip(kept) == "", acc["out"]).otherwise(F.concat(acc["out"], F.array(kept))).alias("out"), F.when(hangs, tail).otherwise(F.lit("")).alias("held"))
+
+    return F.aggregate(numbered, state, step, lambda acc: acc["out"])
+
+
+def round_up(c: Column, step: int = 64, low: int = 64, high: int = 1024) -> Column:
+    """The next multiple of a step, within bounds; the lower bound for what is not positive."""
+    return F.when(c <= 0, F.lit(low)).otherwise(F.greatest(F.lit(low), F.least(F.lit(high), (F.ceil(c / step) * step).cast("int"))))
 
 
 def parse_color(value: str) -> tuple[int, int, int]:

@@ -109,3 +109,24 @@ def pdf_pages(files: DataFrame) -> DataFrame:
                     yield from pa.Table.from_pylist(rows).to_batches()
 
     return files.select("path", "content").mapInArrow(scan, PAGES)
+
+
+def cover_image(title: str, author: str = "", width: int = 1200, height: int = 1600, colors: list[tuple[int, int, int]] | None = None) -> bytes:
+    """A plain JPEG cover: bands of five colours, and title and author in between; needs Pillow."""
+    import io
+    import textwrap
+    import zlib
+
+    from PIL import Image, ImageDraw, ImageFont
+
+    seed = zlib.crc32(f"{title}/{author}".encode())
+    colors = colors or [tuple((seed >> 3 * k + 7 * c) % 160 + 40 for c in range(3)) for k in range(5)]
+    image = Image.new("RGB", (width, height), colors[0])
+    draw, font = ImageDraw.Draw(image), ImageFont.load_default(size=height // 22)
+    for k, color in enumerate(colors[1:], 1):
+        draw.rectangle((0, height * (k + 2) // 8, width, height), fill=color)
+    for k, line in enumerate([*textwrap.wrap(title, 22), "", *textwrap.wrap(author, 26)]):
+        draw.text((width // 12, height // 12 + k * height // 18), line, fill=(255, 255, 255), font=font)
+    out = io.BytesIO()
+    image.save(out, "JPEG", quality=90)
+    return out.getvalue()

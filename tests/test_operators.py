@@ -257,3 +257,18 @@ def test_stream(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert spark.table("restored").first()["text"] == "дом…"
+
+
+def test_hanging_prepositions(spark):
+    df = spark.createDataFrame([(["Дорога в", "лес и из", "леса на"],), (["на", "дом"],), ([],)], "v array<string>")
+    assert [r[0] for r in df.select(T.hanging_prepositions(F.col("v"))).collect()] == [["Дорога", "в лес и", "из леса на"], ["на дом"], []]
+    assert one(spark, "65", lambda c: T.round_up(c.cast("int"))) == 128
+
+
+def test_command_line(spark, tmp_path):
+    from inkwright import __main__ as cli
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("■и я в доме", encoding="utf-8")
+    cli.run(spark, cli.parser().parse_args(["clean", "--in", str(tmp_path / "in"), "--out", str(tmp_path / "out")]))
+    assert spark.read.parquet(str(tmp_path / "out")).first()["text"] == "ияв доме"
