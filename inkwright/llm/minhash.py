@@ -17,7 +17,7 @@ SHINGLE_WORDS = 5
 BANDS, ROWS = 25, 5
 HASHES = BANDS * ROWS
 _DOCS = "doc_id long, n_shingles long, hi long, lo long, sig binary"
-_U64, _U32 = np.uint64, np.uint32
+_U64, _U32, _U16 = np.uint64, np.uint32, np.uint16
 
 
 # ---------------------------------------------------------------- shingles and signatures
@@ -56,16 +56,16 @@ def _permutations(seed: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(shingles: np.ndarray, counts: np.ndarray, seed: int) -> np.ndarray:
-    """MinHash values, a row a text with shingles; texts without shingles are left out of `counts`."""
+    """The low 16 bits of MinHash values, a row a text with shingles; texts without shingles are left out of `counts`."""
     flip, factor = _permutations(seed)
     low, high = shingles.astype(_U32), (shingles >> _U64(32)).astype(_U32)
     starts = np.concatenate(([0], np.cumsum(counts)[:-1])).astype(np.int64)
-    out = np.empty((len(counts), HASHES), _U32)
+    out = np.empty((len(counts), HASHES), _U16)
     for k in range(HASHES):
         x = (low ^ flip[k]) * factor[k]
         x ^= (x >> _U32(15)) ^ high
         x *= _U32(0x2C1B3C6D)
-        out[:, k] = np.minimum.reduceat(x, starts)
+        out[:, k] = np.minimum.reduceat(x, starts).astype(_U16)
     return out
 
 
@@ -123,18 +123,18 @@ def least_matches(threshold: float, miss: float, step: int = 25) -> tuple[tuple[
     return tuple((n, next(m for m in range(n + 1) if tail(m, n) >= miss)) for n in range(step, HASHES + 1, step))
 
 
-def survivors(a: np.ndarray, b: np.ndarray, threshold: float, miss: float) -> np.ndarray:
-    """Indices of the row pairs of two signature matrices that no batch prunes."""
+def survivors(a: np.ndarray, b: np.ndarray, threshold: float, miss: float) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of the row pairs of two signature matrices that no batch prunes, and their matches."""
     alive, matches, before = np.arange(len(a)), np.zeros(len(a), np.int64), 0
     for n, least in least_matches(threshold, miss):
         matches = matches + (a[alive, before:n] == b[alive, before:n]).sum(1)
         keep = matches >= least
         alive, matches, before = alive[keep], matches[keep], n
-    return alive
+    return alive, matches
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), _U32).reshape(-1, HASHES)
+    return np.frombuffer(b"".join(column.to_pylist()), _U16).reshape(-1, HASHES)
 
 
 def _pruned_pairs(pairs: DataFrame, sigs: DataFrame, threshold: float, miss: float) -> DataFrame:
@@ -144,7 +144,7 @@ def _pruned_pairs(pairs: DataFrame, sigs: DataFrame, threshold: float, miss: flo
         for batch in batches:
             table = pa.Table.from_batches([batch])
             if batch.num_rows:
-                keep = survivors(_matrix(table.column("sa")), _matrix(table.column("sb")), threshold, miss)
+                keep, _ = survivors(_matrix(table.column("sa")), _matrix(table.column("sb")), threshold, miss)
                 yield from table.select(["a", "b"]).take(pa.array(keep)).to_batches()
 
     left = sigs.select(F.col("doc_id").alias("a"), F.col("sig").alias("sa"))
@@ -171,24 +171,121 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(scan, "doc_id long, shingles array<long>")
 
 
+def _sets_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """The shingle sets of the documents wanted; no other text is shuffled further than to learn that."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return shingle_sets(texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, per_cent: int) -> DataFrame:
     """The pairs whose full shingle sets satisfy 100 * intersection >= per_cent * union.
 
     Only texts that occur in a pair are turned into sets; each pair carries one set and meets the other
     in a join that can be split, so a text with many partners is stored once.
     """
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    sets = shingle_sets(texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    sets = _sets_of(pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct(), docs)
     both = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b").join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.select("a", "b", common.alias("both"), (F.size("sa") + F.size("sb") - common).alias("either")).where(F.col("both") * 100 >= F.col("either") * per_cent).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
+# ---------------------------------------------------------------- crowded buckets
+
+
+def _grouped(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows with `grp`, the group of document b so far."""
+    return rows.join(groups.select(F.col("node").alias("b"), "component"), "b", "left").withColumn("grp", F.coalesce("component", "b")).drop("component")
+
+
+def _open_tiles(crowd: DataFrame, groups: DataFrame, tile_rows: int) -> DataFrame:
+    """band, x, y, b, part: members of buckets with more than one group, dealt to pairs of parts of about `tile_rows`."""
+    rows = _grouped(crowd, groups)
+    several = rows.groupBy("band").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1"), F.count("*").alias("n")).where("g0 <> g1")
+    several = several.select("band", F.ceil(F.col("n") / tile_rows).cast("int").alias("parts"))
+    dealt = rows.join(several, "band").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return dealt.select("band", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "b", "part")
+
+
+def _tile_rows(tiles: DataFrame, groups: DataFrame, sigs: DataFrame) -> DataFrame:
+    return _grouped(tiles, groups).join(sigs.select(F.col("doc_id").alias("b"), "sig"), "b").select("band", "x", "y", "b", "grp", "sig", "part")
+
+
+def _tile_pairs(key, table, threshold: float, miss: float):
+    """Index pairs of different groups that survive pruning, and their matches; a pair that shares several bands counts in the first."""
+    band, x, y = (k.as_py() for k in key)
+    grp, sig, part = table.column("grp").to_numpy(), _matrix(table.column("sig")), table.column("part").to_numpy()
+    keys = band_keys(sig)
+    here = int(np.flatnonzero(keys[0].view(np.int64) == band)[0])
+    out = [(np.zeros(0, np.int64),) * 3]
+    for i in range(len(grp) - 1):
+        j = np.arange(i + 1, len(grp))
+        j = j[(grp[j] != grp[i]) & ((part[j] != part[i]) | (x == y))]
+        j = j[~(keys[j, :here] == keys[i, :here]).any(1)]
+        if len(j):
+            alive, matches = survivors(np.broadcast_to(sig[i], (len(j), HASHES)), sig[j], threshold, miss)
+            out.append((np.full(len(alive), i), j[alive], matches))
+    return tuple(np.concatenate(z) for z in zip(*out))
+
+
+class _Sets:
+    """Disjoint sets of group numbers."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, g: int) -> int:
+        while (h := self.up.get(g, g)) != g:
+            self.up[g] = g = self.up.get(h, h)
+        return g
+
+    def unite(self, g: int, h: int) -> bool:
+        g, h = self.root(g), self.root(h)
+        self.up[max(g, h)] = min(g, h)
+        return g != h
+
+
+def _forests(threshold: float, miss: float):
+    def compare(key, table):
+        """Of a tile's surviving pairs a spanning forest of the groups, most alike first; `dropped` if there are others."""
+        i, j, matches = _tile_pairs(key, table, threshold, miss)
+        ids, grp = table.column("b").to_numpy(), table.column("grp").to_numpy()
+        order, sets = np.argsort(-matches, kind="stable"), _Sets()
+        kept = [k for k in order.tolist() if sets.unite(int(grp[i[k]]), int(grp[j[k]]))]
+        band, x, y = (k.as_py() for k in key)
+        a, b = ids[i[kept]], ids[j[kept]]
+        n = len(kept)
+        return pa.table({"band": np.full(n, band), "x": np.full(n, x, np.int32), "y": np.full(n, y, np.int32), "a": np.minimum(a, b), "b": np.maximum(a, b), "dropped": np.full(n, n < len(i))})
+
+    return compare
+
+
+def _confirmed(per_cent: int, miss: float):
+    def compare(key, table):
+        """Links of a tile that full sets confirm, as a spanning forest of the groups."""
+        i, j, matches = _tile_pairs(key, table, per_cent / 100, miss)
+        ids, grp, sets = table.column("b").to_numpy(), table.column("grp").to_numpy(), _Sets()
+        column, links = table.column("shingles").combine_chunks(), []
+        own = [x.values.to_numpy() for x in column]
+        for k in np.argsort(-matches, kind="stable").tolist():
+            p, q = int(i[k]), int(j[k])
+            g, h = int(grp[p]), int(grp[q])
+            if sets.root(g) == sets.root(h):
+                continue
+            both = len(np.intersect1d(own[p], own[q], assume_unique=True))
+            if 100 * both >= per_cent * (len(own[p]) + len(own[q]) - both):
+                sets.unite(g, h)
+                links.append((p, q))
+        u, v = (np.asarray([ids[x[n]] for x in links], np.int64) for n in range(2))
+        return pa.table({"u": u, "v": v})
+
+    return compare
+
+
 # ---------------------------------------------------------------- operator
 
 
-def near_duplicates(docs: DataFrame, per_cent: int = 85, miss: float = 1e-6, seed: int = 11, tile_rows: int = 256) -> DataFrame:
+def near_duplicates(docs: DataFrame, per_cent: int = 85, miss: float = 1e-6, seed: int = 11, tile_rows: int = 1024) -> DataFrame:
     """Groups of documents linked by Jaccard similarity of their shingle sets: doc_id, n_shingles, component_id, kept.
 
     Texts are lower-cased (A-Z), cut into words at ASCII white space and into distinct five-word
@@ -196,9 +293,10 @@ def near_duplicates(docs: DataFrame, per_cent: int = 85, miss: float = 1e-6, see
     class with the smallest doc_id stands for it. Signatures of 125 values fall into 25 bands of
     5 rows (a pair at similarity 0.85 shares no band with probability below 1e-6). In each bucket
     every class is first compared with the bucket's smallest one, which links groups of copies
-    in linear work; only classes of one bucket that are still in different groups are then
-    compared with each other, in tiles of bounded size, so pairs inside a group are never listed.
-    Every comparison prunes by posterior similarity after each 25 values (chosen miss
+    in linear work. Only classes of one bucket that are still in different groups are then
+    compared with each other, in tiles of bounded size: each tile proposes a spanning forest of its surviving pairs, and tiles
+    whose groups that does not unite confirm their other pairs themselves. So no list of a group's
+    pairs is ever made, and no link is lost. Every comparison prunes by posterior similarity after each 25 values (chosen miss
     probability `miss`) and confirms survivors on full sets: 100 * intersection >= per_cent * union.
 
     component_id: the smallest doc_id reachable, itself included. kept: doc_id = component_id.
@@ -226,37 +324,22 @@ def near_duplicates(docs: DataFrame, per_cent: int = 85, miss: float = 1e-6, see
     first = cut(_verified(cut(_pruned_pairs(stars, sigs, per_cent / 100, miss)), docs, per_cent))
     groups = connected_components(first.select("u", "v"))
 
-    # buckets whose members are not all in one group yet
-    crowd = members.where(F.col("members") > 2).join(groups.select(F.col("node").alias("b"), "component"), "b", "left")
-    crowd = crowd.select("band", "a", "b", F.coalesce("component", "b").alias("grp"))
-    open_bands = crowd.where(F.col("a") != F.col("b")).groupBy("band").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1"), F.count("*").alias("n")).where(F.col("g0") != F.col("g1"))
-    open_bands = open_bands.select("band", F.ceil(F.col("n") / tile_rows).cast("int").alias("tiles"))
-    rest = crowd.where(F.col("a") != F.col("b")).join(open_bands, "band").join(sigs.select(F.col("doc_id").alias("b"), "sig"), "b")
-    rest = rest.select("band", "b", "grp", "sig", "tiles", F.pmod(F.xxhash64("b"), F.col("tiles")).cast("int").alias("part"))
-    # tile (x, y) with x <= y: a row joins its part's tiles from either side
-    fan = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
-    rest = rest.select("band", "b", "grp", "sig", "part", fan).select("band", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "b", "grp", "sig", "part")
-
-    def compare(key, table):
-        band, x, y = (k.as_py() for k in key)
-        ids, grp, sig = table.column("b").to_numpy(), table.column("grp").to_numpy(), _matrix(table.column("sig"))
-        part = table.column("part").to_numpy()
-        keys = band_keys(sig)
-        where = int(np.flatnonzero((keys == keys[0]).all(0) & (keys[0].view(np.int64) == band))[0])
-        i, j = np.triu_indices(len(ids), 1)
-        some = grp[i] != grp[j]
-        if x != y:
-            some &= part[i] != part[j]
-        i, j = i[some], j[some]
-        # a pair that meets in several bands is compared in the first of them
-        i, j = (lambda ok: (i[ok], j[ok]))(~(keys[i, :where] == keys[j, :where]).any(1)) if where else (i, j)
-        keep = survivors(sig[i], sig[j], per_cent / 100, miss)
-        return pa.table({"a": np.minimum(ids[i[keep]], ids[j[keep]]), "b": np.maximum(ids[i[keep]], ids[j[keep]])})
-
-    crossing = cut(rest.groupBy("band", "x", "y").applyInArrow(compare, "a long, b long").distinct())
-    second = _verified(crossing, docs, per_cent)
+    # buckets whose members are not all in one group yet: every two members meet in one tile
+    crowd = members.where((F.col("members") > 2) & (F.col("a") != F.col("b"))).select("band", "b")
+    tiles = cut(_open_tiles(crowd, groups, tile_rows))
+    found = cut(_tile_rows(tiles, groups, sigs).groupBy("band", "x", "y").applyInArrow(_forests(per_cent / 100, miss), "band long, x int, y int, a long, b long, dropped boolean"))
+    second = cut(_verified(found.select("a", "b").distinct(), docs, per_cent))
     groups = connected_components(first.union(second))
 
+    # tiles that held back pairs and still are not in one group: their pairs are confirmed in the tile
+    late = tiles.join(found.where("dropped").select("band", "x", "y").distinct(), ["band", "x", "y"], "left_semi")
+    left = _tile_rows(late, groups, sigs)
+    still = left.groupBy("band", "x", "y").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1")).where("g0 <> g1").select("band", "x", "y")
+    left = cut(left.join(still, ["band", "x", "y"], "left_semi"))
+    third = left.join(_sets_of(left.select(F.col("b").alias("doc_id")).distinct(), docs).withColumnRenamed("doc_id", "b"), "b")
+    third = cut(third.groupBy("band", "x", "y").applyInArrow(_confirmed(per_cent, miss), "u long, v long"))
+    groups = connected_components(first.union(second).union(third))
+
     by_class = classes.join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left").select(*set_key, F.coalesce("component", "rep").alias("component_id"))
     linked = known.select("doc_id", *set_key).join(by_class, set_key).select("doc_id", "n_shingles", "component_id")
     alone = prints.where(F.col("sig").isNull() | F.col("doc_id").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
