@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwright.llm.common import batches_by_bytes, stem_hashes, utf8_rows
+from inkwright.llm.common import batches_by_bytes, cut, stem_hashes, utf8_rows
 from inkwright.llm.quality import labelled_sample
 
 #: Bytes of a word's beginning that are features besides the whole word: inflected forms share their stem.
@@ -95,75 +95,79 @@ def fit_cumulative_link(rows: np.ndarray, columns: np.ndarray, values: np.ndarra
     return w, np.concatenate((free[:1], free[0] + np.cumsum(gaps)))
 
 
-def _sample_features(docs: DataFrame, sample: dict[int, int]):
-    """Distinct stem hashes of the sampled documents with their counts, from one scan of the documents."""
-    wanted = frozenset(sample)
-
-    def scan(batches):
-        for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            keep = [k for k, x in enumerate(ids) if x in wanted]
-            if not keep:
-                continue
-            texts = utf8_rows(batch.column("text").take(pa.array(keep)))
-            for k, text in zip(keep, texts):
-                hashes, words = stem_hashes([text], PREFIXES)
-                row = np.repeat(np.arange(len(hashes)), hashes.shape[1])
-                flat = np.unique(np.stack((row.astype(_U64), hashes.ravel())), axis=1)[1] if len(hashes) else np.zeros(0, _U64)
-                own, times = np.unique(flat, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([ids[k]]), pa.array([int(words.sum())]), pa.array([own.tobytes()]), pa.array([times.astype(np.int32).tobytes()])], ["doc_id", "words", "hashes", "times"])
-
-    slim = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return slim.mapInArrow(scan, "doc_id long, words long, hashes binary, times binary")
+def _stems(text: bytes) -> tuple[np.ndarray, np.ndarray, int]:
+    """Distinct stem hashes of a text, how many words have each, and its number of words."""
+    hashes, words = stem_hashes([text], PREFIXES)
+    if not len(hashes):
+        return np.zeros(0, _U64), np.zeros(0, np.int64), 0
+    # a word no longer than a prefix shows one hash in several columns
+    ordered = np.sort(hashes, axis=1)
+    first = np.ones(ordered.shape, bool)
+    first[:, 1:] = ordered[:, 1:] != ordered[:, :-1]
+    own, times = np.unique(ordered[first], return_counts=True)
+    return own, times, int(words.sum())
+
+
+def _document_counts(batches):
+    """stem, toxic, civil: how many of a task's documents of either kind have each stem."""
+    held = []
+    for batch in batches:
+        for text, y in zip(utf8_rows(batch.column("text")), batch.column("y").to_pylist()):
+            held.append((_stems(text)[0], y))
+    if held:
+        stems, at = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
+        toxic = np.repeat([y == 1 for _, y in held], [len(h) for h, _ in held])
+        counts = [np.bincount(at[toxic == k], minlength=len(stems)).astype(np.int64) for k in (True, False)]
+        yield pa.RecordBatch.from_arrays([pa.array(stems.view(np.int64)), pa.array(counts[0]), pa.array(counts[1])], ["stem", "toxic", "civil"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, most_labels: int = 6000, most_features: int = 4096, least_docs: int = 4, grades: int = 4) -> OrdinalModel:
     """A model fitted on a bounded, balanced sample: at most half of `most_labels` toxic and half other rows.
 
-    Candidate features are stems of sampled toxic documents in at least `least_docs` of them, ranked by
-    the z-score of their log odds; at most `most_features` stay. Labels say only toxic or not, so grades are:
-    0 for documents that are not toxic, and for toxic ones 1 to `grades` - 1 by equal shares of the rate of indicative words. Without
-    toxic labels every severity is 0.
+    Candidate features are stems in at least `least_docs` sampled toxic documents, ranked by the z-score of
+    their log odds, which is worked out where the stems are; at most `most_features` reach the driver, and then the sampled
+    documents' counts of these. Labels say only toxic or not, so grades are: 0 for documents that are not
+    toxic, and for toxic ones 1 to `grades` - 1 by equal shares of the rate of indicative words. Without toxic labels, or without
+    others, every severity is 0.
     """
+    none = OrdinalModel(np.zeros(0, _U64), np.zeros(0), np.full(grades - 1, 60.0), np.zeros(1 << 20, bool))
     half = most_labels // 2
     sample = labelled_sample(labels.where(F.col("toxic") == 1), "toxic", half) | labelled_sample(labels.where(F.col("toxic") == 0), "toxic", half)
-    rows = _sample_features(docs, sample).collect()
-    rows = list({r["doc_id"]: r for r in sorted(rows, key=lambda r: (r["doc_id"], r["hashes"]))}.values())
-    toxic = np.asarray([sample[r["doc_id"]] == 1 for r in rows], bool)
-    return fit_rows([np.frombuffer(r["hashes"], _U64) for r in rows], [np.frombuffer(r["times"], np.int32) for r in rows], np.asarray([r["words"] for r in rows]), toxic, most_features, least_docs, grades)
-
-
-def fit_rows(hashes: list[np.ndarray], times: list[np.ndarray], words: np.ndarray, toxic: np.ndarray, most_features: int = 4096, least_docs: int = 4, grades: int = 4) -> OrdinalModel:
-    """A model of documents given as distinct stem hashes with counts, their numbers of words, and toxic or not."""
-    none = OrdinalModel(np.zeros(0, _U64), np.zeros(0), np.full(grades - 1, 60.0), np.zeros(1 << 20, bool))
-    n = len(toxic)
-    if not toxic.any() or toxic.all():
-        return none
-    owner = np.repeat(np.arange(n), [len(h) for h in hashes])
-    flat, count = np.concatenate(hashes), np.concatenate(times)
-    in_toxic, df1 = np.unique(flat[toxic[owner]], return_counts=True)
-    candidates, df1 = in_toxic[df1 >= least_docs], df1[df1 >= least_docs]
-    if not len(candidates):
+    ids = docs.sparkSession.createDataFrame(list(sample.items()), "doc_id long, y int")
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    chosen = cut(slim.join(F.broadcast(ids), "doc_id"))
+    known = {r["y"]: r["count"] for r in chosen.groupBy("y").count().collect()}
+    n1, n0 = known.get(1, 0), known.get(0, 0)
+    if not n1 or not n0:
         return none
-    at = np.minimum(np.searchsorted(candidates, flat), len(candidates) - 1)
-    known = candidates[at] == flat
-    df0 = np.bincount(at[known & ~toxic[owner]], minlength=len(candidates))
-    n1, n0 = int(toxic.sum()), int((~toxic).sum())
-    odds = np.log((df1 + 0.5) / (n1 - df1 + 0.5)) - np.log((df0 + 0.5) / (n0 - df0 + 0.5))
-    z = odds / np.sqrt(1 / (df1 + 0.5) + 1 / (df0 + 0.5))
-    chosen = np.argsort(-z, kind="stable")[:most_features]
-    chosen = np.sort(chosen[(z[chosen] > 3) & (odds[chosen] > LEAST_ODDS)])
-    if not len(chosen):
+    counts = chosen.mapInArrow(_document_counts, "stem long, toxic long, civil long").groupBy("stem").agg(F.sum("toxic").alias("a"), F.sum("civil").alias("b"))
+    a, b = F.col("a") + 0.5, F.col("b") + 0.5
+    odds = F.log(a / (n1 + 1 - a)) - F.log(b / (n0 + 1 - b))
+    ranked = counts.where(F.col("a") >= least_docs).select("stem", odds.alias("odds"), (odds / F.sqrt(1 / a + 1 / b)).alias("z"))
+    best = ranked.where((F.col("z") > 3) & (F.col("odds") > LEAST_ODDS)).orderBy(F.desc("z"), "stem").limit(most_features).toPandas()
+    features = np.sort(best["stem"].to_numpy().view(_U64))
+    if not len(features):
         return none
-    features = candidates[chosen]
-    at = np.minimum(np.searchsorted(features, flat), len(features) - 1)
-    known = features[at] == flat
-    r, c, v = owner[known], at[known], count[known]
-    rate = np.bincount(r, v, n) / np.maximum(1, words)
-    grade = np.zeros(n, int)
+
+    def cells(batches):
+        for batch in batches:
+            for text, y in zip(utf8_rows(batch.column("text")), batch.column("y").to_pylist()):
+                stems, times, words = _stems(text)
+                at = np.minimum(np.searchsorted(features, stems), len(features) - 1)
+                hit = features[at] == stems
+                yield pa.RecordBatch.from_arrays([pa.array([y], pa.int32()), pa.array([words]), pa.array([at[hit].tolist()], pa.list_(pa.int32())), pa.array([times[hit].tolist()], pa.list_(pa.int32()))], ["y", "words", "at", "times"])
+
+    rows = chosen.mapInArrow(cells, "y int, words long, at array<int>, times array<int>").collect()
+    rows = sorted(rows, key=lambda r: (r["y"], r["words"], r["at"], r["times"]))  # the same model whatever the order of tasks
+    toxic, words = np.asarray([r["y"] == 1 for r in rows]), np.asarray([r["words"] for r in rows])
+    r = np.repeat(np.arange(len(rows)), [len(row["at"]) for row in rows])
+    c = np.asarray([x for row in rows for x in row["at"]], np.int64)
+    v = np.asarray([x for row in rows for x in row["times"]], np.int64)
+    rate = np.bincount(r, v, len(rows)) / np.maximum(1, words)
+    grade = np.zeros(len(rows), int)
     order = np.argsort(np.argsort(rate[toxic], kind="stable"), kind="stable")
     grade[toxic] = 1 + order * (grades - 1) // n1
-    balance = np.where(toxic, n / (2 * n1), n / (2 * n0))
+    balance = np.where(toxic, len(rows) / (2 * n1), len(rows) / (2 * n0))
     weights, thresholds = fit_cumulative_link(r, c, feature_values(v, words[r]), grade, len(features), grades, balance)
     sieve = np.zeros(1 << 20, bool)
     sieve[(features & _U64((1 << 20) - 1)).astype(np.int64)] = True
