@@ -87,21 +87,24 @@ def _lgamma(x: np.ndarray) -> np.ndarray:
 
 def block_probability(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """log of the Krichevsky-Trofimov probability of a sequence with these counts."""
-    return _lgamma(zeros + 0.5) + _lgamma(ones + 0.5) - _lgamma(zeros + ones + 1.0) - math.log(math.pi)
+    out = _lgamma(zeros + 0.5)
+    out += _lgamma(ones + 0.5)
+    out -= _lgamma(zeros + ones + 1.0)
+    return out - math.log(math.pi)
 
 
 def _nodes(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Nodes (context and the byte's bits so far) of grams with their counts of zeros and ones."""
-    context, byte = keys >> _U64(8) << _U64(8), keys & _U64(255)
+    """Nodes (context and the byte's bits so far, sorted) of sorted grams, with their counts of zeros and ones."""
     parts = []
     for bit in range(8):
-        prefix = _U64(1 << bit) | byte >> _U64(8 - bit)
-        one = (byte >> _U64(7 - bit) & _U64(1)).astype(bool)
-        node, at = np.unique(context | prefix, return_inverse=True)
-        parts.append((node, np.bincount(at, np.where(one, 0, counts), len(node)), np.bincount(at, np.where(one, counts, 0), len(node))))
-    node, zeros, ones = (np.concatenate(x) for x in zip(*parts))
+        node = keys >> _U64(8) << _U64(8) | _U64(1 << bit) | (keys & _U64(255)) >> _U64(8 - bit)
+        begin = np.flatnonzero(np.append(True, node[1:] != node[:-1]))  # grams are sorted, so a node's grams lie together
+        one = (keys >> _U64(7 - bit) & _U64(1)) * counts.astype(_U64)
+        ones = np.add.reduceat(one, begin)
+        parts.append((node[begin], np.add.reduceat(counts.astype(_U64), begin) - ones, ones))
+    node = np.concatenate([x[0] for x in parts])
     order = np.argsort(node)
-    return node[order], zeros[order], ones[order]
+    return node[order], np.concatenate([x[1] for x in parts])[order], np.concatenate([x[2] for x in parts])[order]
 
 
 class Floats:
@@ -195,47 +198,53 @@ class ContextTree:
         return total
 
 
+def _at_node(keys: np.ndarray, bit: int) -> np.ndarray:
+    return keys >> _U64(8) << _U64(8) | _U64(1 << bit) | (keys & _U64(255)) >> _U64(8 - bit)
+
+
 def weigh_tree(by_order: list[tuple[np.ndarray, np.ndarray]]) -> ContextTree:
     """The tree of gram counts, one (keys, counts) pair per depth from 0 to DEPTH.
 
     log P_w of a node is log(P_e / 2 + P_w of its children / 2); counts of contexts that a depth
     does not list form one more child. The share of P_e / 2 is the weight at which a path stops there.
+    One pass goes up with the weights of a level at a time, one down with the mixtures.
     """
-    levels = [_nodes(keys, counts.astype(np.float64)) for keys, counts in by_order]
-    weighted: list[np.ndarray] = [np.zeros(0)] * len(levels)
-    stop: list[np.ndarray] = [np.zeros(0)] * len(levels)
-    parents: list[np.ndarray] = [np.zeros(0, np.int64)] * len(levels)
+    levels, empty = [], np.zeros(0, _U64)
+    for keys, counts in by_order:
+        order = np.argsort(keys)
+        levels.append(_nodes(keys[order], counts[order]) if len(keys) else (empty, empty, empty))
+    stop: list[np.ndarray] = [np.zeros(0, np.float32)] * len(levels)
+    parents: list[np.ndarray] = [np.zeros(0, np.int32)] * len(levels)
+    weighted = np.zeros(0)
     for d in range(len(levels) - 1, -1, -1):
         node, zeros, ones = levels[d]
         own = block_probability(zeros, ones)
         if d + 1 < len(levels):
             below, z, o = levels[d + 1]
-            up = np.searchsorted(node, (below & _U64(_mask(d))) & ~_U64(255) | below & _U64(255))
-            parents[d + 1] = up
-            n = len(node)
-            rest = block_probability(np.maximum(zeros - np.bincount(up, z, n), 0), np.maximum(ones - np.bincount(up, o, n), 0))
-            children = np.bincount(up, weighted[d + 1], n) + rest
-            both = np.logaddexp(own, children)
-            weighted[d], stop[d] = both - math.log(2), np.exp(own - both)
+            up = np.searchsorted(node, (below & _U64(_mask(d))) & ~_U64(255) | below & _U64(255)).astype(np.int32)
+            parents[d + 1], n = up, len(node)
+            children = block_probability(np.maximum(zeros - np.bincount(up, z, n), 0), np.maximum(ones - np.bincount(up, o, n), 0))
+            children += np.bincount(up, weighted, n)
+            weighted = np.logaddexp(own, children)
+            stop[d] = np.exp(own - weighted).astype(np.float32)
+            weighted -= math.log(2)
         else:
-            weighted[d], stop[d] = own, np.ones(len(node))
-    mixed, left = [], []
+            weighted, stop[d] = own, np.ones(len(node), np.float32)
+    tables, whole = [], []
+    mixed, left = np.zeros(0), np.zeros(0)
     for d, (node, zeros, ones) in enumerate(levels):
         kt = (ones + 0.5) / (zeros + ones + 1.0)
-        before = mixed[d - 1][parents[d]] if d else np.zeros(len(node))
-        share = left[d - 1][parents[d]] if d else np.ones(len(node))
-        mixed.append(before + share * stop[d] * kt)
-        left.append(share * (1 - stop[d]))
-        levels[d] = (node, before + share * kt, ones)  # as if the path ended here
-    tables, whole = [], []
-    for d, (node, p, _) in enumerate(levels):
-        p = np.clip(p, 1e-7, 1 - 1e-7).astype(np.float32)
+        levels[d] = ()
+        before = mixed[parents[d]] if d else np.zeros(len(node))
+        share = left[parents[d]] if d else np.ones(len(node))
+        p = np.clip(before + share * kt, 1e-7, 1 - 1e-7).astype(np.float32)  # as if the path ended here
+        mixed, left = before + share * stop[d] * kt, share * (1 - stop[d])
         tables.append(Floats(node, p))
         keys = by_order[d][0]
-        byte, total = keys & _U64(255), np.zeros(len(keys))
+        total = np.zeros(len(keys))
         for bit in range(8):
-            q = p[np.searchsorted(node, keys >> _U64(8) << _U64(8) | _U64(1 << bit) | byte >> _U64(8 - bit))].astype(np.float64)
-            total += np.log(np.where((byte >> _U64(7 - bit) & _U64(1)).astype(bool), q, 1 - q))
+            q = p[np.searchsorted(node, _at_node(keys, bit))].astype(np.float64)
+            total += np.log(np.where((keys >> _U64(7 - bit) & _U64(1)).astype(bool), q, 1 - q))
         whole.append(Floats(keys, total.astype(np.float32)))
     return ContextTree(tuple(whole), tuple(tables))
 
@@ -271,13 +280,13 @@ def gram_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def train(texts: DataFrame, most_grams: int = 500_000) -> ContextTree:
+def train(texts: DataFrame, most_grams: int = 250_000) -> ContextTree:
     """The context tree of all texts of a DataFrame with a column `text` (not null).
 
     Counts cover every byte of every text. The tree keeps the most frequent contexts of each depth,
     whole, with at most `most_grams` grams a depth: where the data has more, a threshold on the context's count
     decides, and what falls below still counts at the depths above. So the model that the driver
-    weighs and sends to the tasks has a bounded size (about 100 MB) at any corpus size.
+    weighs and sends to the tasks has a bounded size (about 50 MB) at any corpus size.
     """
     counted = cut(gram_counts(texts))
     by_order = []
@@ -299,7 +308,7 @@ def train(texts: DataFrame, most_grams: int = 500_000) -> ContextTree:
             continue
         if held > most_grams:
             order = order.withColumn("context", context).join(contexts.where(F.col("total") >= least).select("context"), "context", "left_semi").select("gram", "n")
-        kept = order.toPandas()
+        kept = order.select("gram", "n").toArrow()
         by_order.append((kept["gram"].to_numpy().view(_U64), kept["n"].to_numpy()))
     return weigh_tree(by_order)
 
@@ -310,7 +319,7 @@ _VOCABULARY = "chunk int, word long, n long"
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, code_length double"
 
 
-def score_documents(docs: DataFrame, folds: int = 7, held_fold: int = 2, chunk_bytes: int = 16 << 20, most_grams: int = 500_000) -> DataFrame:
+def score_documents(docs: DataFrame, folds: int = 7, held_fold: int = 2, chunk_bytes: int = 16 << 20, most_grams: int = 250_000) -> DataFrame:
     """Scores of all documents under a model of those not held out.
 
     Held out are documents whose crc32(doc_id as text) mod `folds` is `held_fold`. Tokens are
