@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import heapq
-import re
 import zlib
 from functools import lru_cache
 
@@ -12,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwright.llm.common import batches_by_bytes, mix
+from inkwright.llm.common import IdTable, batches_by_bytes, code_points, mix, spans
 
 _U64, _MASK = np.uint64, (1 << 64) - 1
 _ENCODED = "doc_id long, n_pieces long, ids array<int>, lossless boolean"
@@ -45,7 +44,7 @@ class MergeDropout:
     SentencePiece library.
     """
 
-    def __init__(self, path: str, rate: float, seed: int, variants: int = 4, cache_segments: int = 600_000):
+    def __init__(self, path: str, rate: float, seed: int, variants: int = 4):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -66,13 +65,11 @@ class MergeDropout:
         self.keys = [_mix(seed * variants + v + 0x51ED270B) for v in range(variants)]
         self.seed, self.variants = seed, variants
         breaks = "".join(c for c in "\n\t\r" if not any(c in p for p in self.ids))
-        b = re.escape(breaks)
-        # an inner space mark would let merges cross segments
+        self.breaks = np.array([ord(c) for c in breaks], np.uint32)
+        # an inner space mark would let merges cross segments: then texts are segments
         self.whole = any(SPACE in p.lstrip(SPACE) for p in self.ids)
-        self.split = re.compile(rf" *[^ {b}]+|[{b}]| +" if breaks else r" *[^ ]+| +").findall
         self.pairs = self._pair_table()
-        self.caches: list[dict[str, bytes]] = [{} for _ in range(variants)]
-        self.cache_segments = cache_segments
+        self.table = IdTable()
 
     def _pair_table(self) -> tuple[np.ndarray, np.ndarray, int]:
         """Merged piece of each pair of pieces, as a sorted array of pair keys."""
@@ -210,42 +207,61 @@ class MergeDropout:
         ends = np.cumsum(kept.sum(1) * 4).tolist()
         return [flat[i:j] for i, j in zip([0, *ends[:-1]], ends)]
 
-    def _fill(self, variant: int, segments: list[str]) -> None:
-        cache, known = self.caches[variant], self.characters.keys()
-        easy = [s for s in segments if len(s) <= WIDE and SPACE not in s and known >= set(s)]
-        easy.sort(key=len)
+    def code(self, variant: int, segments: list[str]) -> list[bytes]:
+        """The ids of segments under one variant."""
+        known = self.characters.keys()
+        out: list[bytes] = [b""] * len(segments)
+        easy = [k for k, s in enumerate(segments) if len(s) <= WIDE and SPACE not in s and known >= set(s)]
+        easy.sort(key=lambda k: len(segments[k]))
         for i in range(0, len(easy), 4096):
             part = easy[i : i + 4096]
-            cache.update(zip(part, self._many(variant, part)))
-        for s in segments:
-            if s not in cache:
-                cache[s] = self._agenda(variant, s)
+            for k, ids in zip(part, self._many(variant, [segments[k] for k in part])):
+                out[k] = ids
+        for k in set(range(len(segments))).difference(easy):
+            out[k] = self._agenda(variant, segments[k])
+        return out
+
+    def _segments(self, points: np.ndarray, opens: np.ndarray) -> np.ndarray:
+        """Starts of the segments: spaces with what follows them, and single breaks; `opens` are the texts' starts."""
+        start = np.zeros(len(points), bool)
+        start[opens] = True
+        if not self.whole:
+            space, brk = points == 32, np.isin(points, self.breaks)
+            start |= brk
+            start[1:] |= space[1:] & ~space[:-1]
+            start[1:] |= ~space[1:] & brk[:-1]
+        return np.flatnonzero(start)
 
     def encode(self, ids: list[int], texts: list[str]) -> list[bytes]:
         """Piece ids of each text as little-endian int32."""
-        split = (lambda t: [t]) if self.whole else self.split
-        segments = [split(" " + t) if t else [] for t in texts]
-        caches = self.caches
-        if sum(map(len, caches)) > self.cache_segments:
-            for cache in caches:
-                cache.clear()
-        counts = np.fromiter(map(len, segments), np.int64, len(segments))
-        ends = np.cumsum(counts)
+        spaced = [" " + t if t else "" for t in texts]
+        sizes = np.fromiter(map(len, spaced), np.int64, len(spaced))
+        ends = np.cumsum(sizes)
+        points = code_points(spaced)
+        if not len(points):
+            return [b""] * len(texts)
+        first = self._segments(points, (ends - sizes)[sizes > 0])
+        after = np.append(first[1:], len(points))
+        upto = np.searchsorted(first, ends)
+        counts = np.diff(upto, prepend=0)
         key = np.fromiter((_mix((x & _MASK) ^ _mix(self.seed + 0x2545F491)) for x in ids), _U64, len(ids))
-        number = np.arange(int(counts.sum())) - np.repeat(ends - counts, counts)
-        drawn = mix(np.repeat(key, counts) + number.astype(_U64)) % _U64(self.variants)
-        flat = np.empty(len(number), object)
-        flat[:] = [w for s in segments for w in s]
-        coded = np.empty(len(number), object)
-        for v, cache in enumerate(caches):
-            own = np.flatnonzero(drawn == v)
-            words = flat[own].tolist()
-            missing = set(words).difference(cache)
-            if missing:
-                self._fill(v, sorted(missing))
-            coded[own] = list(map(cache.__getitem__, words))
-        coded = coded.tolist()
-        return [b"".join(coded[i:j]) for i, j in zip((ends - counts).tolist(), ends.tolist())]
+        number = np.arange(len(first)) - np.repeat(upto - counts, counts)
+        drawn = (mix(np.repeat(key, counts) + number.astype(_U64)) % _U64(self.variants)).astype(np.int64)
+        hashes = mix(spans(points)(first, after) ^ np.asarray(self.keys, _U64)[drawn]) | _U64(1)
+
+        def code(rows: np.ndarray) -> list[bytes]:
+            out: list[bytes] = [b""] * len(rows)
+            segments = [points[i:j].tobytes().decode("utf-32-le") for i, j in zip(first[rows].tolist(), after[rows].tolist())]
+            for v in range(self.variants):
+                own = np.flatnonzero(drawn[rows] == v).tolist()
+                for k, coded in zip(own, self.code(v, [segments[k] for k in own])):
+                    out[k] = coded
+            return out
+
+        flat, pieces = self.table.gather(self.table.resolve(hashes, code))
+        edges = (np.append(0, np.cumsum(pieces))[upto] * 4).tolist()
+        flat = flat.astype("<i4").tobytes()
+        return [flat[i:j] for i, j in zip([0, *edges[:-1]], edges)]
 
     def decode(self, ids: list[int]) -> str:
         """The text of piece ids; the inverse of encode for every text, whatever was dropped."""

@@ -114,6 +114,8 @@ def test_page_structure():
     assert [t for t, _ in html.page_lines(ARTICLE)] == ["Title & more", "One two three", "Four five", "Item"]
     assert html.page_lines("") == [] and html.page_lines("just text") == [("just text", html.OPEN)]
     assert html.page_lines("<p class=ad>x<p>y") == [("y", html.OPEN)]
+    own = '<main><h1>A</h1><h2>Other</h2><article><div class="post-header"><h2>B</h2><span>when</span></div><p>C</p><div class="site-header">D</div></article></main>'
+    assert [x for x, _ in html.page_lines(own)] == ["A", "B", "C"]
 
 
 def test_page_differencing(spark):
@@ -331,8 +333,8 @@ def test_dropout_varies_and_repeats(spark, make_docs, tokenizers7):
     text = "internationalization " * 40
     a, b, again = t.encode([1], [text])[0], t.encode([2], [text])[0], t.encode([1], [text])[0]
     assert a != b and a == again
-    some = [w for w in t.caches[0]][:50]
-    assert all(t._agenda(0, w) == t.caches[0][w] for w in some)
+    some = [" " + w for w in "internationalization the of, word. ΑΒΓ über x 12345 a-b".split()] + ["\n", "   ", " x▁y"]
+    assert t.code(1, some) == [t._agenda(1, w) for w in some]
     docs = make_docs([(1, text), (1, text), (2, None), (3, ""), (None, "▁ odd ▁▁"), (4, "y" * 20000)])
     coded = dropout_bpe.encode_documents(docs, dropout_bpe.default_model())
     assert all(r["lossless"] for r in coded.collect()) and len({tuple(r["ids"]) for r in coded.where("doc_id = 1").collect()}) == 1
