@@ -263,19 +263,23 @@ def _forests(threshold: float, miss: float):
 def _confirmed(per_cent: int, miss: float):
     def compare(key, table):
         """Links of a tile that full sets confirm, as a spanning forest of the groups."""
-        i, j, matches = _tile_pairs(key, table, per_cent / 100, miss)
+        i, j, _ = _tile_pairs(key, table, per_cent / 100, miss)
         ids, grp, sets = table.column("b").to_numpy(), table.column("grp").to_numpy(), _Sets()
         column, links = table.column("shingles").combine_chunks(), []
-        own = [x.values.to_numpy() for x in column]
-        for k in np.argsort(-matches, kind="stable").tolist():
-            p, q = int(i[k]), int(j[k])
-            g, h = int(grp[p]), int(grp[q])
-            if sets.root(g) == sets.root(h):
-                continue
-            both = len(np.intersect1d(own[p], own[q], assume_unique=True))
-            if 100 * both >= per_cent * (len(own[p]) + len(own[q]) - both):
-                sets.unite(g, h)
-                links.append((p, q))
+        size = column.value_lengths().to_numpy().astype(np.int64)
+        start = np.cumsum(size) - size
+        distinct, at = np.unique(column.flatten().to_numpy(), return_inverse=True)
+        own = [at[x : x + n] for x, n in zip(start.tolist(), size.tolist())]
+        mark = np.zeros(len(distinct), np.int64)
+        left, first = np.unique(i, return_index=True)
+        for p, right in zip(left.tolist(), np.split(j, first[1:])):  # all partners of one row at once
+            mark[own[p]] = 1
+            ends = np.cumsum(size[right])
+            both = np.add.reduceat(mark[np.concatenate([own[q] for q in right.tolist()])], ends - size[right])
+            mark[own[p]] = 0
+            for q in right[100 * both >= per_cent * (size[p] + size[right] - both)].tolist():
+                if sets.unite(int(grp[p]), int(grp[q])):
+                    links.append((p, q))
         u, v = (np.asarray([ids[x[n]] for x in links], np.int64) for n in range(2))
         return pa.table({"u": u, "v": v})
 
