@@ -215,6 +215,18 @@ def test_scores(spark, make_docs):
     assert ctw.score_documents(make_docs([])).count() == 0
 
 
+def test_scores_use_every_context(spark, make_docs):
+    """More grams than any one table held before; the whole tree weighed in one place says the same."""
+    random = np.random.default_rng(7)
+    texts = [(k, bytes(random.integers(97, 123, 7000, np.uint8)).decode() + " the end") for k in range(80)]
+    held = {k: zlib.crc32(str(k).encode()) % 7 == 2 for k, _ in texts}
+    tree = _tree([t.encode() for k, t in texts if not held[k]])
+    found = {r["doc_id"]: r["score"] for r in ctw.score_documents(make_docs(texts)).collect()}
+    for k, t in texts:
+        own = tree.log_probability(ctw.grams(*ctw.canonical([t.encode()]))[0]).sum() / math.log(10)
+        assert abs(found[k] - own) < 1e-5 * abs(own), (k, held[k])
+
+
 # ---- 4 packing
 
 
