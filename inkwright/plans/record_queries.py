@@ -98,6 +98,13 @@ def word_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spell.corrections(words.where("n >= 20"), dictionary)
 
 
+def all_word_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All words of old texts that the dictionary lacks, however rare, and the nearest of the frequent ones."""
+    words = spell.dictionary_words(I.old_texts(spark, sf_dir))
+    dictionary = words.where("n >= 100").select(F.col("word").alias("term"), F.col("n").alias("freq"))
+    return spell.corrections(words, dictionary)
+
+
 #: DuckDB counts edits in bytes: each letter becomes one byte.
 _LOWER, _ASCII = "абвгдеёжзийклмнопрстуфхцчшщъыьэюя", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456"
 
@@ -268,7 +275,7 @@ JSON_SQL = "SELECT doc_id, unnest(range(len(p)))::INTEGER AS block_id, 'paragrap
 
 QUERIES = {
     "page_median_role": page_roles, "reading_order_one": reading_order_one, "reading_order_two": reading_order_two, "weighted_font": weighted_font, "safe_matches": safe_matches,
-    "apply_matches": patched_texts, "dictionary_corrections": word_corrections, "corrected_texts": corrected_texts, "spell_run": spell_run, "sentence_split": sentence_split, "bigrams": bigram_counts,
+    "apply_matches": patched_texts, "dictionary_corrections": word_corrections, "dictionary_corrections_whole": all_word_corrections, "corrected_texts": corrected_texts, "spell_run": spell_run, "sentence_split": sentence_split, "bigrams": bigram_counts,
     "pronoun_warnings": pronoun_warnings, "split_words": split_words, "mention_dedupe": mention_dedupe, "mention_diff": mention_diff, "mention_pairs": mention_pairs,
     "sync_apply": sync_apply, "entity_report": entity_report, "source_priority": source_priority, "json_shapes": json_shapes,
 }

@@ -10,7 +10,7 @@ from inkwright.functions import folds
 from inkwright.functions import text as T
 from inkwright.operators import blocks as B
 from inkwright.operators import chapters, context, entities, epub, flags, layout, render, rules, spell
-from inkwright.plans import inputs, pipeline
+from inkwright.plans import inputs, pipeline, registry
 from inkwright.sources import readers
 
 
@@ -207,6 +207,38 @@ def test_dictionary(spark):
     assert done == "Корова и корова, корова."
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, before = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(row[-1] + 1, before[j] + 1, before[j - 1] + (x != y)))
+    return row[-1]
+
+
+def nearest(words, dictionary, distance=2):
+    """Each unknown word's nearest term of a dictionary {term: freq}, by comparing all."""
+    found = {}
+    for word in set(words) - set(dictionary):
+        near = min(((edits(word, term), -n, term) for term, n in dictionary.items()), default=(distance + 1,))
+        if near[0] <= distance:
+            found[word] = near[2]
+    return found
+
+
+def written(spark, place, texts):
+    """A folder with a table of documents."""
+    spark.createDataFrame(texts, "doc_id long, lang string, text string").write.parquet(f"{place}/documents.parquet")
+    return str(place)
+
+
+def test_corrections_of_rare_words(spark, tmp_path):
+    place = written(spark, tmp_path, [(1, "en", "tabula " * 120 + "robota " * 100 + "tabulaa tabla tadula robata robot")])
+    found = {r["word"]: r["fixed"] for r in registry.queries()["dictionary_corrections_whole"](spark, place).collect()}
+    counts = spell.dictionary_words(inputs.old_texts(spark, place)).collect()
+    assert found == nearest([r["word"] for r in counts], {r["word"]: r["n"] for r in counts if r["n"] >= 100}) and len(found) == 5
+
+
 def test_failing_checker_leaves_text(spark):
     class Broken:
         name = "broken"
