@@ -43,18 +43,35 @@ def dictionary_words(texts: DataFrame) -> DataFrame:
     return texts.select(F.explode(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(CYRILLIC_WORD), 0)).alias("w")).groupBy(F.lower("w").alias("word")).agg(F.count("*").alias("n"))
 
 
+def _deletions(word: Column, distance: int) -> Column:
+    """Hashes of a word and of what is left of it after up to `distance` deletions."""
+    found = F.array(word)
+    for _ in range(distance):
+        shorter = F.transform(found, lambda w: F.when(F.length(w) > 0, F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.left(w, i - 1), F.substr(w, i + 1)))).otherwise(F.array().cast("array<string>")))
+        found = F.array_distinct(F.concat(found, F.flatten(shorter)))
+    return F.transform(found, lambda w: F.xxhash64(w))
+
+
 def corrections(words: DataFrame, dictionary: DataFrame, distance: int = 2, prefix: int = 2) -> DataFrame:
     """word, fixed: the nearest dictionary term of each unknown word within an edit distance.
 
     dictionary: term, freq. Candidates share the deletion-free prefix of `prefix` characters and differ in length by at most
-    the distance, an equi-join on (prefix, length); ties go to the more frequent term, then to the first.
+    the distance, an equi-join on (prefix, length); ties go to the more frequent term, then to the first. With prefix 0
+    every term within the distance is a candidate: two words that near have a common rest after at most that many deletions in
+    each, and the join is on hashes of such rests.
     Words that the dictionary has, or that nothing is near, are left out.
     """
     unknown = words.join(dictionary.select(F.col("term").alias("word")), "word", "left_anti")
-    spread = F.explode(F.sequence(F.length("word") - distance, F.length("word") + distance))
-    left = unknown.select("word", F.left("word", F.lit(prefix)).alias("p"), spread.alias("len"))
-    right = dictionary.select("term", "freq", F.left("term", F.lit(prefix)).alias("p"), F.length("term").alias("len"))
-    near = left.join(right, ["p", "len"]).withColumn("d", F.levenshtein("word", "term", distance)).where("d >= 0")
+    if prefix:
+        spread = F.explode(F.sequence(F.length("word") - distance, F.length("word") + distance))
+        left = unknown.select("word", F.left("word", F.lit(prefix)).alias("p"), spread.alias("len"))
+        right = dictionary.select("term", "freq", F.left("term", F.lit(prefix)).alias("p"), F.length("term").alias("len"))
+        pairs = left.join(right, ["p", "len"])
+    else:
+        left = unknown.select("word", F.explode(_deletions(F.col("word"), distance)).alias("rest"))
+        right = dictionary.select("term", "freq", F.explode(_deletions(F.col("term"), distance)).alias("rest"))
+        pairs = left.join(right, "rest").select("word", "term", "freq").distinct()
+    near = pairs.withColumn("d", F.levenshtein("word", "term", distance)).where("d >= 0")
     return near.groupBy("word").agg(F.min_by("term", F.struct("d", -F.col("freq"), "term")).alias("fixed"))
 
 
@@ -76,9 +93,9 @@ def local_matches(texts: DataFrame, fixes: DataFrame, key: str = "doc_id") -> Da
     return texts.select(key, "text").join(gathered, key, "left").withColumn("matches", F.coalesce("matches", F.array().cast(MATCHES)))
 
 
-def correct(texts: DataFrame, dictionary: DataFrame, distance: int = 2, key: str = "doc_id") -> DataFrame:
+def correct(texts: DataFrame, dictionary: DataFrame, distance: int = 2, key: str = "doc_id", prefix: int = 2) -> DataFrame:
     """key, text, matches, applied: texts with unknown words corrected; the dictionary is asked once a distinct word."""
-    rows = local_matches(texts, corrections(dictionary_words(texts), dictionary, distance), key)
+    rows = local_matches(texts, corrections(dictionary_words(texts), dictionary, distance, prefix), key)
     return rows.select(key, apply_matches(F.col("text"), F.col("matches")).alias("text"), F.size("matches").alias("matches"), applied_matches(F.col("text"), F.col("matches")).alias("applied"))
 
 

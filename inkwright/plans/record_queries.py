@@ -102,7 +102,7 @@ def all_word_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All words of old texts that the dictionary lacks, however rare, and the nearest of the frequent ones."""
     words = spell.dictionary_words(I.old_texts(spark, sf_dir))
     dictionary = words.where("n >= 100").select(F.col("word").alias("term"), F.col("n").alias("freq"))
-    return spell.corrections(words, dictionary)
+    return spell.corrections(words, dictionary, prefix=0)
 
 
 #: DuckDB counts edits in bytes: each letter becomes one byte.
@@ -120,7 +120,7 @@ SELECT word, term AS fixed FROM (SELECT *, row_number() OVER (PARTITION BY word
 def corrected_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = I.old_texts(spark, sf_dir)
     dictionary = spell.dictionary_words(texts).where("n >= 200").select(F.col("word").alias("term"), F.col("n").alias("freq"))
-    return spell.correct(texts, dictionary)
+    return spell.correct(texts, dictionary, prefix=0)
 
 
 class _DoubleSpaces:

@@ -239,6 +239,17 @@ def test_corrections_of_rare_words(spark, tmp_path):
     assert found == nearest([r["word"] for r in counts], {r["word"]: r["n"] for r in counts if r["n"] >= 100}) and len(found) == 5
 
 
+def test_corrections_at_every_position(spark, tmp_path):
+    terms = {"корова": 9, "карта": 7, "порода": 5, "дом": 3, "я": 2}
+    words = ["окрова", "горова", "крова", "аорода", "том", "омд", "м", "ы", "хкарта", "корвоа", "зззззз", "корова"]
+    fixes = spell.corrections(spark.createDataFrame([(w,) for w in words], "word string"), spark.createDataFrame(list(terms.items()), "term string, freq long"), prefix=0)
+    found = [(r["word"], r["fixed"]) for r in fixes.collect()]
+    assert len(found) == len(dict(found)) and dict(found) == nearest(words, terms) and len(found) == 10
+    place = written(spark, tmp_path, [(1, "en", "tabula " * 200 + "atbula")])
+    assert "атбула" not in registry.queries()["corrected_texts"](spark, place).first()["text"]
+    assert [r["fixed"] for r in registry.queries()["dictionary_corrections_whole"](spark, place).collect()] == ["табула"]
+
+
 def test_failing_checker_leaves_text(spark):
     class Broken:
         name = "broken"
