@@ -196,10 +196,14 @@ WHERE (lower(t[idx + 1]) IN {_PRONOUNS} OR EXISTS (FROM lexicon WHERE word = low
 # ---------------------------------------------------------------- entities
 
 
-def _mentions(spark: SparkSession, sf_dir: str, odd: int) -> DataFrame:
+#: Names as the SQL has them, cut after six letters, and whole.
+_CUT_NAME, _WHOLE_NAME = "[A-Z][a-z]{2,5}", "[A-Z][a-z]{2,}"
+
+
+def _mentions(spark: SparkSession, sf_dir: str, odd: int, name: str = _CUT_NAME) -> DataFrame:
     """Capitalised words of every second document, by language; the two sides of a comparison."""
     docs = I.table(spark, sf_dir, "documents").where(F.col("doc_id") % 2 == odd)
-    found = docs.select("lang", "doc_id", F.posexplode(F.regexp_extract_all("text", F.lit("[A-Z][a-z]{2,5}"), 0)).alias("k", "text"))
+    found = docs.select("lang", "doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(name), 0)).alias("k", "text"))
     kind = F.when(F.length("text") % 2 == 0, "PER").otherwise("LOC")
     return found.select("lang", F.lit(str(odd)).alias("side"), (F.col("doc_id") * 100000 + F.col("k")).alias("ord"), F.when(F.col("doc_id") % 3 == 0, F.upper("text")).otherwise(F.col("text")).alias("text"), F.lower("text").alias("normal"), kind.alias("type"))
 
@@ -208,6 +212,12 @@ def mention_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.dedupe(_mentions(spark, sf_dir, 0), "lang").select("lang", "ord", "text", "normal", "type")
 
 
+def whole_mention_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First mentions of whole names in all documents, side by side."""
+    both = _mentions(spark, sf_dir, 0, _WHOLE_NAME).unionByName(_mentions(spark, sf_dir, 1, _WHOLE_NAME))
+    return entities.dedupe(both, "lang").select("lang", "side", "ord", "text", "normal", "type")
+
+
 def mention_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.difference(_mentions(spark, sf_dir, 0), _mentions(spark, sf_dir, 1), "lang")
 
@@ -216,6 +226,14 @@ def mention_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.replacement_pairs(_mentions(spark, sf_dir, 0), _mentions(spark, sf_dir, 1), "lang")
 
 
+def whole_mention_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return entities.difference(_mentions(spark, sf_dir, 0, _WHOLE_NAME), _mentions(spark, sf_dir, 1, _WHOLE_NAME), "lang")
+
+
+def whole_mention_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return entities.replacement_pairs(_mentions(spark, sf_dir, 0, _WHOLE_NAME), _mentions(spark, sf_dir, 1, _WHOLE_NAME), "lang")
+
+
 def sync_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four replacements in order on every document; the second undoes a part of the first."""
     pairs = F.array(*(F.struct(F.lit("PER").alias("type"), F.lit(a).alias("old"), F.lit(b).alias("new")) for a, b in (("the", "THE"), ("THEr", "ther"), ("", "x"), ("ion", "iOn"))))
@@ -229,6 +247,11 @@ def entity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.difference_report(langs, diff, "lang")
 
 
+def whole_entity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    langs = I.table(spark, sf_dir, "documents").select("lang")
+    return entities.difference_report(langs, whole_mention_diff(spark, sf_dir), "lang")
+
+
 _MENTIONS = "SELECT lang, doc_id * 100000 + k - 1 AS ord, CASE WHEN doc_id %% 3 = 0 THEN upper(w) ELSE w END AS text, lower(w) AS normal, CASE WHEN length(w) %% 2 = 0 THEN 'PER' ELSE 'LOC' END AS type FROM (SELECT lang, doc_id, unnest(range(1, len(l) + 1)) AS k, unnest(l) AS w FROM (SELECT lang, doc_id, regexp_extract_all(text, '[A-Z][a-z]{2,5}') AS l FROM documents WHERE doc_id %% 2 = %d))"
 _MENTIONS_CTE = f"a AS ({_MENTIONS % 0}), b AS ({_MENTIONS % 1})"
 _KEYED_CTE = _MENTIONS_CTE + ", ka AS (SELECT lang, normal, type, arg_max(text, ord) AS text, min(ord) AS ord FROM a GROUP BY ALL), kb AS (SELECT lang, normal, type, arg_max(text, ord) AS text, min(ord) AS ord FROM b GROUP BY ALL)"
@@ -277,6 +300,7 @@ QUERIES = {
     "page_median_role": page_roles, "reading_order_one": reading_order_one, "reading_order_two": reading_order_two, "weighted_font": weighted_font, "safe_matches": safe_matches,
     "apply_matches": patched_texts, "dictionary_corrections": word_corrections, "dictionary_corrections_whole": all_word_corrections, "corrected_texts": corrected_texts, "spell_run": spell_run, "sentence_split": sentence_split, "bigrams": bigram_counts,
     "pronoun_warnings": pronoun_warnings, "split_words": split_words, "mention_dedupe": mention_dedupe, "mention_diff": mention_diff, "mention_pairs": mention_pairs,
+    "mention_dedupe_whole": whole_mention_dedupe, "mention_diff_whole": whole_mention_diff, "mention_pairs_whole": whole_mention_pairs, "entity_report_whole": whole_entity_report,
     "sync_apply": sync_apply, "entity_report": entity_report, "source_priority": source_priority, "json_shapes": json_shapes,
 }
 

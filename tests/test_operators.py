@@ -250,6 +250,16 @@ def test_corrections_at_every_position(spark, tmp_path):
     assert [r["fixed"] for r in registry.queries()["dictionary_corrections_whole"](spark, place).collect()] == ["табула"]
 
 
+def test_whole_names_of_all_documents(spark, tmp_path):
+    place = written(spark, tmp_path, [(1, "en", "Alexander met Alexandra"), (2, "en", "Alexandra met Bob and Alexandra"), (3, "en", "Alexandra"), (5, "fr", "Zoe")])
+    run = lambda name: registry.queries()[name](spark, place).collect()
+    assert sorted((r["lang"], r["side"], r["ord"], r["text"]) for r in run("mention_dedupe_whole")) == [
+        ("en", "0", 200000, "Alexandra"), ("en", "0", 200001, "Bob"), ("en", "1", 100000, "Alexander"), ("en", "1", 100001, "Alexandra"), ("fr", "1", 500000, "Zoe")]
+    assert sorted((r["missing_in"], r["normal"]) for r in run("mention_diff_whole")) == [("clean", "bob"), ("source", "alexander"), ("source", "zoe")]
+    assert [(r["old"], r["new"]) for r in run("mention_pairs_whole")] == [("ALEXANDRA", "Alexandra")]
+    assert any("alexander" in r["report"] for r in run("entity_report_whole"))
+
+
 def test_failing_checker_leaves_text(spark):
     class Broken:
         name = "broken"
