@@ -53,14 +53,17 @@ def _patched(text: Column, matches: Column) -> Column:
 
 
 def apply_matches(text: Column, matches: Column) -> Column:
-    """The text with each match's first replacement put in, in order of offset; overlapping matches and ones without replacement are skipped."""
+    """The text with each match's first replacement put in, in order of offset; overlapping matches and ones without replacement are skipped.
+
+    Places beyond the end of the text are clipped to it. A null text stays null.
+    """
     done = _patched(text, matches)
     return F.concat(done["out"], F.substr(text, done["at"] + 1))
 
 
 def applied_matches(text: Column, matches: Column) -> Column:
-    """How many matches apply_matches puts in."""
-    return _patched(text, matches)["n"]
+    """How many matches apply_matches puts in; none into a null text."""
+    return F.when(text.isNull(), 0).otherwise(_patched(text, matches)["n"])
 
 
 def replace_in_order(text: Column, pairs: Column) -> Column:

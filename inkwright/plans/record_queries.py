@@ -65,11 +65,11 @@ FROM lineitem GROUP BY l_orderkey HAVING count(*) FILTER (WHERE l_suppkey % 9 <>
 # ---------------------------------------------------------------- spelling
 
 
-def _with_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with matches that overlap, lack replacements or have rules of several kinds."""
+def _with_matches(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    """Documents, as in the SQL those of over 100 characters or all, with matches that overlap, lack replacements or have rules of several kinds."""
     rule = lambda i: F.element_at(F.array(*map(F.lit, ("MORFOLOGIK_RULE", "Style", "multiple_spaces", "COMMA", None))), (i % 5 + 1).cast("int"))
     match = lambda i: F.struct((i * 7 + F.col("doc_id") % 5).cast("int").alias("offset"), (i % 4 + 3 + i % 3 * 4).cast("int").alias("length"), F.when(i % 4 == 1, F.array().cast("array<struct<value:string>>")).otherwise(F.array(F.struct(F.concat(F.lit("X"), i.cast("string")).alias("value")))).alias("replacements"), F.struct(rule(i).alias("id"), F.lit("").alias("description")).alias("rule"))
-    docs = I.spread(I.table(spark, sf_dir, "documents").where(F.length("text") > 100).select("doc_id", "text"))
+    docs = I.spread(I.table(spark, sf_dir, "documents").where(F.lit(whole) | (F.length("text") > 100)).select("doc_id", "text"))
     return docs.withColumn("matches", F.transform(F.sequence(F.lit(0), F.lit(9)), match))
 
 
@@ -77,8 +77,19 @@ def safe_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_matches(spark, sf_dir).select("doc_id", F.size(spell.safe_matches(F.col("matches"))).alias("safe"))
 
 
+def whole_safe_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_matches(spark, sf_dir, True).select("doc_id", F.size(spell.safe_matches(F.col("matches"))).alias("safe"))
+
+
+def whole_patched_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _patched(_with_matches(spark, sf_dir, True))
+
+
 def patched_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _with_matches(spark, sf_dir)
+    return _patched(_with_matches(spark, sf_dir))
+
+
+def _patched(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", apply_matches(F.col("text"), F.col("matches")).alias("text"), applied_matches(F.col("text"), F.col("matches")).alias("applied"))
 
 
@@ -298,7 +309,7 @@ JSON_SQL = "SELECT doc_id, unnest(range(len(p)))::INTEGER AS block_id, 'paragrap
 
 QUERIES = {
     "page_median_role": page_roles, "reading_order_one": reading_order_one, "reading_order_two": reading_order_two, "weighted_font": weighted_font, "safe_matches": safe_matches,
-    "apply_matches": patched_texts, "dictionary_corrections": word_corrections, "dictionary_corrections_whole": all_word_corrections, "corrected_texts": corrected_texts, "spell_run": spell_run, "sentence_split": sentence_split, "bigrams": bigram_counts,
+    "apply_matches": patched_texts, "safe_matches_whole": whole_safe_matches, "apply_matches_whole": whole_patched_texts, "dictionary_corrections": word_corrections, "dictionary_corrections_whole": all_word_corrections, "corrected_texts": corrected_texts, "spell_run": spell_run, "sentence_split": sentence_split, "bigrams": bigram_counts,
     "pronoun_warnings": pronoun_warnings, "split_words": split_words, "mention_dedupe": mention_dedupe, "mention_diff": mention_diff, "mention_pairs": mention_pairs,
     "mention_dedupe_whole": whole_mention_dedupe, "mention_diff_whole": whole_mention_diff, "mention_pairs_whole": whole_mention_pairs, "entity_report_whole": whole_entity_report,
     "sync_apply": sync_apply, "entity_report": entity_report, "source_priority": source_priority, "json_shapes": json_shapes,

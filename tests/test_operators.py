@@ -260,6 +260,24 @@ def test_whole_names_of_all_documents(spark, tmp_path):
     assert any("alexander" in r["report"] for r in run("entity_report_whole"))
 
 
+def test_matches_beyond_the_end(spark, tmp_path):
+    texts = [(0, "en", None), (1, "en", ""), (2, "en", "short text"), (3, "en", "x" * 50), (4, "en", "y" * 200)]
+    place = written(spark, tmp_path, texts)
+
+    def patched(doc_id, text):
+        out, at, n = [], 0, 0
+        for i in range(10):
+            start, length = i * 7 + doc_id % 5, i % 4 + 3 + i % 3 * 4
+            if start >= at and i % 4 != 1:
+                out += [text[at:start], f"X{i}"]
+                at, n = start + length, n + 1
+        return "".join(out) + text[at:], n
+
+    found = {r["doc_id"]: (r["text"], r["applied"]) for r in registry.queries()["apply_matches_whole"](spark, place).collect()}
+    assert found == {k: (None, 0) if t is None else patched(k, t) for k, _, t in texts}
+    assert {r["doc_id"]: r["safe"] for r in registry.queries()["safe_matches_whole"](spark, place).collect()} == dict.fromkeys(range(5), 4)
+
+
 def test_failing_checker_leaves_text(spark):
     class Broken:
         name = "broken"
