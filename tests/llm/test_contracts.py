@@ -134,6 +134,16 @@ def test_page_differencing(spark):
     assert html.main_text(df.limit(0)).count() == 0
 
 
+def test_short_bodies_lose_their_furniture(spark):
+    menu = "".join(f"<div>Entry {k} of a long list</div>" for k in range(14))
+    table = [(k, f"http://h.org/a/{k}", f"{menu}<p>what only page number {k} says of itself</p><div>Call us now</div>") for k in range(6)]
+    copies = [(10 + k, f"http://copy.org/{k}", f"{menu}<p>the same body on both pages</p>") for k in range(2)]
+    df = spark.createDataFrame(table + copies, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in html.main_text(df).collect()}
+    assert all(found[k] == f"what only page number {k} says of itself" for k in range(6))
+    assert all(found[k].endswith("the same body on both pages") for k in (10, 11))
+
+
 # ---- 3 context-tree weighting
 
 
