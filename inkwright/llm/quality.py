@@ -31,6 +31,10 @@ def gumbel(ids: np.ndarray, seed: int) -> np.ndarray:
     return -np.log(-np.log((uniform + 0.5) / 2.0**53))
 
 
+#: Weighted counts are kept as whole numbers of this part of one.
+_UNIT = 2.0**20
+
+
 @dataclass(frozen=True)
 class Resampler:
     """The log ratio of the two models per bucket, and how documents are weighted."""
@@ -58,12 +62,12 @@ def _slim(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 17, sharpness: float = 200.0, most_labels: int = 20_000, clip: int = 64, seed: int = 5) -> tuple[Resampler, dict[int, int]]:
+def fit(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 17, sharpness: float = 200.0, most_labels: int = 20_000, seed: int = 5) -> tuple[Resampler, dict[int, int]]:
     """Both generative models, counted over all documents in one scan.
 
     Raw text is every document; target text is those labelled quality 1 within a bounded sample
-    of at most `most_labels` labels. A document counts an n-gram at most `clip` times, so that a very long
-    repetitive one does not outweigh the rest. Counts of `buckets` hashed n-grams are added up in each task
+    of at most `most_labels` labels. An n-gram that a document has n times counts log2(1 + n) there, at any n, so that a very long
+    repetitive one does not outweigh the rest; whole multiples of 2**-20 add up to the same in any order. Counts of `buckets` hashed n-grams are added up in each task
     and then across tasks; the driver gets one row a bucket.
     """
     sample = labelled_sample(labels, "quality", most_labels)
@@ -77,7 +81,7 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 17, sharpness: f
                 grams, owner = ngram_buckets(texts[i:j], buckets)
                 good = np.fromiter((x in wanted for x in ids[i:j]), bool, j - i)
                 own, times = np.unique(owner * buckets + grams, return_counts=True)
-                bucket, times = own % buckets, np.minimum(times, clip)
+                bucket, times = own % buckets, np.rint(np.log2(times + 1.0) * _UNIT)
                 wanted_here = good[own // buckets]
                 raw += np.bincount(bucket, times, buckets).astype(np.int64)
                 target += np.bincount(bucket[wanted_here], times[wanted_here], buckets).astype(np.int64)
@@ -86,8 +90,8 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 17, sharpness: f
 
     rows = _slim(docs).mapInArrow(count, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
     raw, target = np.ones(buckets), np.ones(buckets)
-    raw[rows["bucket"]] += rows["raw"]
-    target[rows["bucket"]] += rows["target"]
+    raw[rows["bucket"]] += rows["raw"] / _UNIT
+    target[rows["bucket"]] += rows["target"] / _UNIT
     ratio = np.log(target / target.sum()) - np.log(raw / raw.sum()) if wanted else np.zeros(buckets)
     return Resampler(ratio.astype(np.float32), sharpness, seed), sample
 

@@ -411,6 +411,18 @@ def test_quality(spark, make_docs):
     assert quality.resample(docs.limit(0), labels).count() == 0
 
 
+def test_quality_counts_every_occurrence(spark, make_docs):
+    texts = [(1, "spam " * 500 + "end"), (2, "good words here " * 100), (3, None)]
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, quality int")
+    model, _ = quality.fit(make_docs(texts), labels, buckets=1 << 12)
+    raw, target = np.ones(1 << 12), np.ones(1 << 12)
+    for k, t in texts:
+        own = np.log2(1 + np.bincount(quality.ngram_buckets([(t or "").encode()], 1 << 12)[0], minlength=1 << 12))
+        raw += own
+        target += own * (k == 2)
+    assert np.allclose(model.ratio, np.log(target / target.sum()) - np.log(raw / raw.sum()), atol=1e-5)
+
+
 def test_kth_largest(spark):
     rng = np.random.default_rng(6)
     values = np.concatenate((rng.standard_normal(500) * 100, np.zeros(5)))
