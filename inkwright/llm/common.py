@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,11 +21,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder named by spark.checkpoint.dir; make one only where none is set (tests)."""
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names, which driver and executors share.
+
+    Where it is unset, a session of one machine (local, as in tests) gets a folder of its own; on a cluster that is an error.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="inkwright-"))
+        named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+        if not named and not re.match(r"local(\[[^,\]]*(,[^\]]*)?\])?$", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="inkwright-"))
+    return sc.getCheckpointDir()
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    shared_dir(spark)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -33,12 +45,44 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Scratch:
+    """Tables of one call in the shared folder: each is written at once, which cuts lineage, and goes when it is dropped.
+
+    Tables that a lazy result still reads stay, in one folder a call.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.place = spark, f"{shared_dir(spark)}/tables-{uuid.uuid4().hex}"
+        self.held: list[tuple[DataFrame, str]] = []
+
+    def put(self, df: DataFrame) -> DataFrame:
+        path = f"{self.place}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        read = self.spark.read.schema(df.schema).parquet(path)
+        self.held.append((read, path))
+        return read
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Remove the files of these tables."""
+        for one in tables:
+            for df, path in self.held:
+                if df is one:
+                    remove(self.spark, path)
+        self.held = [x for x in self.held if not any(x[0] is one for one in tables)]
+
+    def keep(self, *tables: DataFrame) -> None:
+        """Remove the files of all other tables."""
+        self.drop(*[df for df, _ in self.held if not any(df is one for one in tables)])
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts lineage in less space than a checkpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
-    place = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
-    df.write.parquet(place)
-    return df.sparkSession.read.parquet(place)
+    return Scratch(df.sparkSession).put(df)
 
 
 def parallelism(spark: SparkSession) -> int:
@@ -57,22 +101,6 @@ _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INV = pow(_BASE, -1, 1 << 64)
-_POWERS: dict[str, np.ndarray] = {"p": np.ones(1, _U64), "i": np.ones(1, _U64)}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0..n-1 of the hash base and of its inverse modulo 2**64."""
-    if len(_POWERS["p"]) < n:
-        size = 1 << (n - 1).bit_length()
-        for key, base in (("p", _BASE), ("i", _BASE_INV)):
-            powers = np.full(size, base, _U64)
-            powers[0] = 1
-            _POWERS[key] = np.cumprod(powers, dtype=_U64)
-    return _POWERS["p"][:n], _POWERS["i"][:n]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit changes about half of the output bits."""
     x = x ^ (x >> _U64(30))
@@ -83,14 +111,37 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def spans(values: np.ndarray):
-    """A function that hashes spans (first, after) of the values, bytes or code points, to 64 bits."""
-    power, inverse = _powers(len(values))
-    prefix = np.zeros(len(values) + 1, _U64)
-    np.cumsum((values.astype(_U64) + _U64(1)) * power, dtype=_U64, out=prefix[1:])
+#: Values of pieces of a hash that are looked up: places in a word below 32, bytes and code points below 1024.
+_PLACES, _VALUES = 32, 1024
+
+
+def _piece(place: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """What a value at a place of its word adds to the word's hash."""
+    return mix(mix(place.astype(_U64) + _U64(0x9E3779B97F4A7C15)) + value.astype(_U64))
+
+
+_PIECES = _piece(np.repeat(np.arange(_PLACES), _VALUES), np.tile(np.arange(_VALUES), _PLACES))
+
+
+def spans(values: np.ndarray, starts: np.ndarray):
+    """A function that hashes spans (first, after) of the values, bytes or code points, to 64 bits; each `first` is one of `starts`.
+
+    A span's hash is a sum of mixed (place, value) pairs, so, unlike a polynomial modulo 2**64, no two words are known to collide.
+    No Python code runs per span.
+    """
+    n = len(values)
+    place = np.arange(n)
+    if len(starts):
+        place -= np.repeat(starts, np.diff(starts, append=n)) if starts[0] == 0 else np.concatenate((np.zeros(starts[0], np.int64), np.repeat(starts, np.diff(starts, append=n))))
+    wide = values.dtype.itemsize > 1
+    pieces = _PIECES[np.minimum(place, _PLACES - 1) * _VALUES + (np.minimum(values, _VALUES - 1) if wide else values)]
+    rest = np.flatnonzero((place >= _PLACES) | (values >= _VALUES) if wide else place >= _PLACES)
+    pieces[rest] = _piece(place[rest], values[rest])
+    prefix = np.zeros(n + 1, _U64)
+    np.cumsum(pieces, dtype=_U64, out=prefix[1:])
 
     def span(first: np.ndarray, after: np.ndarray) -> np.ndarray:
-        return mix((prefix[after] - prefix[first]) * inverse[first] + (after - first).astype(_U64))
+        return mix(prefix[after] - prefix[first] + (after - first).astype(_U64))
 
     return span
 
@@ -102,19 +153,18 @@ def code_points(texts: list[str]) -> np.ndarray:
 class IdTable:
     """Token ids by 64-bit hash: an open-addressed table over one array of ids, for one worker.
 
+    Each entry keeps the characters it stands for, and an entry found by hash is only used for the same characters.
     It holds at most `most` entries; when that is exceeded it starts afresh.
     """
 
-    def __init__(self, most: int = 1_200_000, bits: int = 22):
+    def __init__(self, most: int = 1_000_000, bits: int = 22):
         self.most, self.bits = most, bits
         self.clear()
 
     def clear(self) -> None:
         self.keys = np.zeros(1 << self.bits, _U64)
         self.place = np.zeros(1 << self.bits, np.int32)
-        self.start, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
-        self.ids = np.zeros(1 << 18, np.int32)
-        self.count = self.used = 0
+        self.ids, self.characters = _Lists(np.int32), _Lists(np.uint32)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The entry of each hash, -1 where there is none."""
@@ -129,57 +179,95 @@ class IdTable:
             todo, at = todo[on], at[on] + 1 & (1 << self.bits) - 1
         return out
 
-    def add(self, hashes: np.ndarray, coded: list[bytes]) -> None:
-        """Add distinct, absent hashes with their ids (little-endian int32)."""
-        n, flat = len(hashes), np.frombuffer(b"".join(coded), "<i4")
-        while self.count + n > len(self.start):
-            self.start, self.size = np.concatenate((self.start, np.zeros_like(self.start))), np.concatenate((self.size, np.zeros_like(self.size)))
-        while self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-        sizes = np.fromiter(map(len, coded), np.int64, n) // 4
-        self.ids[self.used : self.used + len(flat)] = flat
-        self.start[self.count : self.count + n] = self.used + np.cumsum(sizes) - sizes
-        self.size[self.count : self.count + n] = sizes
-        todo, at = np.arange(n), (hashes >> _U64(64 - self.bits)).astype(np.int64)
+    def add(self, hashes: np.ndarray, coded: list[bytes], words: list[np.ndarray]) -> np.ndarray:
+        """New entries: ids (little-endian int32) and characters of distinct, absent hashes; a hash 0 is never found again."""
+        entries = self.ids.append([np.frombuffer(c, "<i4") for c in coded])
+        self.characters.append(words)
+        todo = np.flatnonzero(hashes)
+        at = (hashes[todo] >> _U64(64 - self.bits)).astype(np.int64)
         while len(todo):
             free = np.flatnonzero(self.keys[at] == 0)
             slot, first = np.unique(at[free], return_index=True)
             won = free[first]
-            self.keys[slot], self.place[slot] = hashes[todo[won]], self.count + todo[won]
+            self.keys[slot], self.place[slot] = hashes[todo[won]], entries[todo[won]]
             rest = np.ones(len(todo), bool)
             rest[won] = False
             todo, at = todo[rest], at[rest]
             at = np.where(self.keys[at] != 0, at + 1 & (1 << self.bits) - 1, at)
-        self.count += n
-        self.used += len(flat)
+        return entries
 
-    def resolve(self, hashes: np.ndarray, code) -> np.ndarray:
-        """Entries of all hashes; `code` makes the ids of the rows, given as indices, whose hash is new."""
-        if self.count > self.most:
+    def resolve(self, hashes: np.ndarray, values: np.ndarray, first: np.ndarray, after: np.ndarray, code) -> np.ndarray:
+        """Entries of all spans (first, after) of the values; `code` makes the ids of the spans, given as indices, that are new."""
+        if self.ids.count > self.most:
             self.clear()
+        hashes = np.maximum(hashes, _U64(1))
         found = self.find(hashes)
         new = np.flatnonzero(found < 0)
         if len(new):
-            fresh, first = np.unique(hashes[new], return_index=True)
-            self.add(fresh, code(new[first]))
+            fresh, at = np.unique(hashes[new], return_index=True)
+            rows = new[at]
+            self.add(fresh, code(rows), [values[i:j] for i, j in zip(first[rows].tolist(), after[rows].tolist())])
             found[new] = self.find(hashes[new])
+        odd = self._different(found, values, first, after)
+        if len(odd):  # a hash that stands for something else
+            found[odd] = self.add(np.zeros(len(odd), _U64), code(odd), [values[i:j] for i, j in zip(first[odd].tolist(), after[odd].tolist())])
         return found
 
+    def _different(self, entries: np.ndarray, values: np.ndarray, first: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """The spans whose characters are not those of their entry."""
+        sizes = (after - first).astype(np.int64)
+        unlike = self.characters.size[entries] != sizes
+        if unlike.any():
+            sizes = np.where(unlike, 0, sizes)
+        ends = np.cumsum(sizes)
+        within = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - sizes, sizes)
+        own = values[np.repeat(first, sizes) + within]
+        theirs = self.characters.flat[np.repeat(self.characters.start[entries], sizes) + within]
+        wrong = np.flatnonzero(own != theirs)
+        unlike[np.searchsorted(ends, wrong, "right")] = True
+        return np.flatnonzero(unlike)
+
     def gather(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all entries in a row, and how many each has."""
+        return self.ids.gather(entries)
+
+
+class _Lists:
+    """Lists of numbers in one array that grows."""
+
+    def __init__(self, kind: type):
+        self.flat, self.start, self.size = np.zeros(1 << 18, kind), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
+        self.count = self.used = 0
+
+    def append(self, lists: list[np.ndarray]) -> np.ndarray:
+        """Numbers of the new lists."""
+        n, flat = len(lists), np.concatenate([*lists, np.zeros(0, self.flat.dtype)])
+        while self.count + n > len(self.start):
+            self.start, self.size = np.concatenate((self.start, np.zeros_like(self.start))), np.concatenate((self.size, np.zeros_like(self.size)))
+        while self.used + len(flat) > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
+        sizes = np.fromiter(map(len, lists), np.int64, n)
+        self.flat[self.used : self.used + len(flat)] = flat
+        self.start[self.count : self.count + n] = self.used + np.cumsum(sizes) - sizes
+        self.size[self.count : self.count + n] = sizes
+        self.count += n
+        self.used += len(flat)
+        return np.arange(self.count - n, self.count, dtype=np.int32)
+
+    def gather(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of some lists in a row, and how many each has."""
         sizes = self.size[entries].astype(np.int64)
         ends = np.cumsum(sizes)
         at = np.repeat(self.start[entries] - (ends - sizes), sizes)
-        return self.ids[at + np.arange(len(at))], sizes
+        return self.flat[at + np.arange(len(at))], sizes
 
 
 def _scan(texts: list[bytes], white: np.ndarray):
     """Starts and ends of the words of the joined texts, how many each text has, and a span hash.
 
-    The hash of a span is a difference of prefix sums of one polynomial hash, so no Python code runs per word.
+    The hash of a span is a difference of prefix sums, so no Python code runs per word.
     """
     data = _LOWER[np.frombuffer(b" ".join(texts) + b" ", np.uint8)]
-    span = spans(data)
     gap = white[data]
     edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
     starts = edge[gap[edge - 1]]
@@ -187,7 +275,7 @@ def _scan(texts: list[bytes], white: np.ndarray):
         starts = np.concatenate(([0], starts))
     ends = edge[~gap[edge - 1]]
     limits = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
-    return starts, ends, np.diff(np.searchsorted(starts, limits), prepend=0), span
+    return starts, ends, np.diff(np.searchsorted(starts, limits), prepend=0), spans(data, starts)
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import heapq
-import zlib
 from functools import lru_cache
 
 import numpy as np
@@ -37,14 +36,14 @@ class MergeDropout:
     A text is a space and the text itself, cut into segments: spaces and the characters after
     them up to the next space, which no piece of the vocabulary reaches across. In each segment
     an agenda takes the candidate merges by score, the leftmost among equals; a candidate is skipped when
-    a hash keyed by (seed, variant, segment, place, merged piece) falls below `rate`. Each occurrence of a segment
-    draws one of `variants` by a hash keyed by (seed, document, number of the segment), so the same word is
-    segmented in several ways within a document, and every worker can keep what it has merged.
+    a hash keyed by (seed, document, number of the segment, place, merged piece) falls below `rate`. So every occurrence
+    of a word draws for itself. A segment's ids depend on which of its candidates are skipped; that pattern is
+    worked out for all occurrences at once, and a worker keeps the ids of the (segment, pattern) pairs it has merged.
     Characters that the vocabulary lacks become their UTF-8 bytes. With rate 0 the ids are those of the
     SentencePiece library.
     """
 
-    def __init__(self, path: str, rate: float, seed: int, variants: int = 4):
+    def __init__(self, path: str, rate: float, seed: int):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -62,14 +61,17 @@ class MergeDropout:
         for b, k in enumerate(self.byte_ids):
             self.surface[k] = bytes([b])
         self.limit = int(rate * 2**64)
-        self.keys = [_mix(seed * variants + v + 0x51ED270B) for v in range(variants)]
-        self.seed, self.variants = seed, variants
+        self.seed = seed
         breaks = "".join(c for c in "\n\t\r" if not any(c in p for p in self.ids))
         self.breaks = np.array([ord(c) for c in breaks], np.uint32)
         # an inner space mark would let merges cross segments: then texts are segments
         self.whole = any(SPACE in p.lstrip(SPACE) for p in self.ids)
         self.pairs = self._pair_table()
-        self.table = IdTable()
+        self.longest_piece = max(map(len, self.ids))
+        self.known = np.zeros(0x110000, bool)
+        self.known[[ord(c) for c in self.characters]] = True
+        self.known[ord(SPACE)] = False  # one in the text is not a space
+        self.candidates, self.table = IdTable(), IdTable()
 
     def _pair_table(self) -> tuple[np.ndarray, np.ndarray, int]:
         """Merged piece of each pair of pieces, as a sorted array of pair keys."""
@@ -89,7 +91,7 @@ class MergeDropout:
             while slots[at] >= 0:
                 at, run = at + 1, run + 1
             slots[at], merged[at], longest = key, found[key], max(longest, run)
-        self.bits, self.longest = bits, longest
+        self.bits, self.longest, self.makeable = bits, longest, frozenset(found.values())
         return slots, merged, longest
 
     def _merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -112,9 +114,8 @@ class MergeDropout:
         x = key ^ (start.astype(_U64) * _U64(0xD6E8FEB86659FD93) + piece.astype(_U64))
         return mix(x) < _U64(min(self.limit, _MASK))
 
-    def _agenda(self, variant: int, segment: str) -> bytes:
+    def _agenda(self, key: int, segment: str) -> bytes:
         """One segment by a heap of candidate merges; for long segments and such with characters that the vocabulary lacks."""
-        key = _mix(self.keys[variant] ^ zlib.crc32(segment.encode()))
         # a space mark in the text itself is a character like others, not a space
         symbols: list[str | None] = [SPACE if c == " " else MARK if c == SPACE else c for c in segment]
         ids = [self.ids.get(c, -1) if c != MARK else -1 for c in symbols]
@@ -152,8 +153,8 @@ class MergeDropout:
                 out += [ids[i]] if ids[i] >= 0 else [self.byte_ids[b] for b in (SPACE if symbols[i] == MARK else symbols[i]).encode()]
         return np.asarray(out, "<i4").tobytes()
 
-    def _many(self, variant: int, segments: list[str]) -> list[bytes]:
-        """All segments at once: in each round every segment takes its best candidate that is not dropped.
+    def _many(self, key: np.ndarray, segments: list[str]) -> list[bytes]:
+        """All segments at once, each with its key: in each round every segment takes its best candidate that is not dropped.
 
         Symbols stay at their first character; links to the next and previous symbol skip what merged away.
         """
@@ -166,7 +167,6 @@ class MergeDropout:
         sym[inside] = letters
         after = np.where(np.arange(1, width + 1)[None, :] < size[:, None], np.arange(1, width + 1, dtype=np.int16)[None, :], np.int16(-1))
         before = np.broadcast_to(np.arange(-1, width - 1, dtype=np.int16), sym.shape).copy()
-        key = mix(np.fromiter((zlib.crc32(s.encode()) for s in segments), _U64, n) ^ _U64(self.keys[variant]))
         none = np.int32((1 << 30) + 1)
         piece = np.full((n, width), -1, np.int32)
         order = np.full((n, width), none, np.int32)
@@ -207,20 +207,35 @@ class MergeDropout:
         ends = np.cumsum(kept.sum(1) * 4).tolist()
         return [flat[i:j] for i, j in zip([0, *ends[:-1]], ends)]
 
-    def code(self, variant: int, segments: list[str]) -> list[bytes]:
-        """The ids of segments under one variant."""
-        known = self.characters.keys()
+    def code(self, keys: np.ndarray, segments: list[str]) -> list[bytes]:
+        """The ids of segments of known characters, each under its key."""
         out: list[bytes] = [b""] * len(segments)
-        easy = [k for k, s in enumerate(segments) if len(s) <= WIDE and SPACE not in s and known >= set(s)]
-        easy.sort(key=lambda k: len(segments[k]))
-        for i in range(0, len(easy), 4096):
-            part = easy[i : i + 4096]
-            for k, ids in zip(part, self._many(variant, [segments[k] for k in part])):
+        order = sorted(range(len(segments)), key=lambda k: len(segments[k]))
+        for i in range(0, len(order), 4096):
+            part = order[i : i + 4096]
+            for k, ids in zip(part, self._many(keys[part], [segments[k] for k in part])):
                 out[k] = ids
-        for k in set(range(len(segments))).difference(easy):
-            out[k] = self._agenda(variant, segments[k])
         return out
 
+    def _possible(self, segment: str) -> bytes:
+        """All merges that an agenda may meet in a segment, as place << 20 | piece."""
+        text, out, ids = segment.replace(" ", SPACE), [], self.ids
+        for i in range(len(text) - 1):
+            for j in range(i + 2, min(len(text), i + self.longest_piece) + 1):
+                k = ids.get(text[i:j])
+                if k in self.makeable:
+                    out.append(i << 20 | k)
+        return np.asarray(out, "<i4").tobytes()
+
+    def _patterns(self, keys: np.ndarray, entries: np.ndarray) -> np.ndarray:
+        """A hash of the possible merges that each segment's key skips."""
+        possible, sizes = self.candidates.gather(entries)
+        ends = np.cumsum(sizes)
+        skipped = np.flatnonzero(self._dropped(np.repeat(keys, sizes), possible >> 20, possible & (1 << 20) - 1))
+        total = np.append(_U64(0), np.cumsum(mix(possible[skipped].astype(_U64) + _U64(1)), dtype=_U64))
+        upto = total[np.searchsorted(skipped, ends)]
+        return mix(np.diff(upto, prepend=_U64(0)))
+
     def _segments(self, points: np.ndarray, opens: np.ndarray) -> np.ndarray:
         """Starts of the segments: spaces with what follows them, and single breaks; `opens` are the texts' starts."""
         start = np.zeros(len(points), bool)
@@ -244,21 +259,25 @@ class MergeDropout:
         after = np.append(first[1:], len(points))
         upto = np.searchsorted(first, ends)
         counts = np.diff(upto, prepend=0)
-        key = np.fromiter((_mix((x & _MASK) ^ _mix(self.seed + 0x2545F491)) for x in ids), _U64, len(ids))
+        of_text = np.fromiter((_mix((x & _MASK) ^ _mix(self.seed + 0x2545F491)) for x in ids), _U64, len(ids))
         number = np.arange(len(first)) - np.repeat(upto - counts, counts)
-        drawn = (mix(np.repeat(key, counts) + number.astype(_U64)) % _U64(self.variants)).astype(np.int64)
-        hashes = mix(spans(points)(first, after) ^ np.asarray(self.keys, _U64)[drawn]) | _U64(1)
-
-        def code(rows: np.ndarray) -> list[bytes]:
-            out: list[bytes] = [b""] * len(rows)
-            segments = [points[i:j].tobytes().decode("utf-32-le") for i, j in zip(first[rows].tolist(), after[rows].tolist())]
-            for v in range(self.variants):
-                own = np.flatnonzero(drawn[rows] == v).tolist()
-                for k, coded in zip(own, self.code(v, [segments[k] for k in own])):
-                    out[k] = coded
-            return out
-
-        flat, pieces = self.table.gather(self.table.resolve(hashes, code))
+        keys = mix(np.repeat(of_text, counts) + mix(number.astype(_U64)))
+        odd = (after - first > WIDE) | (np.add.reduceat(~self.known[points], first, dtype=np.int64) > 0)
+        easy, hard = np.flatnonzero(~odd), np.flatnonzero(odd)
+        entries = np.zeros(len(first), np.int32)
+
+        def segments(rows: np.ndarray) -> list[str]:
+            return [points[i:j].tobytes().decode("utf-32-le") for i, j in zip(first[rows].tolist(), after[rows].tolist())]
+
+        if len(easy):
+            hashes, own, begin, end = spans(points, first)(first[easy], after[easy]), keys[easy], first[easy], after[easy]
+            if self.limit:
+                possible = self.candidates.resolve(hashes, points, begin, end, lambda rows: [self._possible(s) for s in segments(easy[rows])])
+                hashes = mix(hashes ^ self._patterns(own, possible))
+            entries[easy] = self.table.resolve(hashes, points, begin, end, lambda rows: self.code(own[rows], segments(easy[rows])))
+        coded = [self._agenda(k, s) for k, s in zip(keys[hard].tolist(), segments(hard))]
+        entries[hard] = self.table.add(np.zeros(len(hard), _U64), coded, [points[:0]] * len(hard))
+        flat, pieces = self.table.gather(entries)
         edges = (np.append(0, np.cumsum(pieces))[upto] * 4).tolist()
         flat = flat.astype("<i4").tobytes()
         return [flat[i:j] for i, j in zip([0, *edges[:-1]], edges)]

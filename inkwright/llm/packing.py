@@ -115,7 +115,7 @@ class WordTokens:
         def code(rows: np.ndarray) -> list[bytes]:
             return self._word_ids([low[i:j].tobytes().decode("utf-32-le") for i, j in zip(first[rows].tolist(), after[rows].tolist())])
 
-        entries = self.table.resolve(spans(low)(first, after), code) if len(first) else np.zeros(0, np.int32)
+        entries = self.table.resolve(spans(low, first)(first, after), low, first, after, code) if len(first) else np.zeros(0, np.int32)
         flat, counts = self.table.gather(entries)
         upto = np.append(0, np.cumsum(counts))[np.searchsorted(first, ends)] * 4
         flat = flat.astype("<i4").tobytes()

@@ -45,11 +45,42 @@ def test_id_table_survives_collisions():
     rng = np.random.default_rng(0)
     for _ in range(20):
         h = rng.integers(1, 1 << 62, 100).astype(np.uint64)
-        entries = table.resolve(h, lambda at: [np.asarray([int(h[k]) % 97, 5], "<i4").tobytes() for k in at])
+        n = np.arange(100)
+        entries = table.resolve(h, h.astype(np.uint32), n, n + 1, lambda at: [np.asarray([int(h[k]) % 97, 5], "<i4").tobytes() for k in at])
         ids, sizes = table.gather(entries)
         assert ids.reshape(-1, 2)[:, 0].tolist() == [int(x) % 97 for x in h] and (sizes == 2).all()
 
 
+def test_id_table_tells_words_of_one_hash_apart():
+    table, values = IdTable(), np.frombuffer(b"abcabdab", np.uint8)
+    first, after = np.asarray([0, 3, 6, 0]), np.asarray([3, 6, 8, 3])
+    code = lambda at: [np.asarray(list(values[first[k] : after[k]]), "<i4").tobytes() for k in at]
+    for _ in range(2):
+        ids, sizes = table.gather(table.resolve(np.full(4, 77, np.uint64), values, first, after, code))
+        assert bytes(ids.astype(np.uint8)) == b"abcabdababc" and sizes.tolist() == [3, 3, 2, 3]
+
+
+def twins():
+    """Pairs of words that differ and that every polynomial hash modulo 2**64 takes for one."""
+    for n in (10, 11, 12):
+        word = "".join("ab"[bin(k).count("1") & 1] for k in range(1 << n))
+        yield word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_twin_words_are_told_apart(spark, make_docs):
+    from tokenizers import Tokenizer
+
+    tokenizer, table = Tokenizer.from_file(packing.default_tokenizer()), packing.WordTokens(packing.default_tokenizer())
+    dropout = dropout_bpe.MergeDropout(dropout_bpe.default_model(), 0.2, 1)
+    for a, b in twins():
+        assert len(set(word_hashes([a.encode(), b.encode()])[0].tolist())) == 2
+        assert [np.frombuffer(x, "<i4").tolist() for x in table.encode([a, b])] == [e.ids for e in tokenizer.encode_batch([a, b], add_special_tokens=False)]
+        assert [dropout.decode(np.frombuffer(x, "<i4").tolist()) for x in dropout.encode([1, 2], [a, b])] == [a, b]
+    docs = make_docs([(2 * k + side, word) for k, pair in enumerate(twins()) for side, word in enumerate(pair)])
+    assert all(r["kept"] for r in minhash.near_duplicates(docs).collect())
+    assert {r["train_tokens"] for r in ctw.score_documents(docs).collect()} == {2 * sum(zlib.crc32(str(k).encode()) % 7 != 2 for k in range(6))}
+
+
 # ---- components
 
 
@@ -350,18 +381,54 @@ def test_no_dropout_is_the_library(tokenizers7):
     assert [np.frombuffer(b, "<i4").tolist() for b in tokenizers7[0].encode(list(range(len(texts))), texts)] == sp.encode(texts, num_threads=1)
 
 
+def merged_by_hand(t, key, segment):
+    """The agenda stated plainly: of all neighbours that make a piece and are not skipped, the best and then the first merges."""
+    symbols = [(k, "▁" if c == " " else c) for k, c in enumerate(segment)]
+    while True:
+        offers = []
+        for n, ((i, a), (_, b)) in enumerate(zip(symbols, symbols[1:])):
+            k = t.ids.get(a + b)
+            if k is not None and not dropout_bpe._mix(key ^ (i * 0xD6E8FEB86659FD93 + k & (1 << 64) - 1)) < t.limit:
+                offers.append((int(t.rank[k]), i, n))
+        if not offers:
+            return [t.ids[s] for _, s in symbols]
+        n = min(offers)[2]
+        symbols[n : n + 2] = [(symbols[n][0], symbols[n][1] + symbols[n + 1][1])]
+
+
+def test_dropout_against_the_plain_agenda(tokenizers7):
+    t = tokenizers7[1]
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice("internationalization the of there different water understanding a".split(), 30)) for _ in range(12)]
+    for _ in range(2):  # the second time from the tables
+        for doc, coded in enumerate(t.encode(list(range(12)), texts)):
+            wanted, of_text = [], dropout_bpe._mix(doc ^ dropout_bpe._mix(t.seed + 0x2545F491))
+            for number, word in enumerate(texts[doc].split(" ")):
+                key = dropout_bpe._mix(of_text + dropout_bpe._mix(number) & (1 << 64) - 1)
+                wanted += merged_by_hand(t, key, " " + word)
+            assert np.frombuffer(coded, "<i4").tolist() == wanted
+
+
 def test_dropout_varies_and_repeats(spark, make_docs, tokenizers7):
     t = tokenizers7[1]
-    text = "internationalization " * 40
+    text = "internationalization " * 400
     a, b, again = t.encode([1], [text])[0], t.encode([2], [text])[0], t.encode([1], [text])[0]
     assert a != b and a == again
-    some = [" " + w for w in "internationalization the of, word. ΑΒΓ über x 12345 a-b".split()] + ["\n", "   ", " x▁y"]
-    assert t.code(1, some) == [t._agenda(1, w) for w in some]
+    ids, ways = np.frombuffer(a, "<i4").tolist(), set()
+    while ids:  # words open with the pieces that start with a space
+        n = next((k for k in range(1, len(ids)) if t.surface[ids[k]].startswith(b" ")), len(ids))
+        ways.add(tuple(ids[:n]))
+        ids = ids[n:]
+    assert len(ways) > 40  # every occurrence draws for itself
+    some = [" " + w for w in "internationalization the of, word. über x 12345 a-b".split()] + ["   "]
+    keys = np.arange(1, len(some) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    assert t.code(keys, some) == [t._agenda(int(k), w) for k, w in zip(keys, some)]
     docs = make_docs([(1, text), (1, text), (2, None), (3, ""), (None, "▁ odd ▁▁"), (4, "y" * 20000)])
     coded = dropout_bpe.encode_documents(docs, dropout_bpe.default_model())
     assert all(r["lossless"] for r in coded.collect()) and len({tuple(r["ids"]) for r in coded.where("doc_id = 1").collect()}) == 1
     assert sorted(r["text"] for r in dropout_bpe.decode_documents(coded, dropout_bpe.default_model()).collect()) == sorted(r["text"] or "" for r in docs.collect())
     assert dropout_bpe.encode_documents(make_docs([]), dropout_bpe.default_model()).count() == 0
+    assert dropout_bpe.decode_documents(coded.limit(0), dropout_bpe.default_model()).count() == 0
 
 
 # ---- 8 toxicity, 9 quality
