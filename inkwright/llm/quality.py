@@ -33,22 +33,27 @@ def gumbel(ids: np.ndarray, seed: int) -> np.ndarray:
 
 #: Weighted counts are kept as whole numbers of this part of one.
 _UNIT = 2.0**20
+#: Importance resampling as published: plain counts of every occurrence in both models, the document's log ratio at
+#: temperature 1, and as many documents drawn as the labels' share of good ones says. The one departure is that the log ratio is divided by the
+#: root of the number of n-grams, the scale on which it varies by chance, so that length alone does not decide.
+SAMPLING = {"sharpness": 1.0, "power": 0.5, "plain": True, "size": "share"}
 
 
 @dataclass(frozen=True)
 class Resampler:
-    """The log ratio of the two models per bucket, and how documents are weighted."""
+    """The log ratio of the two models per bucket, and how documents are weighted: sharpness * log ratio / (n-grams ** power)."""
 
     ratio: np.ndarray
     sharpness: float
     seed: int
+    power: float = 1.0
 
     def weigh(self, ids: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """log_weight (NaN without words) and Gumbel key of each document."""
         grams, owner = ngram_buckets(texts, len(self.ratio))
         n = np.bincount(owner, minlength=len(texts))
         with np.errstate(invalid="ignore", divide="ignore"):
-            weight = self.sharpness * np.bincount(owner, self.ratio[grams], len(texts)) / n
+            weight = self.sharpness * np.bincount(owner, self.ratio[grams], len(texts)) / n.astype(np.float64) ** self.power
         return weight, weight + gumbel(ids, self.seed)
 
 
@@ -62,16 +67,17 @@ def _slim(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 17, sharpness: float = 200.0, most_labels: int = 20_000, seed: int = 5) -> tuple[Resampler, dict[int, int]]:
+def fit(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 17, sharpness: float = 200.0, most_labels: int = 20_000, seed: int = 5, power: float = 1.0, plain: bool = False) -> tuple[Resampler, dict[int, int]]:
     """Both generative models, counted over all documents in one scan.
 
     Raw text is every document; target text is those labelled quality 1 within a bounded sample
-    of at most `most_labels` labels. An n-gram that a document has n times counts log2(1 + n) there, at any n, so that a very long
+    of at most `most_labels` labels. An n-gram that a document has n times counts n there if `plain`, else log2(1 + n), at any n, so that a very long
     repetitive one does not outweigh the rest; whole multiples of 2**-20 add up to the same in any order. Counts of `buckets` hashed n-grams are added up in each task
     and then across tasks; the driver gets one row a bucket.
     """
     sample = labelled_sample(labels, "quality", most_labels)
     wanted = frozenset(k for k, y in sample.items() if y == 1)
+    unit = 1.0 if plain else _UNIT
 
     def count(batches):
         raw, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
@@ -81,7 +87,7 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 17, sharpness: f
                 grams, owner = ngram_buckets(texts[i:j], buckets)
                 good = np.fromiter((x in wanted for x in ids[i:j]), bool, j - i)
                 own, times = np.unique(owner * buckets + grams, return_counts=True)
-                bucket, times = own % buckets, np.rint(np.log2(times + 1.0) * _UNIT)
+                bucket, times = own % buckets, times if plain else np.rint(np.log2(times + 1.0) * _UNIT)
                 wanted_here = good[own // buckets]
                 raw += np.bincount(bucket, times, buckets).astype(np.int64)
                 target += np.bincount(bucket[wanted_here], times[wanted_here], buckets).astype(np.int64)
@@ -90,10 +96,10 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 17, sharpness: f
 
     rows = _slim(docs).mapInArrow(count, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
     raw, target = np.ones(buckets), np.ones(buckets)
-    raw[rows["bucket"]] += rows["raw"] / _UNIT
-    target[rows["bucket"]] += rows["target"] / _UNIT
+    raw[rows["bucket"]] += rows["raw"] / unit
+    target[rows["bucket"]] += rows["target"] / unit
     ratio = np.log(target / target.sum()) - np.log(raw / raw.sum()) if wanted else np.zeros(buckets)
-    return Resampler(ratio.astype(np.float32), sharpness, seed), sample
+    return Resampler(ratio.astype(np.float32), sharpness, seed, power), sample
 
 
 def scores(docs: DataFrame, model: Resampler) -> DataFrame:
@@ -145,15 +151,15 @@ def sortable_key():
     return (F.col("key") * float(1 << 20)).cast("long") + F.lit(1 << 60)
 
 
-def resample(docs: DataFrame, labels: DataFrame, size: int | None = None, **options) -> DataFrame:
+def resample(docs: DataFrame, labels: DataFrame, size: int | str | None = None, **options) -> DataFrame:
     """Importance resampling of all documents: doc_id, log_weight, key, kept.
 
-    log_weight is the mean log ratio of target to raw model over a document's n-grams, times
-    `sharpness`. Documents are sampled without replacement by Gumbel top-k: key = log_weight + Gumbel noise fixed by
+    log_weight is the log ratio of target to raw model, added up over a document's n-grams, divided by their number to the `power`, times
+    `sharpness`; SAMPLING holds the options of the query. Documents are sampled without replacement by Gumbel top-k: key = log_weight + Gumbel noise fixed by
     id and seed, and the `size` largest keys are kept (all documents whose key equals the last one's, too).
-    Without `size`, as many are drawn as have a log weight above the cut that divides the labelled
-    sample best. Null, empty or white texts have null weight and key and are not kept; a null doc_id is scored and returned as null.
-    Repeated rows are drawn alike. Without labels of quality 1 all weights are 0 and nothing with words is rejected. Extra columns are ignored.
+    With "share" as many are drawn as the labels' share of quality 1 makes of all documents with words; without
+    `size`, as many as have a log weight above the cut that divides the labelled sample best. Very long texts count whole. Null, empty or white texts have null weight and key and are not kept; a null doc_id is scored and returned as null.
+    Repeated rows are drawn alike. Without labels of quality 1 all weights are 0 and nothing with words is rejected. Extra columns are ignored; an empty table gives no rows.
     """
     model, sample = fit(docs, labels, **options)
     scored = cut(scores(docs, model))
@@ -162,10 +168,13 @@ def resample(docs: DataFrame, labels: DataFrame, size: int | None = None, **opti
     return scored.select(F.when(F.col("doc_id") != -(2**63), F.col("doc_id")).alias("doc_id"), "log_weight", "key", kept.alias("kept"))
 
 
-def draw_edge(scored: DataFrame, sample: dict[int, int], size: int | None) -> int:
+def draw_edge(scored: DataFrame, sample: dict[int, int], size: int | str | None) -> int:
     """The smallest key that is drawn, as a sortable integer."""
     drawable = scored.where(F.col("key").isNotNull())
-    if size is None:
+    if size == "share":
+        good = sum(y == 1 for y in sample.values())
+        size = -(-drawable.count() * good // len(sample)) if good else drawable.count()
+    elif size is None:
         ids = scored.sparkSession.createDataFrame([(k, y) for k, y in sample.items()], "doc_id long, y int")
         known = drawable.join(F.broadcast(ids), "doc_id").select("log_weight", "y").toPandas()
         edge = best_cut(known["log_weight"].to_numpy(), known["y"].to_numpy() == 1)
@@ -176,10 +185,14 @@ def draw_edge(scored: DataFrame, sample: dict[int, int], size: int | None) -> in
     return kth_largest_key(drawable, min(size, total))
 
 
-def keep_drawn(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The documents that resampling draws, with all their columns; texts are scored again, not shuffled."""
+def keep_drawn(docs: DataFrame, labels: DataFrame, size: int | str | None = None, **options) -> DataFrame:
+    """The documents that resampling draws, with all their columns; texts are scored again, not shuffled.
+
+    A null doc_id is drawn as one document of its own id; null, empty and white texts go; repeated rows are drawn alike;
+    other columns pass whatever their names; an empty table stays empty.
+    """
     model, sample = fit(docs, labels, **options)
-    edge = draw_edge(cut(scores(docs, model)), sample, None)
+    edge = draw_edge(cut(scores(docs, model)), sample, size)
     columns = docs.columns
 
     def scan(batches):

@@ -76,7 +76,7 @@ def op8_toxicity_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), **quality.SAMPLING)
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

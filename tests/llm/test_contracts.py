@@ -490,6 +490,46 @@ def test_quality_counts_every_occurrence(spark, make_docs):
     assert np.allclose(model.ratio, np.log(target / target.sum()) - np.log(raw / raw.sum()), atol=1e-5)
 
 
+def weights_by_hand(texts, labels, buckets=1 << 17):
+    """log_weight of the query's options by one dictionary of counts a model."""
+    grams = {i: collections.Counter(quality.ngram_buckets([(t or "").encode()], buckets)[0].tolist()) for i, t in texts}
+    raw, target = collections.Counter(), collections.Counter()
+    for i, own in grams.items():
+        assert sum(own.values()) == max(0, 2 * len(words(dict(texts)[i])) - 1)  # words and pairs, repeats included
+        raw.update(own)
+        if labels.get(i) == 1:
+            target.update(own)
+    r, t = sum(raw.values()) + buckets, sum(target.values()) + buckets
+    ratio = {g: math.log((target[g] + 1) / t) - math.log((raw[g] + 1) / r) for g in raw}
+    return {i: sum(n * ratio[g] for g, n in own.items()) / math.sqrt(sum(own.values())) if own else None for i, own in grams.items()}
+
+
+def test_resampling_by_hand(spark, make_docs):
+    """Weights, draw and size of the query's options, on whole small tables."""
+    texts = [(r[0], r[1]) for r in duckdb.sql(f"SELECT doc_id, text FROM '{SMALL}/documents.parquet'").fetchall()] + [(10**7, "spam " * 5000), (10**7 + 1, None)]
+    labels = dict(duckdb.sql(f"SELECT doc_id, quality FROM '{SMALL}/labels.parquet' WHERE quality IS NOT NULL").fetchall())
+    found = {r["doc_id"]: r for r in quality.resample(make_docs(texts), spark.read.parquet(f"{SMALL}/labels.parquet"), **quality.SAMPLING).collect()}
+    wanted = weights_by_hand(texts, labels)
+    assert all((found[i]["log_weight"] is None) == (w is None) and (w is None or abs(found[i]["log_weight"] - w) < 1e-3) for i, w in wanted.items())
+    some = [r for r in found.values() if r["key"] is not None]
+    n = math.ceil(len(some) * sum(y == 1 for y in labels.values()) / len(labels))
+    edge = sorted((r["key"] for r in some), reverse=True)[n - 1]
+    assert all(r["kept"] == (r["key"] is not None and r["key"] >= edge - 1e-5) for r in found.values())
+    kept = quality.keep_drawn(make_docs(texts), spark.read.parquet(f"{SMALL}/labels.parquet"), **quality.SAMPLING)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, r in found.items() if r["kept"])
+
+
+def test_gumbel_top_k_draws_by_weight():
+    """Inclusion rates over many seeds against the exact ones of drawing two of four by weight without replacement."""
+    weight = np.log([1.0, 2.0, 3.0, 4.0])
+    p = np.exp(weight) / np.exp(weight).sum()
+    exact = p + np.asarray([sum(p[j] * p[i] / (1 - p[j]) for j in range(4) if j != i) for i in range(4)])
+    drawn = np.zeros(4)
+    for seed in range(20_000):
+        drawn[np.argsort(weight + quality.gumbel(np.arange(4), seed))[-2:]] += 1
+    assert np.abs(drawn / 20_000 - exact).max() < 0.015
+
+
 def test_kth_largest(spark):
     rng = np.random.default_rng(6)
     values = np.concatenate((rng.standard_normal(500) * 100, np.zeros(5)))
