@@ -19,12 +19,12 @@ NEAR_PER_CENT = 80
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that importance resampling draws; texts without words go."""
-    return quality.keep_drawn(docs, table(spark, sf_dir, "labels"))
+    """Documents that importance resampling draws, as op9 does; texts without words go, rows without a doc_id are drawn like others."""
+    return quality.keep_drawn(docs, table(spark, sf_dir, "labels"), **quality.SAMPLING)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose probability of any severity above 0 is below one half."""
+    """Documents whose probability of any severity above 0 is below one half; null and empty texts stay."""
     return toxicity.keep_civil(docs, table(spark, sf_dir, "labels"))
 
 
@@ -39,7 +39,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its place in a training sequence."""
+    """Every piece of every document with its place in a training sequence; a null text packs its end id."""
     return packing.pack_documents(docs, packing.default_tokenizer())
 
 
