@@ -4,6 +4,7 @@ import collections
 import itertools
 import math
 import re
+import time
 import zlib
 
 import duckdb
@@ -175,6 +176,84 @@ def test_short_bodies_lose_their_furniture(spark):
     assert all(found[k].endswith("the same body on both pages") for k in (10, 11))
 
 
+def texts_by_hand(table):
+    """Texts and numbers of deleted blocks, page by page over plain lists, with the textbook table of subsequences."""
+    split = {}
+    for k, (page_id, url, source) in enumerate(table):
+        blocks = html.page_blocks(source or "")
+        m = re.match(r"^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#]*)([^?#]*)", url or "")
+        host, path = (re.sub(r":\d*$", "", re.sub(r"^.*@", "", m[1])).lower(), m[2]) if m else ("", re.match("[^?#]*", url or "")[0])
+        split[k] = (host, path, -(2**63) if page_id is None else page_id, tuple(blocks))
+    standing = {}
+    for host, path, order, blocks in sorted(split.values(), key=lambda x: x[:3]):
+        standing.setdefault((host, blocks), (host, path, order, blocks))
+    ordered = sorted(standing.values(), key=lambda x: x[:3])
+    gone = {}
+    for n, (host, path, _, blocks) in enumerate(ordered):
+        own = [(k, x) for k, (x, z) in enumerate(blocks) if z != html.KEPT]
+        prose = [x for x, z in blocks if z == html.KEPT]
+        near = [ordered[k] for k in (n - 1, n + 1) if 0 <= k < len(ordered) and ordered[k][0] == host]
+        alike = lambda o: (len([1 for _ in itertools.takewhile(lambda x: x[0] == x[1], zip(path.split("/"), o[1].split("/")))]), len([1 for _ in itertools.takewhile(lambda x: x[0] == x[1], zip(path, o[1]))]))  # noqa: B023, E731
+        for other in sorted(near, key=alike, reverse=True):
+            theirs = [x for x, z in other[3] if z != html.KEPT]
+            size = [[0] * (len(theirs) + 1) for _ in range(len(own) + 1)]
+            for i, j in itertools.product(range(len(own)), range(len(theirs))):
+                size[i + 1][j + 1] = size[i][j] + 1 if own[i][1] == theirs[j] else max(size[i][j + 1], size[i + 1][j])
+            i, j, common = len(own), len(theirs), []
+            while i and j:
+                if own[i - 1][1] == theirs[j - 1]:
+                    i, j = i - 1, j - 1
+                    common.append(own[i])
+                elif size[i - 1][j] >= size[i][j - 1]:
+                    i -= 1
+                else:
+                    j -= 1
+            number = lambda lines: sum(len(x.split()) for x in lines)
+            rest = max(number(x for _, x in own), number(theirs)) - number(x for _, x in common)
+            other_prose = [x for x, z in other[3] if z == html.KEPT]
+            if prose != other_prose:
+                rest += max(number(prose), number(other_prose))
+            if rest > 3 or sum(len(x) for _, x in common) <= 0.8 * sum(len(x) for _, x in own):
+                gone[host, blocks] = {k for k, _ in common}
+                break
+    for host, _, _, blocks in split.values():
+        away = gone.get((host, blocks), set())
+        yield "\n\n".join(x for k, (x, z) in enumerate(blocks) if k not in away and z != html.FURNISHING), len(away)
+
+
+def test_texts_by_hand(spark):
+    def page(k, body):
+        notice = "".join(f"<div>Notice {x} to readers</div>" for x in range(k % 3 + 1))
+        return f"<nav>Home page {k % 5}</nav>{notice}<p>{body}</p><div>Call us now</div><footer>Site of {k % 2}</footer>"
+
+    table = [(k, f"http://u:p@H.org:80/{'abc'[k % 3]}/{k}?q", page(k, f"text number {k // 2} of its own kind, told at some length")) for k in range(60)]
+    table += [(r[0], r[1], r[2]) for r in duckdb.sql(f"SELECT page_id + 1000000, url, html FROM '{SMALL}/pages.parquet'").fetchall()] + [(900_000, None, "<p>x"), (900_001, "no scheme", None)]
+    found = {r["page_id"]: (r["text"], r["n_shared"]) for r in html.main_text(spark.createDataFrame(table, "page_id long, url string, html string")).collect()}
+    wanted = dict(zip((t[0] for t in table), texts_by_hand(table)))
+    assert found == wanted
+    assert sum(n > 0 for _, n in wanted.values()) > 60  # differencing deletes blocks of many pages
+    assert any("Notice" in "\n\n".join(x for x, _ in html.page_lines(t[2])) and "Notice" not in found[t[0]][0] for t in table[:60])  # and changes their texts
+
+
+def test_copies_lose_their_furniture(spark):
+    """A run of copies, exact ones, is compared with the next other page."""
+    menu = "".join(f"<div>Entry {k} of a long list</div>" for k in range(9))
+    table = [(k, f"http://h.org/a/{k:03}", f"{menu}<p>{'the same body' if 2 < k < 40 else f'another body number {k}'} with more words beside it</p>") for k in range(42)]
+    found = {r["page_id"]: r["text"] for r in html.main_text(spark.createDataFrame(table, "page_id long, url string, html string")).collect()}
+    assert all(found[k] == ("the same body with more words beside it" if 2 < k < 40 else f"another body number {k} with more words beside it") for k in found) and len(found) == 42
+
+
+def test_hostile_pages_take_linear_time():
+    pages = ['<a "' * 250_000, "<div>" * 100_000 + "</section>" * 80_000, "<a" * 500_000, "<script>" + "</script" * 120_000, '<a b="x>' * 100_000, "<p>a<p>b" * 60_000, "<p " + "a " * 400_000 + ">x"]
+    for source in pages:
+        began = time.process_time()
+        html.page_blocks(source)
+        assert time.process_time() - began < 5, source[:20]
+    a, b = ["a", "b"] * 2000, ["b", "a", "a"] * 1333
+    began = time.process_time()
+    assert len(html.common_subsequence(a, b)) > 2600 and time.process_time() - began < 2
+
+
 # ---- 3 context-tree weighting
 
 
