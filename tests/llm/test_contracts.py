@@ -418,10 +418,12 @@ def test_embedding_links(spark):
         return min(found)
 
     wanted = {k: (len(links[k]), reach(k)) for k, _, _ in data}
-    for chunk_rows in (2048, 7):
+    for chunk_rows in (2048, 60, 20, 4):  # one coordinate a block, two, three, and crowded cells
         found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embed_dedup.near_duplicates(df, chunk_rows=chunk_rows).collect()}
         assert found == wanted
     assert embed_dedup.near_duplicates(df.limit(0)).count() == 0
+    again = embed_dedup.near_duplicates(df.where("vec_id in (1, 13)").union(df.where("vec_id = 1")).union(df.where("vec_id = 1").selectExpr("cast(null as long)", "embedding", "label", "key", "rep"))).collect()
+    assert sorted((str(r["vec_id"]), r["n_links"], str(r["component_id"])) for r in again if r["vec_id"] != 13) == [("1", 1 + (13 in links[1]), "1")] * 2 + [("None", 0, "None")]
 
 
 def test_search(spark):
