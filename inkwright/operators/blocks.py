@@ -72,19 +72,20 @@ def join_continuation(before: Column, after: Column) -> Column:
     return F.when(glue, F.concat(F.regexp_replace(before, r"(?U)[-‑–—]\s*$", ""), after)).when(bare, F.concat(before, after)).otherwise(F.concat(before, F.lit(" "), after))
 
 
-def merge_paragraphs(blocks: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Paragraph blocks joined up to the end of a sentence; headings stand alone: key, merged_id, role, text.
+def merge_paragraphs(blocks: DataFrame, key: str = "doc_id", total: str | None = None) -> DataFrame:
+    """Paragraph blocks joined up to the end of a sentence; headings stand alone: key, merged_id, role, text, and `total`, a column to add up.
 
     Where a group ends depends on single rows, so groups are a running count over one sort by
     document, and each group's texts are folded in order. A group is as long as one broken paragraph.
     """
     own = Window.partitionBy(key).orderBy("block_id")
-    rows = blocks.select(key, "block_id", "role", T.normalize_linebreaks(F.col("text")).alias("text"))
+    carried = [total] if total else []
+    rows = blocks.select(key, "block_id", "role", T.normalize_linebreaks(F.col("text")).alias("text"), *carried)
     closes = (F.col("role") == "heading") | ends_sentence(F.col("text"))
     before = F.lag(closes, 1, True).over(own)
     opens = (F.col("role") == "heading") | before
     grouped = rows.withColumn("opens", opens.cast("int")).withColumn("merged_id", F.sum("opens").over(own.rowsBetween(Window.unboundedPreceding, 0)) - 1)
     parts = F.array_sort(F.collect_list(F.struct("block_id", "text")))
-    gathered = grouped.groupBy(key, "merged_id").agg(F.min_by("role", "block_id").alias("role"), parts.alias("parts"))
+    gathered = grouped.groupBy(key, "merged_id").agg(F.min_by("role", "block_id").alias("role"), parts.alias("parts"), *(F.sum(c).alias(c) for c in carried))
     text = F.aggregate("parts", F.lit(None).cast("string"), lambda acc, x: F.when(acc.isNull(), x["text"]).otherwise(join_continuation(acc, x["text"])))
-    return gathered.select(key, F.col("merged_id").cast("int").alias("merged_id"), F.when(F.col("role") == "heading", "heading").otherwise("paragraph").alias("role"), text.alias("text"))
+    return gathered.select(key, F.col("merged_id").cast("int").alias("merged_id"), F.when(F.col("role") == "heading", "heading").otherwise("paragraph").alias("role"), text.alias("text"), *carried)

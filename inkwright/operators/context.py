@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkwright.functions import text as T
@@ -52,10 +52,14 @@ def pronoun_warnings(texts: DataFrame, lexicon: DataFrame, pronouns=PRONOUNS, ke
 
 
 def split_word_warnings(texts: DataFrame, lexicon: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Pairs that the lexicon knows as one word whose normal form neither part has."""
+    """Pairs that the lexicon knows as one word whose normal form neither part has.
+
+    Of several parses of a word its first one counts, by the lexicon's column `ord`; without it the least normal form.
+    """
     pairs = bigrams(sentence_rows(texts, key), key).where(F.length("w1") + F.length("w2") >= 5)
     joined = F.lower(F.regexp_replace(F.concat("w1", "w2"), "[^А-Яа-яёЁ]", ""))
-    whole = lexicon.where(F.col("pos").isin(*JOINED_KINDS)).groupBy(F.col("word").alias("joined")).agg(F.min("normal").alias("norm"))
+    first = F.min_by("normal", F.struct("ord", "normal")) if "ord" in lexicon.columns else F.min("normal")
+    whole = lexicon.where(F.col("pos").isin(*JOINED_KINDS)).groupBy(F.col("word").alias("joined")).agg(first.alias("norm"))
     forms = lexicon.select(F.col("word").alias("part"), F.col("normal").alias("norm")).distinct()
     found = pairs.withColumn("joined", joined).where("joined <> ''").join(whole, "joined")
     for word in ("w1", "w2"):
@@ -81,6 +85,17 @@ def rejoin_sentences(blocks: DataFrame, split=sentences) -> DataFrame:
     return blocks.withColumn("text", F.when(keep, F.col("text")).otherwise(joined))
 
 
+def span_rows(texts: DataFrame, key: str = "doc_id") -> DataFrame:
+    """key, sentence_id, sentence, tokens, start_char, end_char: token_spans in rows, with a running sum in place of a fold."""
+    text = F.coalesce("text", F.lit(""))
+    gaps = F.concat(F.transform(F.regexp_extract_all(text, F.lit(r"(?<=[.!?])(?U)\s+"), 0), F.length), F.array(F.lit(0)))
+    rows = texts.select(key, F.posexplode(F.arrays_zip(sentences(text).alias("sentence"), gaps.alias("gap"))).alias("sentence_id", "x")).select(key, "sentence_id", "x.sentence", "x.gap")
+    own = Window.partitionBy(key).orderBy("sentence_id").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum(F.length("sentence") + F.col("gap")).over(own) - F.col("gap")
+    placed = rows.withColumn("end_char", end.cast("int"))
+    return placed.select(key, "sentence_id", "sentence", words(F.col("sentence")).alias("tokens"), (F.col("end_char") - F.length("sentence")).alias("start_char"), "end_char")
+
+
 def token_spans(text: Column, split=sentences) -> Column:
     """array<struct<sentence, tokens, start_char, end_char>> with the built-in splitter."""
     state = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<sentence:string,tokens:array<string>,start_char:int,end_char:int>>").alias("out"))

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import io
+import re
 import uuid
 import zipfile
+from collections.abc import Iterator
 from html import escape
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,12 +55,44 @@ def build(title: str, author: str, chapters: list[tuple[str, str]], modified: st
     return out.getvalue()
 
 
-def packages(pages: DataFrame, title: str, author: str = "", key: str = "doc_id", template: dict[str, bytes] | None = None) -> DataFrame:
+def packages(pages: DataFrame, title: str, author: str = "", key: str = "doc_id", template: dict[str, bytes] | None = None, cover: bytes | None = None) -> DataFrame:
     """key, epub: a package of each document's chapter pages."""
+    files = titled(template, title, author) if template else None
 
-    @F.udf("binary")
-    def make(chapters):
-        return build(title, author, [(c["title"], c["xhtml"]) for c in chapters], template=template)
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [build(title, author, [(c["title"], c["xhtml"]) for c in chapters], template=files, cover=cover) for chapters in batch.column("c").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(made, pa.binary())], [key, "epub"])
 
     ordered = F.array_sort(F.collect_list(F.struct("chapter_id", "title", "xhtml")))
-    return pages.groupBy(key).agg(ordered.alias("c")).select(key, make("c").alias("epub"))
+    grouped = pages.groupBy(key).agg(ordered.alias("c"))
+    return grouped.mapInArrow(make, f"{key} {pages.schema[key].dataType.simpleString()}, epub binary")
+
+
+def titled(template: dict[str, bytes], title: str, author: str) -> dict[str, bytes]:
+    """A template's files with title and author put into the first h1 and h2 of its title page."""
+    out = {}
+    for name, content in template.items():
+        if re.search(r"title[^/]*\.x?html$", name, re.I):
+            text = content.decode("utf-8", "replace")
+            for tag, value in (("h1", title), ("h2", author)):
+                text = re.sub(rf"(?is)(<{tag}[^>]*>).*?(</{tag}>)", lambda m, v=value: m[1] + escape(v) + m[2], text, count=1)
+            content = text.encode()
+        out[name] = content
+    return out
+
+
+def package_files(packed: DataFrame, key: str = "doc_id") -> DataFrame:
+    """key, place, name, content: the text files of packages in their order."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for own, content in zip(batch.column(key), batch.column("epub").to_pylist()):
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    listed = [i for i in z.infolist() if i.filename == "mimetype" or i.filename.endswith((".xml", ".opf", ".ncx", ".xhtml"))]
+                    texts = [z.read(i).decode("utf-8", "replace") for i in listed]
+                    stored = [i.compress_type == zipfile.ZIP_STORED for i in listed]
+                keys = pa.array([own.as_py()] * len(listed), own.type)
+                yield pa.RecordBatch.from_arrays([keys, pa.array(range(len(listed)), pa.int32()), pa.array([i.filename for i in listed]), pa.array(stored), pa.array(texts)], [key, "place", "name", "stored", "content"])
+
+    return packed.select(key, "epub").mapInArrow(read, f"{key} {packed.schema[key].dataType.simpleString()}, place int, name string, stored boolean, content string")

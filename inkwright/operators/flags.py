@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from inkwright.functions.text import LATIN, LOOKALIKE, MIXED_TOKEN
+from inkwright.functions.text import LATIN, LOOKALIKE, MIXED_TOKEN, count_of
 
 # Old letters, their modern forms and the names of their flags, in the order of the passes.
 OLD_LETTERS = [("ѣ", "е", "yat"), ("Ѣ", "Е", "yat"), ("і", "и", "i"), ("І", "И", "i"), ("ѳ", "ф", "fita"), ("Ѳ", "Ф", "fita"), ("ѵ", "и", "izhitsa"), ("Ѵ", "И", "izhitsa")]
@@ -64,11 +64,28 @@ def flag_blocks(blocks: DataFrame, key: str = "doc_id") -> DataFrame:
     return done.select(key, F.col("merged_id").alias("block"), "role", F.col("f.text").alias("text"), F.col("f.flags").alias("flags"))
 
 
-def marked_old_letters(c: Column) -> Column:
-    """The old letters' marks alone, natively."""
-    for old, new, _ in OLD_LETTERS:
-        c = F.replace(c, F.lit(old), F.lit(mark(old, new)))
-    return c
+def flag_counts(text: Column) -> dict[str, Column]:
+    """How many flags of each type flag_letters gives a text, natively.
+
+    Marks stand between the parts of a word, so words end at old letters.
+    """
+    text = F.coalesce(text, F.lit(""))
+    found = {}
+    for name in dict.fromkeys(x[2] for x in OLD_LETTERS):
+        found[name] = sum((count_of(text, F.lit(old)) for old, _, kind in OLD_LETTERS if kind == name), F.lit(0).cast("long"))
+    parts = F.regexp_extract_all(F.translate(text, "".join(x[0] for x in OLD_LETTERS), "|" * len(OLD_LETTERS)), F.lit(MIXED_TOKEN), 0)
+    mixed = F.filter(parts, lambda t: t.rlike("[A-Za-z]") & t.rlike("[^\\x00-\\x7F]"))
+    latin = F.array_join(mixed, "")
+    found["latin_to_cyr"] = (F.length(latin) - F.length(F.translate(latin, LATIN, ""))).cast("long")
+    return found
+
+
+def count_flags(blocks: DataFrame) -> DataFrame:
+    """type, n: flags by type, of all blocks; types without flags are left out."""
+    own = flag_counts(F.col("text"))
+    sums = blocks.agg(*(F.sum(c).alias(name) for name, c in own.items()))
+    rows = F.explode(F.array(*(F.struct(F.lit(name).alias("type"), F.col(name).alias("n")) for name in own)))
+    return sums.select(rows.alias("r")).select("r.type", "r.n").where("n > 0")
 
 
 def flag_summary(flags: DataFrame) -> DataFrame:

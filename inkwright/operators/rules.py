@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -136,6 +137,13 @@ def rules_frame(spark, rules: Iterable[Rule] | None = None) -> DataFrame:
     return spark.createDataFrame(rows, "ord int, pattern string, repl string, regex boolean")
 
 
+def read_rules(spark, path: str) -> list[Rule]:
+    """Rules of a file: a JSON object a line with pattern, repl and, if it is a regular expression, regex; in the file's order."""
+    lines = spark.read.text(path, wholetext=True).orderBy(F.col("_metadata.file_path")).collect()
+    rows = [json.loads(line) for text in lines for line in text["value"].splitlines() if line.strip()]
+    return [Rule(r["pattern"], r["repl"], bool(r.get("regex", False))) for r in rows]
+
+
 def rewrite_html(pages: DataFrame) -> DataFrame:
     """Pages whose html column the rules change, with the new html."""
     done = pages.withColumn("new", apply_rules(F.col("html"))["text"]).where(F.col("new") != F.col("html"))

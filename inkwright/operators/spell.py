@@ -9,9 +9,11 @@ from typing import Protocol
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
+from pyspark.storagelevel import StorageLevel
 
 from inkwright.functions import text as T
-from inkwright.functions.folds import applied_matches, apply_matches, chunk_paragraphs
+from inkwright.functions.folds import chunk_paragraphs, patched
 
 MATCH = "struct<offset:int,length:int,replacements:array<struct<value:string>>,rule:struct<id:string,description:string>>"
 MATCHES = f"array<{MATCH}>"
@@ -79,13 +81,11 @@ def local_matches(texts: DataFrame, fixes: DataFrame, key: str = "doc_id") -> Da
     """key, text, matches: a match for each word that has a correction, spelled with the word's first capital."""
     found = F.regexp_extract_all("text", F.lit(CYRILLIC_WORD), 0)
     between = F.split("text", CYRILLIC_WORD, -1)
-    places = F.aggregate(
-        F.arrays_zip(F.slice(between, 1, F.size(found)).alias("gap"), found.alias("w")),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<offset:int,w:string>>").alias("out")),
-        lambda acc, x: F.struct((acc["at"] + F.length(x["gap"]) + F.length(x["w"])).alias("at"), F.concat(acc["out"], F.array(F.struct((acc["at"] + F.length(x["gap"])).alias("offset"), x["w"].alias("w")))).alias("out")),
-        lambda acc: acc["out"],
-    )
-    rows = texts.select(key, F.explode(places).alias("x")).select(key, "x.offset", "x.w", F.lower("x.w").alias("word"))
+    words = F.posexplode(F.arrays_zip(F.transform(F.slice(between, 1, F.size(found)), lambda g: F.length(g)).alias("gap"), found.alias("w")))
+    rows = texts.select(key, words.alias("pos", "x")).select(key, "pos", "x.gap", "x.w")
+    # a running sum and not a fold, whose array would be copied at every word
+    own = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.select(key, (F.sum(F.col("gap") + F.length("w")).over(own) - F.length("w")).cast("int").alias("offset"), "w", F.lower("w").alias("word"))
     hits = rows.join(fixes, "word").where("fixed <> word")
     value = F.when(F.left("w", F.lit(1)) != F.lower(F.left("w", F.lit(1))), T.capitalize(F.col("fixed"))).otherwise(F.col("fixed"))
     match = F.struct("offset", F.length("w").alias("length"), F.array(F.struct(value.alias("value"))).alias("replacements"), F.struct(F.lit("LOCAL").alias("id"), F.lit("dictionary").alias("description")).alias("rule"))
@@ -96,12 +96,12 @@ def local_matches(texts: DataFrame, fixes: DataFrame, key: str = "doc_id") -> Da
 def correct(texts: DataFrame, dictionary: DataFrame, distance: int = 2, key: str = "doc_id", prefix: int = 2) -> DataFrame:
     """key, text, matches, applied: texts with unknown words corrected; the dictionary is asked once a distinct word."""
     rows = local_matches(texts, corrections(dictionary_words(texts), dictionary, distance, prefix), key)
-    return rows.select(key, apply_matches(F.col("text"), F.col("matches")).alias("text"), F.size("matches").alias("matches"), applied_matches(F.col("text"), F.col("matches")).alias("applied"))
+    done = rows.select(key, F.size("matches").alias("matches"), patched(F.col("text"), F.col("matches")).alias("done"))
+    return done.select(key, "done.text", "matches", F.col("done.n").alias("applied"))
 
 
 def check_chunks(chunked: DataFrame, checker: Checker, key: str = "doc_id", pause: float = 0.0) -> DataFrame:
-    """key, chunk_id, text, matches: a checker's safe matches; a chunk on which it fails has none."""
-    kind = chunked.schema[key].dataType.simpleString()
+    """The chunks with matches, a checker's; a chunk on which it fails has none."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,23 +116,46 @@ def check_chunks(chunked: DataFrame, checker: Checker, key: str = "doc_id", paus
             value = pa.struct([("value", pa.string())])
             rule = pa.struct([("id", pa.string()), ("description", pa.string())])
             match = pa.struct([("offset", pa.int32()), ("length", pa.int32()), ("replacements", pa.list_(value)), ("rule", rule)])
-            yield pa.RecordBatch.from_arrays([batch.column(key), batch.column("chunk_id"), batch.column("text"), pa.array(found, pa.list_(match))], [key, "chunk_id", "text", "matches"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(match))], [*batch.schema.names, "matches"])
 
-    return chunked.select(key, "chunk_id", "text").mapInArrow(scan, f"{key} {kind}, chunk_id int, text string, matches {MATCHES}")
+    return chunked.mapInArrow(scan, StructType([*chunked.schema.fields, StructField("matches", DataType.fromDDL(MATCHES))]))
 
 
-def run(texts: DataFrame, checkers: Sequence[Checker], limit: int = 6000, key: str = "doc_id", safe_only: bool = True, pause: float = 0.0) -> tuple[DataFrame, DataFrame]:
-    """Corrected texts, and statistics (checker, matches, applied): every checker sees what the one before made of a chunk."""
-    rows, stats = chunks(texts, limit, key), None
+def run_chunks(texts: DataFrame, checkers: Sequence[Checker], limit: int = 6000, key: str = "doc_id", safe_only: bool = True, pause: float = 0.0) -> DataFrame:
+    """key, chunk_id, text, checks: corrected chunks, with (checker, matches, applied) of each checker in order.
+
+    Every checker sees what the one before made of a chunk, once.
+    """
+    kind = "array<struct<checker:string,matches:int,applied:int>>"
+    rows = chunks(texts, limit, key).withColumn("checks", F.array().cast(kind))
     for checker in checkers:
-        rows = check_chunks(rows, checker, key, pause)
+        found = check_chunks(rows, checker, key, pause)
         matches = safe_matches(F.col("matches")) if safe_only else F.col("matches")
-        rows = rows.withColumn("matches", matches)
-        one = rows.agg(F.lit(checker.name).alias("checker"), F.sum(F.size("matches")).alias("matches"), F.sum(applied_matches(F.col("text"), F.col("matches"))).alias("applied"))
-        stats = one if stats is None else stats.union(one)
-        rows = rows.select(key, "chunk_id", apply_matches(F.col("text"), F.col("matches")).alias("text"))
+        found = found.select(key, "chunk_id", "checks", F.size(matches).alias("matches"), patched(F.col("text"), matches).alias("done"))
+        one = F.array(F.struct(F.lit(checker.name).alias("checker"), F.col("matches"), F.col("done.n").alias("applied")).cast("struct<checker:string,matches:int,applied:int>"))
+        rows = found.select(key, "chunk_id", F.col("done.text").alias("text"), F.concat("checks", one).alias("checks"))
+    return rows
+
+
+def run(texts: DataFrame, checkers: Sequence[Checker], limit: int = 6000, key: str = "doc_id", safe_only: bool = True, pause: float = 0.0) -> tuple[DataFrame, DataFrame]:
+    """Corrected texts, and statistics (checker, matches, applied).
+
+    Chunks are kept on disk after their first use, so that a checker, which may be a service, is not asked again for the other result.
+    """
+    rows = run_chunks(texts, checkers, limit, key, safe_only, pause).persist(StorageLevel.DISK_ONLY)
+    return whole_texts(rows, key), check_counts(rows)
+
+
+def whole_texts(chunked: DataFrame, key: str = "doc_id") -> DataFrame:
+    """key, text: chunks put together again."""
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_id", "text"))), lambda x: x["text"]), "")
-    return rows.groupBy(key).agg(joined.alias("text")), stats
+    return chunked.groupBy(key).agg(joined.alias("text"))
+
+
+def check_counts(chunked: DataFrame) -> DataFrame:
+    """checker, matches, applied: matches that were found count, applied or not, as do those that were applied."""
+    rows = chunked.select(F.posexplode("checks").alias("k", "c"))
+    return rows.groupBy("k", "c.checker").agg(F.sum("c.matches").alias("matches"), F.sum("c.applied").alias("applied")).orderBy("k").select("checker", "matches", "applied")
 
 
 _MAKERS: dict = {}
@@ -158,9 +181,3 @@ def create_checker(kind: str = "auto", **options) -> Checker:
         except (ImportError, TypeError, ValueError):
             continue
     raise ImportError("no spell checker is installed")
-
-
-def ordered_texts(rows: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Chunks with their running place in the document."""
-    own = Window.partitionBy(key).orderBy("chunk_id").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("start", F.coalesce(F.sum(F.length("text")).over(own), F.lit(0)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,17 +29,24 @@ class Spec:
     chapter_kb: int = 50
     title: str = ""
     author: str = ""
-    extras: dict = field(default_factory=dict)
+    rule_table: tuple[rules.Rule, ...] | None = None
+    template: dict[str, bytes] | None = None
+    cover: bytes | None = None
 
 
-def modernize(blocks: DataFrame, use_rules: bool = True, mode: str = "compat", rejoin: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Merged blocks with flags (doc_id, merged_id, role, text), and the replacements of each document."""
-    rewritten = rules.rewrite_blocks(blocks, mode=mode) if use_rules else blocks.withColumn("n", F.lit(0).cast("long"))
-    counts = rules.rules_applied(rewritten)
+def modernized(blocks: DataFrame, use_rules: bool = True, mode: str = "compat", rejoin: bool = False, table=None) -> DataFrame:
+    """Merged blocks doc_id, merged_id, role, text, and n, the replacements made in each: one pass over the texts."""
+    rewritten = rules.rewrite_blocks(blocks, table, mode) if use_rules else blocks.withColumn("n", F.lit(0).cast("long"))
     if rejoin:
         rewritten = context.rejoin_sentences(rewritten)
     normal = rewritten.withColumn("text", T.normalize_punct(T.normalize_linebreaks(F.col("text"))))
-    return B.merge_paragraphs(normal), counts
+    return B.merge_paragraphs(normal, total="n")
+
+
+def modernize(blocks: DataFrame, use_rules: bool = True, mode: str = "compat", rejoin: bool = False, table=None) -> tuple[DataFrame, DataFrame]:
+    """Merged blocks (doc_id, merged_id, role, text), and the replacements of each document."""
+    merged = modernized(blocks, use_rules, mode, rejoin, table)
+    return merged.drop("n"), rules.rules_applied(merged)
 
 
 def run(blocks: DataFrame, spec: Spec) -> dict[str, DataFrame]:
@@ -49,7 +56,7 @@ def run(blocks: DataFrame, spec: Spec) -> dict[str, DataFrame]:
     entity_diff, synced, chapters, epub. A text passes each correction that is switched on before the
     next stage reads it.
     """
-    merged, counts = modernize(blocks, spec.rules, spec.mode, spec.rejoin)
+    merged, counts = modernize(blocks, spec.rules, spec.mode, spec.rejoin, spec.rule_table)
     out = {"merged": merged, "rules_applied": counts, "flags": flags.flag_blocks(merged)}
     texts = render.plain_text(merged, "merged_id")
     if spec.checkers:
@@ -68,5 +75,5 @@ def run(blocks: DataFrame, spec: Spec) -> dict[str, DataFrame]:
         out["chapters"] = chapters.split_chapters(B.text_blocks(texts), spec.chapter_kb)
         from inkwright.operators import epub
 
-        out["epub"] = epub.packages(render.chapter_xhtml(out["chapters"]), spec.title, spec.author)
+        out["epub"] = epub.packages(render.chapter_xhtml(out["chapters"]), spec.title, spec.author, template=spec.template, cover=spec.cover)
     return out

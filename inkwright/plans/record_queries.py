@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwright.functions.folds import applied_matches, apply_matches, replace_in_order
+from inkwright.functions.folds import patched, replace_in_order
 from inkwright.operators import context, entities, layout, spell
 from inkwright.plans import inputs as I  # noqa: E741
 from inkwright.sources import readers
@@ -90,7 +90,8 @@ def patched_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _patched(rows: DataFrame) -> DataFrame:
-    return rows.select("doc_id", apply_matches(F.col("text"), F.col("matches")).alias("text"), applied_matches(F.col("text"), F.col("matches")).alias("applied"))
+    done = rows.select("doc_id", patched(F.col("text"), F.col("matches")).alias("done"))
+    return done.select("doc_id", "done.text", F.col("done.n").alias("applied"))
 
 
 SAFE_SQL = "SELECT doc_id, 4 AS safe FROM documents WHERE length(text) > 100"

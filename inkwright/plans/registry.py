@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkwright.plans import record_queries, text_queries
+from inkwright.plans import record_queries, report_queries, text_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return text_queries.QUERIES | record_queries.QUERIES
+    return text_queries.QUERIES | record_queries.QUERIES | report_queries.QUERIES
 
 
 def oracles() -> dict[str, str]:
-    return text_queries.ORACLES | record_queries.ORACLES
+    return text_queries.ORACLES | record_queries.ORACLES | report_queries.ORACLES

@@ -238,7 +238,7 @@ SELECT doc_id, block_id::INTEGER AS block, (length(text) + {flags._GROWTH} * (ya
 
 def flag_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged = I.old_lines(spark, sf_dir).select("doc_id", F.col("block_id").alias("merged_id"), F.lit("paragraph").alias("role"), "text")
-    return flags.flag_summary(flags.flag_blocks(merged))
+    return flags.count_flags(merged)
 
 
 FLAG_SUMMARY_SQL = f"WITH f AS ({FLAGS_SQL}) SELECT 'yat' AS type, sum(yat)::BIGINT AS n FROM f UNION ALL SELECT 'i', sum(i)::BIGINT FROM f UNION ALL SELECT 'latin_to_cyr', sum(latin_to_cyr)::BIGINT FROM f"
@@ -275,9 +275,8 @@ PLAIN_SQL = f"WITH {I.BROKEN_SQL} SELECT doc_id, string_agg(regexp_replace(text,
 
 def pipeline_core(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules, normalisation and merging over whole documents: blocks, characters and replacements of each."""
-    merged, counts = pipeline.modernize(I.broken_blocks(spark, sf_dir))
-    sizes = merged.groupBy("doc_id").agg(F.count("*").alias("blocks"), F.sum(F.length("text")).alias("chars"))
-    return sizes.join(counts, "doc_id").select("doc_id", "blocks", "chars", "rules_applied")
+    merged = pipeline.modernized(I.broken_blocks(spark, sf_dir))
+    return merged.groupBy("doc_id").agg(F.count("*").alias("blocks"), F.sum(F.length("text")).alias("chars"), F.sum("n").alias("rules_applied"))
 
 
 def epub_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,7 +51,7 @@ def valid_version(name: Column, text: Column) -> Column:
     """Whether a version can be used: texts of 50 characters with a letter, JSON with a block that is not blank, HTML with text in elements."""
     bare = T.strip(F.coalesce(text, F.lit("")))
     is_text = (F.length(bare) >= 50) & bare.rlike(r"(?U)\p{L}")
-    blocks = F.from_json(text, f"blocks {BLOCKS}")["blocks"]
+    blocks = F.when(F.left(F.ltrim(text), F.lit(1)) == "[", F.from_json(text, BLOCKS)).otherwise(F.from_json(text, f"blocks {BLOCKS}")["blocks"])
     is_json = F.coalesce(F.exists(blocks, lambda b: T.strip(F.coalesce(b["text"], F.lit(""))) != ""), F.lit(False))
     only_pre = bare.rlike("(?i)<pre") & ~bare.rlike(r"(?i)<(?:h[1-6]|p|div|section|article|header|footer)\b")
     is_html = (T.strip(T.strip_tags(bare)) != "") & ~only_pre
