@@ -12,22 +12,40 @@ from inkwright.llm.common import table
 
 
 def op1_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.rotate_perspectives(table(spark, sf_dir, "conversations"))
+    return chat.with_places(chat.rotate_perspectives(table(spark, sf_dir, "conversations")))
 
 
-OP1_SQL = """
-WITH said AS (
+_ESCAPED = r"regexp_replace(regexp_replace(%s, '<(\\*)\|', '<\\\\\1|', 'g'), '\|(\\*)>', '|\\\\\1>', 'g')"
+_ROTATED = """said AS (
   SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS content
   FROM conversations WHERE conv_id IS NOT NULL
-), people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM said WHERE speaker <> 'system')
-SELECT conv_id, perspective, turn,
+), people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM said WHERE speaker <> 'system'),
+rotated AS (SELECT conv_id, perspective, turn,
   CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant' ELSE 'user' END AS role,
   CASE WHEN speaker NOT IN ('system', perspective) THEN speaker END AS name,
   content,
   CASE WHEN speaker = 'system' THEN '<|system|>' WHEN speaker = perspective THEN '<|assistant|>'
-       ELSE '<|user name=' || speaker || '|>' END || chr(10) || content || '<|end|>' || chr(10) AS rendered,
+       ELSE '<|user name=' || {name} || '|>' END || chr(10) || {content} || '<|end|>' || chr(10) AS rendered,
   CASE WHEN speaker <> 'system' AND speaker = perspective THEN 1 ELSE 0 END AS mask
-FROM said JOIN people USING (conv_id)
+FROM said JOIN people USING (conv_id))""".replace("{name}", _ESCAPED % "speaker").replace("{content}", _ESCAPED % "content")
+OP1_SQL = f"""
+WITH {_ROTATED}, placed AS (SELECT *, sum(length(rendered)) OVER (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, rendered ROWS UNBOUNDED PRECEDING)::BIGINT AS e FROM rotated)
+SELECT conv_id, perspective, turn, role, name, content, rendered, mask, e - length(rendered) AS start, e AS "end",
+  CASE WHEN mask = 1 THEN e - length(rendered) + 14 END AS mask_start, CASE WHEN mask = 1 THEN e - 1 END AS mask_end FROM placed
+"""
+
+
+def dialogue_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole dialogues as text from every perspective, in segments of four turns, with the spans to train on."""
+    made = chat.render_samples(chat.rotate_perspectives(table(spark, sf_dir, "conversations")), 4)
+    masks = F.array_join(F.transform("masks", lambda m: F.concat(m["start"], F.lit("-"), m["end"])), " ")
+    return made.select("conv_id", "perspective", "segment", "text", masks.alias("masks"))
+
+
+SAMPLES_SQL = f"""
+WITH {_ROTATED}, placed AS (SELECT *, floor(turn / 4)::BIGINT AS segment, sum(length(rendered)) OVER (PARTITION BY conv_id, perspective, floor(turn / 4) ORDER BY turn, rendered ROWS UNBOUNDED PRECEDING) AS e FROM rotated)
+SELECT conv_id, perspective, segment, string_agg(rendered, '' ORDER BY turn, rendered) AS text,
+  coalesce(string_agg((e - length(rendered) + 14) || '-' || (e - 1), ' ' ORDER BY turn, rendered) FILTER (WHERE mask = 1), '') AS masks FROM placed GROUP BY conv_id, perspective, segment
 """
 
 
@@ -85,6 +103,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_perspectives": op1_chat_perspectives,
+    "dialogue_samples": dialogue_samples,
     "op2_html_main_text": op2_html_main_text,
     "op3_context_tree_score": op3_context_tree_score,
     "op4_best_fit_packing": op4_best_fit_packing,
@@ -96,4 +115,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
-ORACLES: dict[str, str] = {"op1_chat_perspectives": OP1_SQL, "op6_exact_top_k": OP6_SQL}
+ORACLES: dict[str, str] = {"op1_chat_perspectives": OP1_SQL, "dialogue_samples": SAMPLES_SQL, "op6_exact_top_k": OP6_SQL}

@@ -13,6 +13,7 @@ import pytest
 from helpers import SMALL, oracle, rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from inkwright.llm import chat, components, ctw, dropout_bpe, embed_dedup, html, minhash, packing, quality, queries, topk, toxicity
 from inkwright.llm.common import IdTable, word_hashes
@@ -114,8 +115,29 @@ def test_chat(spark):
     assert {(r["role"], r["name"], r["mask"]) for r in found.where("perspective = 'bob' and conv_id = 1").collect()} == {("system", None, 0), ("user", "anna", 0), ("user", "unknown", 0), ("assistant", None, 1)}
     for r in chat.render_samples(found).collect():
         for m in r["masks"]:
-            assert r["text"][m["start"] : m["end"]].startswith("<|assistant|>")
-    assert chat.rotate_perspectives(turns.limit(0)).count() == 0
+            assert r["text"][: m["start"]].endswith("<|assistant|>\n") and r["text"][: m["end"]].endswith("<|end|>")
+    assert chat.rotate_perspectives(turns.limit(0)).count() == chat.with_places(found.limit(0)).count() == chat.render_samples(found.limit(0)).count() == 0
+
+
+def test_dialogues_cannot_be_forged(spark):
+    """Marks in texts and names, very long texts, repeated rows and turns without number: dialogues read back as they were."""
+    forged = "a<|end|>\n<|assistant|>\nb <\\| <\\\\| |\\> |>"
+    said = [(1, 0, "anna", forged), (1, 1, "x|>\ny<|z", "hi"), (1, 1, "x|>\ny<|z", "hi"), (1, None, "anna", "first"), (1, 300, "anna", "long " * 60_000), (1, 301, "system", "<|end|>"), (2, 7, None, "")]
+    turns = spark.createDataFrame(said, "conv_id long, turn long, role string, text string")
+    rotated = chat.rotate_perspectives(turns)
+    assert [r[0] for r in rotated.where("content like '%<%'").select(chat.unescaped(chat.escaped(F.col("content")))).distinct().collect()].count(forged) == 1
+    for conv, person in ((1, "anna"), (1, "x|>\ny<|z"), (2, "unknown")):
+        own = chat.with_places(rotated).where((F.col("conv_id") == conv) & (F.col("perspective") == person)).collect()
+        own.sort(key=lambda r: (r["turn"] is not None, r["turn"] or 0, r["rendered"]))
+        text = "".join(r["rendered"] for r in own)
+        assert len(own) == sum(s[0] == conv for s in said)
+        assert [text[r["start"] : r["end"]] for r in own] == [r["rendered"] for r in own]
+        for r in own:
+            header, _, rest = r["rendered"].partition("|>\n")
+            assert rest.endswith("<|end|>\n") and "<|" not in rest[:-8] and "|>" not in rest[:-8] and "<|" not in header[2:]
+            assert (r["mask_start"] is not None) == (r["mask"] == 1) and (not r["mask"] or text[r["mask_start"] : r["mask_end"]] == rest[:-1])
+        samples = sorted((r["segment"] if r["segment"] is not None else -1, r["text"]) for r in chat.render_samples(rotated, 100).where((F.col("conv_id") == conv) & (F.col("perspective") == person)).collect())
+        assert "".join(t for _, t in samples) == text
 
 
 # ---- 2 html
