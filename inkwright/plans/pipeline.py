@@ -19,6 +19,8 @@ class Spec:
     rules: bool = True
     mode: str = "compat"
     rejoin: bool = False
+    dictionary: DataFrame | None = None
+    distance: int = 2
     checkers: tuple = ()
     chunk_size: int = 6000
     context_lexicon: DataFrame | None = None
@@ -52,13 +54,16 @@ def modernize(blocks: DataFrame, use_rules: bool = True, mode: str = "compat", r
 def run(blocks: DataFrame, spec: Spec) -> dict[str, DataFrame]:
     """All results by name; nothing runs before one of them is used.
 
-    merged, rules_applied, flags, text, and, as the specification asks: stats, warnings,
+    merged, rules_applied, flags, text, and, as the specification asks: corrected, stats, warnings,
     entity_diff, synced, chapters, epub. A text passes each correction that is switched on before the
     next stage reads it.
     """
     merged, counts = modernize(blocks, spec.rules, spec.mode, spec.rejoin, spec.rule_table)
     out = {"merged": merged, "rules_applied": counts, "flags": flags.flag_blocks(merged)}
     texts = render.plain_text(merged, "merged_id")
+    if spec.dictionary is not None:
+        out["corrected"] = spell.correct(texts, spec.dictionary, spec.distance, prefix=0)
+        texts = out["corrected"].select("doc_id", "text")
     if spec.checkers:
         texts, out["stats"] = spell.run(texts, spec.checkers, spec.chunk_size)
     if spec.context_lexicon is not None:

@@ -149,7 +149,7 @@ class _DoubleSpaces:
 def spell_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts through chunking, a checker, the safe rules and patching, and back together."""
     docs = I.spread(I.table(spark, sf_dir, "documents")).select("doc_id", F.replace(F.translate("text", "ab", "аб"), F.lit(". "), F.lit(".\n\n")).alias("text"))
-    return spell.run(docs, [_DoubleSpaces()], 600)[0]
+    return spell.whole_texts(spell.run_chunks(docs, [_DoubleSpaces()], 600))
 
 
 SPELL_RUN_SQL = "SELECT doc_id, regexp_replace(replace(translate(text, 'ab', 'аб'), '. ', '.' || chr(10) || chr(10)), 'а б', 'а  б', 'g') || chr(10) || chr(10) AS text FROM documents"

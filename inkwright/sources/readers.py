@@ -12,7 +12,7 @@ BLOCKS = "array<struct<page:int,role:string,text:string,wsize:double,bbox:array<
 
 
 def whole_texts(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id (the path), text: a row a file."""
+    """doc_id (the path), text: a row a file that is not empty."""
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("doc_id"), F.col("value").alias("text"))
 
 
