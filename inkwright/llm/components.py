@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwright.llm.common import cut
+from inkwright.llm.common import Scratch
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -13,17 +13,19 @@ def _state(edges: DataFrame) -> tuple:
     return row[0], row[1]
 
 
-def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, rounds: int = 60, scratch: Scratch | None = None) -> DataFrame:
     """Rows (node, component) for every node of the links (u, v); component: the smallest node reachable.
 
     Links may repeat, point either way or join a node with itself; rows with a null end are
     ignored. Nodes without a link to another node are absent. Each round shuffles the links
     twice; a hub's links are read by skew-splittable joins and its minimum is pre-aggregated, so
     no node's neighbours meet in one task's memory. The number of rounds grows with the logarithm
-    of the longest chain; exceeding `rounds` raises instead of returning a partial answer.
+    of the longest chain; exceeding `rounds` raises instead of returning a partial answer. Each round's links are
+    written to `scratch` and the round before dropped, so that the last one's files alone remain, which the result reads.
     """
+    scratch = scratch or Scratch(edges.sparkSession)
     links = edges.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    links = cut(links)
+    links = scratch.put(links)
     before = _state(links)
     for _ in range(rounds):
         if not before[0]:
@@ -33,7 +35,8 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         own = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(own, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        links = cut(small.union(own.select("u", F.col("m").alias("v"))).distinct())
+        done, links = links, scratch.put(small.union(own.select("u", F.col("m").alias("v"))).distinct())
+        scratch.drop(done)
         after = _state(links)
         if after == before:
             break

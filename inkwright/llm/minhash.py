@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwright.llm.common import batches_by_bytes, cut, mix, utf8_rows, word_hashes
+from inkwright.llm.common import Scratch, batches_by_bytes, mix, utf8_rows, word_hashes
 from inkwright.llm.components import connected_components
 
 SHINGLE_WORDS = 5
@@ -173,8 +173,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 
 def _sets_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     """The shingle sets of the documents wanted; no other text is shuffled further than to learn that."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return shingle_sets(texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    return shingle_sets(docs.join(wanted, "doc_id", "left_semi"))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, per_cent: int) -> DataFrame:
@@ -197,61 +196,98 @@ def _grouped(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.join(groups.select(F.col("node").alias("b"), "component"), "b", "left").withColumn("grp", F.coalesce("component", "b")).drop("component")
 
 
-def _open_tiles(crowd: DataFrame, groups: DataFrame, tile_rows: int) -> DataFrame:
-    """band, x, y, b, part: members of buckets with more than one group, dealt to pairs of parts of about `tile_rows`."""
+def _open_tiles(crowd: DataFrame, groups: DataFrame, tile_rows: int, tile_shingles: int) -> DataFrame:
+    """band, x, y, b, part: members of buckets with more than one group, dealt to pairs of parts.
+
+    A pair of different groups has an end outside the bucket's largest group. So the others fall into parts 0, 1, ...,
+    the largest group into the parts after these, and of all pairs of parts those of two of the latter are not made: a
+    bucket that is one group but for a few members costs these few times its size. A part has about `tile_rows` rows and
+    `tile_shingles` shingles.
+    """
     rows = _grouped(crowd, groups)
-    several = rows.groupBy("band").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1"), F.count("*").alias("n")).where("g0 <> g1")
-    several = several.select("band", F.ceil(F.col("n") / tile_rows).cast("int").alias("parts"))
-    dealt = rows.join(several, "band").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    return dealt.select("band", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "b", "part")
+    own = rows.groupBy("band", "grp").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
+    most = F.max(F.struct("rows", "grp", "shingles")).alias("most")
+    bands = own.groupBy("band").agg(most, F.sum("rows").alias("rows"), F.sum("shingles").alias("shingles")).where(F.col("most.rows") < F.col("rows"))
+
+    def parts(n, shingles):
+        return F.greatest(F.lit(1), F.ceil(n / tile_rows), F.ceil(shingles / tile_shingles)).cast("int")
+
+    sized = bands.select("band", F.col("most.grp").alias("main"), parts(F.col("rows") - F.col("most.rows"), F.col("shingles") - F.col("most.shingles")).alias("po"), parts(F.col("most.rows"), F.col("most.shingles")).alias("pm"))
+    dealt = rows.join(sized, "band").withColumn("far", F.col("grp") == F.col("main"))
+    place = F.when(F.col("far"), F.col("po") + F.pmod(F.xxhash64("b"), F.col("pm"))).otherwise(F.pmod(F.xxhash64("b"), F.col("po"))).cast("int")
+    others = F.when(F.col("far"), F.col("po")).otherwise(F.col("po") + F.col("pm"))
+    dealt = dealt.withColumn("part", place).withColumn("other", F.explode(F.sequence(F.lit(0), others - 1)))
+    return dealt.select("band", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "b", "n", "part")
+
+
+_TILE = ("band", "x", "y")
 
 
 def _tile_rows(tiles: DataFrame, groups: DataFrame, sigs: DataFrame) -> DataFrame:
-    return _grouped(tiles, groups).join(sigs.select(F.col("doc_id").alias("b"), "sig"), "b").select("band", "x", "y", "b", "grp", "sig", "part")
+    return _grouped(tiles, groups).join(sigs.select(F.col("doc_id").alias("b"), "sig"), "b").select(*_TILE, "b", "n", "grp", "sig", "part")
 
 
-def _tile_pairs(key, table, threshold: float, miss: float):
-    """Index pairs of different groups that survive pruning, and their matches; a pair that shares several bands counts in the first."""
+def _tile_pairs(key, table, per_cent: int, miss: float):
+    """Index pairs of different groups that survive pruning, and their matches; a pair that shares several bands counts in the first.
+
+    The first batch of signature values is compared block by block of rows, later ones pair by pair.
+    """
     band, x, y = (k.as_py() for k in key)
-    grp, sig, part = table.column("grp").to_numpy(), _matrix(table.column("sig")), table.column("part").to_numpy()
+    grp, part, n = (table.column(c).to_numpy() for c in ("grp", "part", "n"))
+    sig = _matrix(table.column("sig"))
     keys = band_keys(sig)
     here = int(np.flatnonzero(keys[0].view(np.int64) == band)[0])
-    out = [(np.zeros(0, np.int64),) * 3]
-    for i in range(len(grp) - 1):
-        j = np.arange(i + 1, len(grp))
-        j = j[(grp[j] != grp[i]) & ((part[j] != part[i]) | (x == y))]
-        j = j[~(keys[j, :here] == keys[i, :here]).any(1)]
-        if len(j):
-            alive, matches = survivors(np.broadcast_to(sig[i], (len(j), HASHES)), sig[j], threshold, miss)
-            out.append((np.full(len(alive), i), j[alive], matches))
+    left = np.flatnonzero(part == x)
+    right = left if x == y else np.flatnonzero(part == y)
+    (step, least), out = least_matches(per_cent / 100, miss)[0], [(np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int16))]
+    columns = [np.ascontiguousarray(sig[right, k]) for k in range(step)]
+    for at in range(0, len(left), 128):
+        rows = left[at : at + 128]
+        matches = np.zeros((len(rows), len(right)), np.uint8)
+        for k, column in enumerate(columns):
+            matches += sig[rows, k][:, None] == column[None, :]
+        r, c = np.nonzero(matches >= least)
+        i, j = rows[r], right[c]
+        go = (grp[i] != grp[j]) & (100 * np.minimum(n[i], n[j]) >= per_cent * np.maximum(n[i], n[j]))
+        if x == y:
+            go &= i < j
+        i, j = i[go], j[go]
+        for first in range(0, len(i), 1 << 16):
+            p, q = i[first : first + (1 << 16)], j[first : first + (1 << 16)]
+            new = ~(keys[p, :here] == keys[q, :here]).any(1)
+            p, q = p[new], q[new]
+            alive, agree = survivors(sig[p], sig[q], per_cent / 100, miss)
+            out.append((p[alive].astype(np.int32), q[alive].astype(np.int32), agree.astype(np.int16)))
     return tuple(np.concatenate(z) for z in zip(*out))
 
 
-class _Sets:
-    """Disjoint sets of group numbers."""
+class _Labels:
+    """Groups as small numbers, united step by step."""
 
-    def __init__(self):
-        self.up: dict[int, int] = {}
+    def __init__(self, grp: np.ndarray):
+        _, self.of = np.unique(grp, return_inverse=True)
+        self.label = np.arange(int(self.of.max()) + 1 if len(self.of) else 0)
 
-    def root(self, g: int) -> int:
-        while (h := self.up.get(g, g)) != g:
-            self.up[g] = g = self.up.get(h, h)
-        return g
+    def apart(self, i, j):
+        return self.label[self.of[i]] != self.label[self.of[j]]
 
-    def unite(self, g: int, h: int) -> bool:
-        g, h = self.root(g), self.root(h)
-        self.up[max(g, h)] = min(g, h)
-        return g != h
+    def unite(self, i: int, j: int) -> None:
+        a, b = self.label[self.of[i]], self.label[self.of[j]]
+        self.label[self.label == b] = a
 
 
-def _forests(threshold: float, miss: float):
+def _forests(per_cent: int, miss: float):
     def compare(key, table):
         """Of a tile's surviving pairs a spanning forest of the groups, most alike first; `dropped` if there are others."""
-        i, j, matches = _tile_pairs(key, table, threshold, miss)
-        ids, grp = table.column("b").to_numpy(), table.column("grp").to_numpy()
-        order, sets = np.argsort(-matches, kind="stable"), _Sets()
-        kept = [k for k in order.tolist() if sets.unite(int(grp[i[k]]), int(grp[j[k]]))]
+        i, j, matches = _tile_pairs(key, table, per_cent, miss)
+        ids, groups, kept = table.column("b").to_numpy(), _Labels(table.column("grp").to_numpy()), []
+        order = np.argsort(-matches, kind="stable")
+        for first in range(0, len(order), 4096):
+            some = order[first : first + 4096]
+            for k in some[groups.apart(i[some], j[some])].tolist():
+                if groups.apart(i[k], j[k]):
+                    groups.unite(i[k], j[k])
+                    kept.append(k)
         band, x, y = (k.as_py() for k in key)
         a, b = ids[i[kept]], ids[j[kept]]
         n = len(kept)
@@ -260,25 +296,38 @@ def _forests(threshold: float, miss: float):
     return compare
 
 
+def _undecided(per_cent: int, miss: float):
+    def compare(key, table):
+        """The documents of a tile that have a surviving pair of different groups."""
+        i, j, _ = _tile_pairs(key, table, per_cent, miss)
+        return table.take(pa.array(np.unique(np.concatenate((i, j))).astype(np.int64)))
+
+    return compare
+
+
 def _confirmed(per_cent: int, miss: float):
     def compare(key, table):
         """Links of a tile that full sets confirm, as a spanning forest of the groups."""
-        i, j, _ = _tile_pairs(key, table, per_cent / 100, miss)
-        ids, grp, sets = table.column("b").to_numpy(), table.column("grp").to_numpy(), _Sets()
+        i, j, _ = _tile_pairs(key, table, per_cent, miss)
+        ids, groups = table.column("b").to_numpy(), _Labels(table.column("grp").to_numpy())
         column, links = table.column("shingles").combine_chunks(), []
         size = column.value_lengths().to_numpy().astype(np.int64)
         start = np.cumsum(size) - size
-        distinct, at = np.unique(column.flatten().to_numpy(), return_inverse=True)
-        own = [at[x : x + n] for x, n in zip(start.tolist(), size.tolist())]
-        mark = np.zeros(len(distinct), np.int64)
-        left, first = np.unique(i, return_index=True)
-        for p, right in zip(left.tolist(), np.split(j, first[1:])):  # all partners of one row at once
-            mark[own[p]] = 1
-            ends = np.cumsum(size[right])
-            both = np.add.reduceat(mark[np.concatenate([own[q] for q in right.tolist()])], ends - size[right])
-            mark[own[p]] = 0
+        at = np.unique(column.flatten().to_numpy(), return_inverse=True)[1].astype(np.int32)
+        mark = np.zeros(int(at.max()) + 1 if len(at) else 0, bool)
+        order = np.argsort(i, kind="stable")
+        left, first = np.unique(i[order], return_index=True)
+        for p, right in zip(left.tolist(), np.split(j[order], first[1:])):  # all partners of one row at once
+            right = right[groups.apart(p, right)]
+            if not len(right):
+                continue
+            own = at[start[p] : start[p] + size[p]]
+            mark[own] = True
+            both = np.fromiter((np.count_nonzero(mark[at[start[q] : start[q] + size[q]]]) for q in right.tolist()), np.int64, len(right))
+            mark[own] = False
             for q in right[100 * both >= per_cent * (size[p] + size[right] - both)].tolist():
-                if sets.unite(int(grp[p]), int(grp[q])):
+                if groups.apart(p, q):
+                    groups.unite(p, q)
                     links.append((p, q))
         u, v = (np.asarray([ids[x[n]] for x in links], np.int64) for n in range(2))
         return pa.table({"u": u, "v": v})
@@ -289,63 +338,94 @@ def _confirmed(per_cent: int, miss: float):
 # ---------------------------------------------------------------- operator
 
 
-def near_duplicates(docs: DataFrame, per_cent: int = 85, miss: float = 1e-6, seed: int = 11, tile_rows: int = 1024) -> DataFrame:
+def _joined(groups: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """The groups after further links: a group's rows are stars around its smallest document, which settle at once."""
+    if links.isEmpty():
+        return groups
+    return connected_components(groups.select(F.col("node").alias("u"), F.col("component").alias("v")).union(links), scratch=scratch)
+
+
+def _one_text(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
+    """doc_id, text with one row an id, and how many rows each repeated id has (None when no id is repeated).
+
+    Only rows of repeated ids are gathered by id, and of these only the smallest text.
+    """
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    often = scratch.put(slim.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1"))
+    if often.isEmpty():
+        return slim, None
+    single = slim.join(often, "doc_id", "left_anti")
+    least = slim.join(often, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    return single.union(least), often
+
+
+def near_duplicates(docs: DataFrame, per_cent: int = 85, miss: float = 1e-6, seed: int = 11, tile_rows: int = 1024, tile_shingles: int = 1 << 20) -> DataFrame:
     """Groups of documents linked by Jaccard similarity of their shingle sets: doc_id, n_shingles, component_id, kept.
 
     Texts are lower-cased (A-Z), cut into words at ASCII white space and into distinct five-word
     shingles; one to four words make one shingle. Documents with the same set are one class; the
     class with the smallest doc_id stands for it. Signatures of 125 values fall into 25 bands of
-    5 rows (a pair at similarity 0.85 shares no band with probability below 1e-6). In each bucket
-    every class is first compared with the bucket's smallest one, which links groups of copies
+    5 rows. In each bucket every class is first compared with the bucket's smallest one, which links groups of copies
     in linear work. Only classes of one bucket that are still in different groups are then
-    compared with each other, in tiles of bounded size: each tile proposes a spanning forest of its surviving pairs, and tiles
+    compared with each other, in tiles of bounded rows and shingles: each tile proposes a spanning forest of its surviving pairs, and tiles
     whose groups that does not unite confirm their other pairs themselves. So no list of a group's
-    pairs is ever made, and no link is lost. Every comparison prunes by posterior similarity after each 25 values (chosen miss
-    probability `miss`) and confirms survivors on full sets: 100 * intersection >= per_cent * union.
+    pairs is ever made. Every comparison prunes by posterior similarity after each 25 values (chosen miss
+    probability `miss` a step) and confirms survivors on full sets: 100 * intersection >= per_cent * union.
+
+    Recall: two classes whose similarity is s share no band with probability (1 - s^5)^25: 4e-7 at 0.85, 5e-5 at 0.80,
+    3e-9 at 0.90; pruning adds at most 5 * `miss`. Such a miss loses that pair's own link, not those over other documents.
 
     component_id: the smallest doc_id reachable, itself included. kept: doc_id = component_id.
-    Null, empty or white text has no shingles and links with nothing. Rows with a null doc_id keep null
-    component and kept. Repeated ids are rows of their own and must carry one text. Extra columns are ignored.
+    Null, empty or white text has no shingles and links with nothing; very long texts count whole. Rows with a null doc_id keep null
+    component and kept. Of rows that repeat a doc_id the smallest text speaks for all, and each row is returned. Extra
+    columns are ignored; an empty table gives no rows.
     """
-    prints = cut(fingerprints(docs, seed))
+    scratch = Scratch(docs.sparkSession)
+    docs, often = _one_text(docs, scratch)
+    prints = scratch.put(fingerprints(docs, seed))
     known = prints.where(F.col("sig").isNotNull() & F.col("doc_id").isNotNull())
     set_key = ["n_shingles", "hi", "lo"]
-    classes = known.groupBy(*set_key).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-    classes = cut(classes.select(*set_key, "rep"))
-    reps = classes.select(F.col("rep").alias("doc_id"))
-    sigs = cut(known.join(reps, "doc_id", "left_semi").select("doc_id", "sig").dropDuplicates(["doc_id"]))
+    classes = scratch.put(known.groupBy(*set_key).agg(F.min("doc_id").alias("rep")))
+    sigs = scratch.put(known.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", F.col("n_shingles").alias("n"), "sig"))
 
     def bands(batches):
         for batch in batches:
             if batch.num_rows:
                 keys = band_keys(_matrix(pa.Table.from_batches([batch]).column("sig")))
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column("doc_id").to_numpy(), BANDS)), pa.array(keys.ravel().view(np.int64))], ["b", "band"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(c).to_numpy(), BANDS)) for c in ("doc_id", "n")] + [pa.array(keys.ravel().view(np.int64))], ["b", "n", "band"])
 
-    banded = sigs.mapInArrow(bands, "b long, band long")
+    banded = sigs.mapInArrow(bands, "b long, n long, band long")
     heads = banded.groupBy("band").agg(F.min("b").alias("a"), F.count("*").alias("members")).where(F.col("members") > 1)
-    members = cut(banded.join(heads, "band"))
+    members = scratch.put(banded.join(heads, "band"))
     stars = members.where(F.col("a") != F.col("b")).select("a", "b").distinct()
-    first = cut(_verified(cut(_pruned_pairs(stars, sigs, per_cent / 100, miss)), docs, per_cent))
-    groups = connected_components(first.select("u", "v"))
-
-    # buckets whose members are not all in one group yet: every two members meet in one tile
-    crowd = members.where((F.col("members") > 2) & (F.col("a") != F.col("b"))).select("band", "b")
-    tiles = cut(_open_tiles(crowd, groups, tile_rows))
-    found = cut(_tile_rows(tiles, groups, sigs).groupBy("band", "x", "y").applyInArrow(_forests(per_cent / 100, miss), "band long, x int, y int, a long, b long, dropped boolean"))
-    second = cut(_verified(found.select("a", "b").distinct(), docs, per_cent))
-    groups = connected_components(first.union(second))
+    pruned = scratch.put(_pruned_pairs(stars, sigs, per_cent / 100, miss))
+    first = scratch.put(_verified(pruned, docs, per_cent))
+    scratch.drop(pruned)
+    groups = connected_components(first, scratch=scratch)
+
+    # buckets whose members are not all in one group yet: every two of different groups meet in one tile
+    crowd = members.where((F.col("members") > 2) & (F.col("a") != F.col("b"))).select("band", "b", "n")
+    tiles = scratch.put(_open_tiles(crowd, groups, tile_rows, tile_shingles))
+    scratch.drop(members)
+    found = scratch.put(_tile_rows(tiles, groups, sigs).groupBy(*_TILE).applyInArrow(_forests(per_cent, miss), "band long, x int, y int, a long, b long, dropped boolean"))
+    second = scratch.put(_verified(found.select("a", "b").distinct(), docs, per_cent))
+    groups = _joined(groups, second, scratch)
 
     # tiles that held back pairs and still are not in one group: their pairs are confirmed in the tile
-    late = tiles.join(found.where("dropped").select("band", "x", "y").distinct(), ["band", "x", "y"], "left_semi")
-    left = _tile_rows(late, groups, sigs)
-    still = left.groupBy("band", "x", "y").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1")).where("g0 <> g1").select("band", "x", "y")
-    left = cut(left.join(still, ["band", "x", "y"], "left_semi"))
-    third = left.join(_sets_of(left.select(F.col("b").alias("doc_id")).distinct(), docs).withColumnRenamed("doc_id", "b"), "b")
-    third = cut(third.groupBy("band", "x", "y").applyInArrow(_confirmed(per_cent, miss), "u long, v long"))
-    groups = connected_components(first.union(second).union(third))
+    late = tiles.join(found.where("dropped").select(*_TILE).distinct(), [*_TILE], "left_semi")
+    late = _tile_rows(late, groups, sigs)
+    still = late.groupBy(*_TILE).agg(F.min("grp").alias("g0"), F.max("grp").alias("g1")).where("g0 <> g1").select(*_TILE)
+    late = late.join(still, [*_TILE], "left_semi").groupBy(*_TILE).applyInArrow(_undecided(per_cent, miss), late.schema)
+    late = scratch.put(late)
+    third = late.join(_sets_of(late.select(F.col("b").alias("doc_id")).distinct(), docs).withColumnRenamed("doc_id", "b"), "b")
+    third = scratch.put(third.groupBy(*_TILE).applyInArrow(_confirmed(per_cent, miss), "u long, v long"))
+    groups = _joined(groups, third, scratch)
 
     by_class = classes.join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left").select(*set_key, F.coalesce("component", "rep").alias("component_id"))
     linked = known.select("doc_id", *set_key).join(by_class, set_key).select("doc_id", "n_shingles", "component_id")
     alone = prints.where(F.col("sig").isNull() | F.col("doc_id").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return linked.union(alone).withColumn("kept", F.col("doc_id") == F.col("component_id"))
-
+    result = scratch.put(linked.union(alone).withColumn("kept", F.col("doc_id") == F.col("component_id")))
+    if often is not None:
+        result = scratch.put(result.join(often, "doc_id", "left").withColumn("one", F.explode(F.sequence(F.lit(1), F.coalesce("rows", F.lit(1))))).drop("rows", "one"))
+    scratch.keep(result)
+    return result
