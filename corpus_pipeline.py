@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwright.llm import minhash, packing, quality, toxicity
-from inkwright.llm.common import ensure_checkpoint_dir, table
+from inkwright.llm.common import remove, shared_dir, table
 
 #: Near-duplicates here are documents whose sets of five-word shingles are at least this similar, in per cent.
 NEAR_PER_CENT = 80
@@ -50,16 +50,22 @@ STAGES = [
     ("best_fit_packing", packing_stage),
 ]
 
-#: SQL cannot express the fitted classifiers; tests compare each stage with a brute-force version.
+#: SQL cannot express the fitted classifiers; tests compare each stage with a version made by hand.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder, with each result in the shared folder."""
-    ensure_checkpoint_dir(spark)
-    place = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
+    """All stages over the documents of a folder, with each result in the shared folder until the next one is there.
+
+    Empty tables give no rows. A null doc_id passes every stage; see the stages for null texts and repeated rows.
+    """
+    place = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{place}/{name}")
         docs = spark.read.parquet(f"{place}/{name}")
+        if before:
+            remove(spark, f"{place}/{before}")
+        before = name
     return docs
