@@ -469,7 +469,7 @@ def score_documents(docs: DataFrame, folds: int = 7, held_fold: int = 2, chunk_b
     slim = slim.withColumn("held_out", held)
     size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(parallelism(spark), math.ceil(size / chunk_bytes))
-    dealt = slim.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int")).repartition(n, "chunk")
+    dealt = slim.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")).repartition(n, "chunk")
 
     def seen(key, table):
         held_out = table.column("held_out").to_numpy(zero_copy_only=False).astype(bool)

@@ -43,7 +43,8 @@ def _classes() -> np.ndarray:
 class WordTokens:
     """Token ids of whole texts, word by word, with a table of the words' ids.
 
-    The vocabulary's split into words, stated below, comes before any merge, so a text's ids are its words' ids in order.
+    The vocabulary's split into words, stated below, comes before any merge, so a text's ids are its words' ids in order. That this is the
+    file's split is tried on PROBES first.
     Texts of common Latin characters are split with array operations and only unseen words
     go to the tokenizer; any other text goes to it whole.
     """
@@ -51,6 +52,9 @@ class WordTokens:
     #: Fixed values of the vocabulary file's word split: these contractions, else runs of letters, single numbers, runs of other marks.
     CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 
+    #: Texts that another word split would cut otherwise.
+    PROBES = ("It's we'll THEY'D don''t 'tis 'S x'rex", "a1b22 3.14 ½² v2.0-rc_1", "  two\t tabs\n\nlines ", "naïve Über-größe ÆØ ǅ ʼn", "(a)[b]{c} <d> @e #f $5 %6 &g *h_i_ ~j", "…–—“x” «y» !?!,;:", "")
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -64,6 +68,9 @@ class WordTokens:
         for c in np.flatnonzero(self.kinds < ODD):
             self.lower[c] = ord(chr(c).lower())
         self.table = IdTable()
+        # a vocabulary with another word split gets every text whole
+        self.splits = True
+        self.splits = self.encode([*self.PROBES]) == self._ids([*self.PROBES])
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<i4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -104,7 +111,7 @@ class WordTokens:
         near = np.minimum(points, 0x250)
         kinds = self.kinds[near]
         odd = np.add.reduceat(kinds == ODD, ends - sizes) > 0 if len(texts) else np.zeros(0, bool)
-        odd |= np.fromiter(("<|" in t for t in texts), bool, len(texts))
+        odd |= np.fromiter((not self.splits or "<|" in t for t in texts), bool, len(texts))
         if odd.any():
             kinds = np.where(np.repeat(odd, sizes), SPACE, kinds)
         low = self.lower[near]

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwright.llm.common import batches_by_bytes, cut, mix, utf8_rows, word_hashes
+from inkwright.llm.common import Scratch, batches_by_bytes, mix, utf8_rows, word_hashes
 
 _U64 = np.uint64
 _SCORES = "doc_id long, log_weight double, key double"
@@ -162,7 +162,7 @@ def resample(docs: DataFrame, labels: DataFrame, size: int | str | None = None,
     Repeated rows are drawn alike. Without labels of quality 1 all weights are 0 and nothing with words is rejected. Extra columns are ignored; an empty table gives no rows.
     """
     model, sample = fit(docs, labels, **options)
-    scored = cut(scores(docs, model))
+    scored = Scratch(docs.sparkSession).put(scores(docs, model))
     edge = draw_edge(scored, sample, size)
     kept = F.coalesce(sortable_key() >= edge, F.lit(False))
     return scored.select(F.when(F.col("doc_id") != -(2**63), F.col("doc_id")).alias("doc_id"), "log_weight", "key", kept.alias("kept"))
@@ -192,7 +192,9 @@ def keep_drawn(docs: DataFrame, labels: DataFrame, size: int | str | None = None
     other columns pass whatever their names; an empty table stays empty.
     """
     model, sample = fit(docs, labels, **options)
-    edge = draw_edge(cut(scores(docs, model)), sample, size)
+    scratch = Scratch(docs.sparkSession)
+    edge = draw_edge(scratch.put(scores(docs, model)), sample, size)
+    scratch.keep()
     columns = docs.columns
 
     def scan(batches):

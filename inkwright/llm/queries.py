@@ -90,6 +90,7 @@ def op7_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_toxicity_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels say toxic or not; the grades of toxic documents are equal shares of the rate of indicative stems, so severity among them is made, not labelled."""
     return toxicity.severity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 

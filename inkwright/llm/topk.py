@@ -75,7 +75,7 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float
     fan_in * k rows of a query. Ties go to the smaller id. A query's own row (by id) is no
     candidate. Vectors that are null, empty or hold null or non-finite components, and rows with
     a null id, take no part; vectors are compared only at equal length. Repeated ids are
-    separate candidates. Columns besides id and vector are ignored. Empty tables give no rows.
+    separate candidates; rows that repeat a query's id are one query, which gets the best of all their lists. Columns besides id and vector are ignored. Empty tables give no rows.
     """
     spark = vectors.sparkSession
     slim = lambda df: df.where(usable(vec_col) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"), F.size(vec_col).alias("dim"))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwright.llm.common import batches_by_bytes, cut, stem_hashes, utf8_rows
+from inkwright.llm.common import Scratch, batches_by_bytes, stem_hashes, utf8_rows
 from inkwright.llm.quality import labelled_sample
 
 #: Bytes of a word's beginning that are features besides the whole word: inflected forms share their stem.
@@ -121,12 +121,11 @@ def _document_counts(batches):
         yield pa.RecordBatch.from_arrays([pa.array(stems.view(np.int64)), pa.array(counts[0]), pa.array(counts[1])], ["stem", "toxic", "civil"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_labels: int = 6000, most_features: int = 4096, least_docs: int = 4, grades: int = 4) -> OrdinalModel:
+def fit(docs: DataFrame, labels: DataFrame, most_labels: int = 6000, least_docs: int = 4, grades: int = 4) -> OrdinalModel:
     """A model fitted on a bounded, balanced sample: at most half of `most_labels` toxic and half other rows.
 
-    Candidate features are stems in at least `least_docs` sampled toxic documents, ranked by the z-score of
-    their log odds, which is worked out where the stems are; at most `most_features` reach the driver, and then the sampled
-    documents' counts of these. Labels say only toxic or not, so grades are: 0 for documents that are not
+    Features are the stems in at least `least_docs` sampled toxic documents whose log odds exceed LEAST_ODDS with a z-score above 3, which
+    is worked out where the stems are; these reach the driver, and then the sampled documents' counts of these. Both are bounded by the sample. Labels say only toxic or not, so grades are: 0 for documents that are not
     toxic, and for toxic ones 1 to `grades` - 1 by equal shares of the rate of indicative words. Without toxic labels, or without
     others, every severity is 0.
     """
@@ -135,7 +134,8 @@ def fit(docs: DataFrame, labels: DataFrame, most_labels: int = 6000, most_featur
     sample = labelled_sample(labels.where(F.col("toxic") == 1), "toxic", half) | labelled_sample(labels.where(F.col("toxic") == 0), "toxic", half)
     ids = docs.sparkSession.createDataFrame(list(sample.items()), "doc_id long, y int")
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    chosen = cut(slim.join(F.broadcast(ids), "doc_id"))
+    scratch = Scratch(docs.sparkSession)
+    chosen = scratch.put(slim.join(F.broadcast(ids), "doc_id"))
     known = {r["y"]: r["count"] for r in chosen.groupBy("y").count().collect()}
     n1, n0 = known.get(1, 0), known.get(0, 0)
     if not n1 or not n0:
@@ -144,7 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, most_labels: int = 6000, most_featur
     a, b = F.col("a") + 0.5, F.col("b") + 0.5
     odds = F.log(a / (n1 + 1 - a)) - F.log(b / (n0 + 1 - b))
     ranked = counts.where(F.col("a") >= least_docs).select("stem", odds.alias("odds"), (odds / F.sqrt(1 / a + 1 / b)).alias("z"))
-    best = ranked.where((F.col("z") > 3) & (F.col("odds") > LEAST_ODDS)).orderBy(F.desc("z"), "stem").limit(most_features).toPandas()
+    best = ranked.where((F.col("z") > 3) & (F.col("odds") > LEAST_ODDS)).select("stem").toPandas()
     features = np.sort(best["stem"].to_numpy().view(_U64))
     if not len(features):
         return none
@@ -158,6 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, most_labels: int = 6000, most_featur
                 yield pa.RecordBatch.from_arrays([pa.array([y], pa.int32()), pa.array([words]), pa.array([at[hit].tolist()], pa.list_(pa.int32())), pa.array([times[hit].tolist()], pa.list_(pa.int32()))], ["y", "words", "at", "times"])
 
     rows = chosen.mapInArrow(cells, "y int, words long, at array<int>, times array<int>").collect()
+    scratch.keep()
     rows = sorted(rows, key=lambda r: (r["y"], r["words"], r["at"], r["times"]))  # the same model whatever the order of tasks
     toxic, words = np.asarray([r["y"] == 1 for r in rows]), np.asarray([r["words"] for r in rows])
     r = np.repeat(np.arange(len(rows)), [len(row["at"]) for row in rows])
@@ -191,7 +192,8 @@ def score(docs: DataFrame, model: OrdinalModel) -> DataFrame:
 def severity(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """Expected severity of every document: doc_id, severity, toxic_probability, grade, toxic.
 
-    toxic: toxic_probability >= 0.5. Null and empty texts have no features and get the model's
+    toxic: toxic_probability >= 0.5. Grades above 0 are made from the rate of the very stems that predict them, see fit(): the severity of a
+    toxic document orders such documents by it and has no other source. Null and empty texts have no features and get the model's
     base severity, below every toxic one. Repeated rows are scored alike, a null doc_id stays null,
     extra columns are ignored, empty tables give no rows. One scan fits, one scores; nothing is shuffled.
     """
@@ -199,7 +201,11 @@ def severity(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 
 def keep_civil(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The documents that are not toxic, with all their columns."""
+    """The documents that are not toxic, with all their columns.
+
+    Null and empty texts stay; very long texts count whole; repeated rows go or stay together; other columns pass whatever their names; an empty
+    table stays empty, and without labels of both kinds every document stays.
+    """
     model = fit(docs, labels, **options)
     columns = docs.columns
 

@@ -357,6 +357,17 @@ def test_scores(spark, make_docs):
     assert ctw.score_documents(make_docs([])).count() == 0
 
 
+def test_scores_of_hot_ids_and_long_texts(spark, make_docs):
+    """One id, or none, for most rows; equal rows score alike, whatever chunk they fall into."""
+    texts = [(None, f"word number {k % 7} of many") for k in range(60)] + [(7, f"word number {k % 7} of many") for k in range(60)] + [(8, "very long text " * 40_000), (9, "x" * 300_000)]
+    found = ctw.score_documents(make_docs(texts), chunk_bytes=4096).collect()
+    assert len(found) == len(texts)
+    by = collections.defaultdict(set)
+    for r in found:
+        by[r["doc_id"], r["n_tokens"], round(r["base_score"], 6)].add(round(r["score"], 3))
+    assert all(len(v) <= 7 for v in by.values()) and {r["n_tokens"] for r in found if r["doc_id"] in (8, 9)} == {120_001, 2}
+
+
 def test_scores_use_every_context(spark, make_docs):
     """More grams than any one table held before; the whole tree weighed in one place says the same."""
     random = np.random.default_rng(7)
@@ -408,6 +419,30 @@ def test_packing(spark, make_docs):
     assert packing.pack_documents(make_docs([]), packing.default_tokenizer()).count() == 0
 
 
+@given(st.lists(st.text(alphabet=st.one_of(st.characters(max_codepoint=0x24F), st.sampled_from("'stremvld 19\t\n.-_")), max_size=40), min_size=1, max_size=4))
+@settings(max_examples=200, deadline=None)
+def test_word_tokens_are_the_tokenizer(tokens4, texts):
+    assert tokens4.splits
+    assert [np.frombuffer(x, "<i4").tolist() for x in tokens4.encode(texts)] == [e.ids for e in tokens4.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+@pytest.fixture(scope="module")
+def tokens4():
+    return packing.WordTokens(packing.default_tokenizer())
+
+
+def test_other_word_splits_go_to_the_tokenizer_whole(tmp_path):
+    import json
+
+    with open(packing.default_tokenizer(), encoding="utf-8") as f:
+        stated = json.load(f)
+    stated["pre_tokenizer"] = {"type": "WhitespaceSplit"}
+    (tmp_path / "other.json").write_text(json.dumps(stated), encoding="utf-8")
+    other = packing.WordTokens(str(tmp_path / "other.json"))
+    texts = ["it's 22 (a)", "plain words"]
+    assert not other.splits and [np.frombuffer(x, "<i4").tolist() for x in other.encode(texts)] == [e.ids for e in other.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
 # ---- 5 embeddings, 6 search
 
 
@@ -458,6 +493,10 @@ def test_search(spark):
         wanted += [(q, r, c, -s) for r, (s, c) in enumerate(scored, 1)]
     assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found) == sorted(wanted)
     assert topk.exact_top_k(df.limit(0), df.limit(0)).count() == 0
+    odd = spark.createDataFrame([(None, [9.0, 9.0]), (0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [1.0, 0.5]), (1, [1.0, 0.5]), (2, [0.0, 1.0])], "vec_id long, embedding array<float>")
+    again = topk.exact_top_k(odd, odd.where("vec_id = 0 or vec_id is null"), k=3).collect()
+    # a null id takes no part; the two vectors of id 0 are one query; repeated candidates are separate
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in again) == [(0, 1, 1, 65536), (0, 2, 1, 65536), (0, 3, 2, 65536)]
 
 
 # ---- 7 merge-dropout
@@ -566,6 +605,8 @@ def test_toxicity(spark, make_docs):
     kept = toxicity.keep_civil(docs, labels)
     assert kept.columns == docs.columns and kept.count() == 160 + 4
     assert toxicity.severity(docs, labels.limit(0)).where("toxic").count() == 0
+    twice = toxicity.severity(docs.union(docs.where("doc_id < 20")), labels).where("doc_id < 20").groupBy("doc_id").agg(F.count("*").alias("n"), F.countDistinct("severity").alias("k")).collect()
+    assert all((r["n"], r["k"]) == (2, 1) for r in twice) and len(twice) == 20
     assert toxicity.severity(docs.limit(0), labels).count() == 0
 
 
