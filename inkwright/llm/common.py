@@ -179,10 +179,10 @@ class IdTable:
             todo, at = todo[on], at[on] + 1 & (1 << self.bits) - 1
         return out
 
-    def add(self, hashes: np.ndarray, coded: list[bytes], words: list[np.ndarray]) -> np.ndarray:
-        """New entries: ids (little-endian int32) and characters of distinct, absent hashes; a hash 0 is never found again."""
-        entries = self.ids.append([np.frombuffer(c, "<i4") for c in coded])
-        self.characters.append(words)
+    def add(self, hashes: np.ndarray, ids: np.ndarray, counts: np.ndarray, characters: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """New entries for distinct, absent hashes: ids, how many each has, and the same of characters; a hash 0 is never found again."""
+        entries = self.ids.append(ids, counts)
+        self.characters.append(characters, sizes)
         todo = np.flatnonzero(hashes)
         at = (hashes[todo] >> _U64(64 - self.bits)).astype(np.int64)
         while len(todo):
@@ -197,7 +197,7 @@ class IdTable:
         return entries
 
     def resolve(self, hashes: np.ndarray, values: np.ndarray, first: np.ndarray, after: np.ndarray, code) -> np.ndarray:
-        """Entries of all spans (first, after) of the values; `code` makes the ids of the spans, given as indices, that are new."""
+        """Entries of all spans (first, after) of the values; `code` makes the ids of the spans, given as indices, that are new, and their numbers."""
         if self.ids.count > self.most:
             self.clear()
         hashes = np.maximum(hashes, _U64(1))
@@ -206,11 +206,11 @@ class IdTable:
         if len(new):
             fresh, at = np.unique(hashes[new], return_index=True)
             rows = new[at]
-            self.add(fresh, code(rows), [values[i:j] for i, j in zip(first[rows].tolist(), after[rows].tolist())])
+            self.add(fresh, *code(rows), *taken(values, first[rows], after[rows]))
             found[new] = self.find(hashes[new])
         odd = self._different(found, values, first, after)
         if len(odd):  # a hash that stands for something else
-            found[odd] = self.add(np.zeros(len(odd), _U64), code(odd), [values[i:j] for i, j in zip(first[odd].tolist(), after[odd].tolist())])
+            found[odd] = self.add(np.zeros(len(odd), _U64), *code(odd), *taken(values, first[odd], after[odd]))
         return found
 
     def _different(self, entries: np.ndarray, values: np.ndarray, first: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -232,6 +232,18 @@ class IdTable:
         return self.ids.gather(entries)
 
 
+def taken(values: np.ndarray, first: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of some spans in a row, and the spans' sizes."""
+    sizes = (after - first).astype(np.int64)
+    ends = np.cumsum(sizes)
+    return values[np.repeat(first - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)], sizes
+
+
+def in_a_row(coded: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Little-endian int32 lists in a row, and how many numbers each has."""
+    return np.frombuffer(b"".join(coded), "<i4"), np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+
+
 class _Lists:
     """Lists of numbers in one array that grows."""
 
@@ -239,14 +251,13 @@ class _Lists:
         self.flat, self.start, self.size = np.zeros(1 << 18, kind), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
         self.count = self.used = 0
 
-    def append(self, lists: list[np.ndarray]) -> np.ndarray:
-        """Numbers of the new lists."""
-        n, flat = len(lists), np.concatenate([*lists, np.zeros(0, self.flat.dtype)])
+    def append(self, flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Places of the new lists, given in a row with their sizes."""
+        n = len(sizes)
         while self.count + n > len(self.start):
             self.start, self.size = np.concatenate((self.start, np.zeros_like(self.start))), np.concatenate((self.size, np.zeros_like(self.size)))
         while self.used + len(flat) > len(self.flat):
             self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-        sizes = np.fromiter(map(len, lists), np.int64, n)
         self.flat[self.used : self.used + len(flat)] = flat
         self.start[self.count : self.count + n] = self.used + np.cumsum(sizes) - sizes
         self.size[self.count : self.count + n] = sizes

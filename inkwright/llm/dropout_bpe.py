@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwright.llm.common import IdTable, batches_by_bytes, code_points, mix, spans
+from inkwright.llm.common import IdTable, batches_by_bytes, code_points, in_a_row, mix, spans, taken
 
 _U64, _MASK = np.uint64, (1 << 64) - 1
 _ENCODED = "doc_id long, n_pieces long, ids array<int>, lossless boolean"
@@ -30,6 +30,33 @@ def _mix(x: int) -> int:
     return x ^ x >> 31
 
 
+class _Lookup:
+    """A read-only table from whole numbers below 2**62 to numbers: a mixed key names a slot, and probing is bounded by the longest run."""
+
+    def __init__(self, found: dict[int, int]):
+        self.bits, self.longest = max(10, (4 * len(found)).bit_length()), 1
+        self.keys, self.values = np.full((1 << self.bits) + 64, -1, np.int64), np.full((1 << self.bits) + 64, -1, np.int32)
+        for key in sorted(found):
+            at, run = (key * 0x9E3779B97F4A7C15 & _MASK) >> (64 - self.bits), 1
+            while self.keys[at] >= 0:
+                at, run = at + 1, run + 1
+            self.keys[at], self.values[at], self.longest = key, found[key], max(self.longest, run)
+
+    def get(self, key: np.ndarray) -> np.ndarray:
+        """The value of each key, -1 where there is none or the key is negative."""
+        at = (key.view(_U64) * _U64(0x9E3779B97F4A7C15) >> _U64(64 - self.bits)).astype(np.int64)
+        out = np.full(key.shape, -1, np.int32)
+        todo = np.flatnonzero(key >= 0)
+        for _ in range(self.longest):
+            if not len(todo):
+                break
+            hit = self.keys[at[todo]] == key[todo]
+            out[todo[hit]] = self.values[at[todo[hit]]]
+            todo = todo[~hit & (self.keys[at[todo]] >= 0)]
+            at[todo] += 1
+        return out
+
+
 class MergeDropout:
     """Merge-type segmentation with keyed dropout.
 
@@ -67,48 +94,42 @@ class MergeDropout:
         # an inner space mark would let merges cross segments: then texts are segments
         self.whole = any(SPACE in p.lstrip(SPACE) for p in self.ids)
         self.pairs = self._pair_table()
-        self.longest_piece = max(map(len, self.ids))
-        self.known = np.zeros(0x110000, bool)
-        self.known[[ord(c) for c in self.characters]] = True
-        self.known[ord(SPACE)] = False  # one in the text is not a space
+        self.letter = np.full(0x110000, -1, np.int32)
+        self.letter[[ord(c) for c in self.characters]] = list(self.characters.values())
+        self.letter[ord(SPACE)] = -1  # one in the text is not a space
+        self.steps, self.made = self._trie()
         self.candidates, self.table = IdTable(), IdTable()
 
-    def _pair_table(self) -> tuple[np.ndarray, np.ndarray, int]:
-        """Merged piece of each pair of pieces, as a sorted array of pair keys."""
+    def _pair_table(self) -> _Lookup:
+        """Merged piece of each pair of pieces."""
         found = {}
         for piece, k in self.ids.items():
             for i in range(1, len(piece)):
                 a, b = self.ids.get(piece[:i]), self.ids.get(piece[i:])
                 if a is not None and b is not None:
                     found[a << 20 | b] = k
-        keys = np.sort(np.fromiter(found, np.int64, len(found)))
-        # direct lookup: the low bits of a mixed key name a slot; probing is bounded by the longest run
-        bits = max(10, (4 * len(keys)).bit_length())
-        slots, merged = np.full((1 << bits) + 64, -1, np.int64), np.full((1 << bits) + 64, -1, np.int32)
-        longest = 1
-        for key in keys.tolist():
-            at, run = (key * 0x9E3779B97F4A7C15 & _MASK) >> (64 - bits), 1
-            while slots[at] >= 0:
-                at, run = at + 1, run + 1
-            slots[at], merged[at], longest = key, found[key], max(longest, run)
-        self.bits, self.longest, self.makeable = bits, longest, frozenset(found.values())
-        return slots, merged, longest
+        return _Lookup(found)
+
+    def _trie(self) -> tuple[_Lookup, np.ndarray]:
+        """From a beginning of pieces (0: nothing) and a letter to the longer beginning; and the piece that each is, if merges can make it."""
+        found: dict[int, int] = {}
+        made, nodes = [-1], {"": 0}
+        makeable = set(self.pairs.values[self.pairs.values >= 0].tolist())
+        for piece, k in self.ids.items():
+            if k in makeable and SPACE not in piece[1:]:
+                letters = piece.replace(SPACE, " ")
+                for n in range(1, len(letters) + 1):
+                    if letters[:n] not in nodes:
+                        nodes[letters[:n]] = len(made)
+                        found[nodes[letters[: n - 1]] << 21 | ord(letters[n - 1])] = len(made)
+                        made.append(-1)
+                made[nodes[letters]] = k
+        return _Lookup(found), np.asarray(made, np.int32)
 
     def _merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        slots, merged, longest = self.pairs
         key = left.astype(np.int64) << 20 | right
         key[(left < 0) | (right < 0)] = -2
-        at = (key.view(_U64) * _U64(0x9E3779B97F4A7C15) >> _U64(64 - self.bits)).astype(np.int64)
-        out = np.full(key.shape, -1, np.int32)
-        todo = np.flatnonzero(key >= 0)
-        for _ in range(longest):
-            if not len(todo):
-                break
-            hit = slots[at[todo]] == key[todo]
-            out[todo[hit]] = merged[at[todo[hit]]]
-            todo = todo[~hit & (slots[at[todo]] >= 0)]
-            at[todo] += 1
-        return out
+        return self.pairs.get(key)
 
     def _dropped(self, key: np.ndarray, start: np.ndarray, piece: np.ndarray) -> np.ndarray:
         x = key ^ (start.astype(_U64) * _U64(0xD6E8FEB86659FD93) + piece.astype(_U64))
@@ -153,15 +174,12 @@ class MergeDropout:
                 out += [ids[i]] if ids[i] >= 0 else [self.byte_ids[b] for b in (SPACE if symbols[i] == MARK else symbols[i]).encode()]
         return np.asarray(out, "<i4").tobytes()
 
-    def _many(self, key: np.ndarray, segments: list[str]) -> list[bytes]:
-        """All segments at once, each with its key: in each round every segment takes its best candidate that is not dropped.
+    def _many(self, key: np.ndarray, letters: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All segments (letters in a row, and sizes) at once, each with its key: in each round every segment takes its best candidate that is not dropped.
 
         Symbols stay at their first character; links to the next and previous symbol skip what merged away.
         """
-        known = self.characters
-        size = np.fromiter(map(len, segments), np.int64, len(segments))
-        n, width = len(segments), int(size.max())
-        letters = np.fromiter((known[c] for c in "".join(segments)), np.int32, int(size.sum()))
+        n, width = len(size), int(size.max())
         inside = np.arange(width)[None, :] < size[:, None]
         sym = np.full((n, width), -1, np.int32)
         sym[inside] = letters
@@ -203,29 +221,43 @@ class MergeDropout:
             left = previous >= 0
             offer(np.concatenate((live[right], live[left])), np.concatenate((at[right], previous[left])))
         kept = sym >= 0
-        flat = sym[kept].astype("<i4").tobytes()
-        ends = np.cumsum(kept.sum(1) * 4).tolist()
-        return [flat[i:j] for i, j in zip([0, *ends[:-1]], ends)]
-
-    def code(self, keys: np.ndarray, segments: list[str]) -> list[bytes]:
-        """The ids of segments of known characters, each under its key."""
-        out: list[bytes] = [b""] * len(segments)
-        order = sorted(range(len(segments)), key=lambda k: len(segments[k]))
-        for i in range(0, len(order), 4096):
-            part = order[i : i + 4096]
-            for k, ids in zip(part, self._many(keys[part], [segments[k] for k in part])):
-                out[k] = ids
-        return out
-
-    def _possible(self, segment: str) -> bytes:
-        """All merges that an agenda may meet in a segment, as place << 20 | piece."""
-        text, out, ids = segment.replace(" ", SPACE), [], self.ids
-        for i in range(len(text) - 1):
-            for j in range(i + 2, min(len(text), i + self.longest_piece) + 1):
-                k = ids.get(text[i:j])
-                if k in self.makeable:
-                    out.append(i << 20 | k)
-        return np.asarray(out, "<i4").tobytes()
+        return sym[kept], kept.sum(1)
+
+    def code(self, keys: np.ndarray, points: np.ndarray, first: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of segments of known characters, each under its key, in a row, and how many each has."""
+        order = np.argsort(after - first, kind="stable")
+        held = []
+        for at in range(0, len(order), 4096):
+            part = order[at : at + 4096]
+            letters, size = taken(points, first[part], after[part])
+            held.append(self._many(keys[part], self.letter[letters], size))
+        counts = np.zeros(len(order), np.int64)
+        counts[order] = np.concatenate([c for _, c in held])
+        flat, ends = np.concatenate([f for f, _ in held]), np.cumsum(counts[order])
+        begin = np.zeros(len(order), np.int64)
+        begin[order] = ends - counts[order]
+        return taken(flat, begin, begin + counts)
+
+    def _possible(self, points: np.ndarray, first: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All merges that an agenda may meet in some segments, as place << 20 | piece, in a row, and how many each segment has.
+
+        Every place of every segment walks down the trie of pieces, all places a letter at a time.
+        """
+        sizes = (after - first).astype(np.int64)
+        row = np.repeat(np.arange(len(first)), sizes)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        at, node, held = first[row] + place, np.zeros(len(row), np.int64), []
+        while len(row):
+            node = self.steps.get(node << 21 | points[at].astype(np.int64)).astype(np.int64)
+            piece = np.where(node >= 0, self.made[node], -1)
+            some = np.flatnonzero(piece >= 0)
+            held.append((row[some], place[some].astype(np.int32) << 20 | piece[some]))
+            at += 1
+            go = np.flatnonzero((node >= 0) & (at < after[row]))
+            row, place, at, node = row[go], place[go], at[go], node[go]
+        rows = np.concatenate([r for r, _ in held])
+        order = np.argsort(rows, kind="stable")
+        return np.concatenate([m for _, m in held])[order].astype(np.int32), np.bincount(rows, minlength=len(first))
 
     def _patterns(self, keys: np.ndarray, entries: np.ndarray) -> np.ndarray:
         """A hash of the possible merges that each segment's key skips."""
@@ -262,21 +294,19 @@ class MergeDropout:
         of_text = np.fromiter((_mix((x & _MASK) ^ _mix(self.seed + 0x2545F491)) for x in ids), _U64, len(ids))
         number = np.arange(len(first)) - np.repeat(upto - counts, counts)
         keys = mix(np.repeat(of_text, counts) + mix(number.astype(_U64)))
-        odd = (after - first > WIDE) | (np.add.reduceat(~self.known[points], first, dtype=np.int64) > 0)
+        odd = (after - first > WIDE) | (np.add.reduceat(self.letter[points] < 0, first, dtype=np.int64) > 0)
         easy, hard = np.flatnonzero(~odd), np.flatnonzero(odd)
         entries = np.zeros(len(first), np.int32)
 
-        def segments(rows: np.ndarray) -> list[str]:
-            return [points[i:j].tobytes().decode("utf-32-le") for i, j in zip(first[rows].tolist(), after[rows].tolist())]
-
         if len(easy):
             hashes, own, begin, end = spans(points, first)(first[easy], after[easy]), keys[easy], first[easy], after[easy]
             if self.limit:
-                possible = self.candidates.resolve(hashes, points, begin, end, lambda rows: [self._possible(s) for s in segments(easy[rows])])
+                possible = self.candidates.resolve(hashes, points, begin, end, lambda rows: self._possible(points, begin[rows], end[rows]))
                 hashes = mix(hashes ^ self._patterns(own, possible))
-            entries[easy] = self.table.resolve(hashes, points, begin, end, lambda rows: self.code(own[rows], segments(easy[rows])))
-        coded = [self._agenda(k, s) for k, s in zip(keys[hard].tolist(), segments(hard))]
-        entries[hard] = self.table.add(np.zeros(len(hard), _U64), coded, [points[:0]] * len(hard))
+            entries[easy] = self.table.resolve(hashes, points, begin, end, lambda rows: self.code(own[rows], points, begin[rows], end[rows]))
+        segments = [points[i:j].tobytes().decode("utf-32-le") for i, j in zip(first[hard].tolist(), after[hard].tolist())]
+        coded = in_a_row([self._agenda(k, s) for k, s in zip(keys[hard].tolist(), segments)])
+        entries[hard] = self.table.add(np.zeros(len(hard), _U64), *coded, points[:0], np.zeros(len(hard), np.int64))
         flat, pieces = self.table.gather(entries)
         edges = (np.append(0, np.cumsum(pieces))[upto] * 4).tolist()
         flat = flat.astype("<i4").tobytes()

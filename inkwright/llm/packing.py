@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkwright.llm.common import IdTable, batches_by_bytes, code_points, cut, spans
+from inkwright.llm.common import IdTable, batches_by_bytes, code_points, cut, in_a_row, spans
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PACKED = _PIECES + ", sequence_id long, offset long"
@@ -119,8 +119,8 @@ class WordTokens:
             return []
         first, after = self._words(kinds, low)
 
-        def code(rows: np.ndarray) -> list[bytes]:
-            return self._word_ids([low[i:j].tobytes().decode("utf-32-le") for i, j in zip(first[rows].tolist(), after[rows].tolist())])
+        def code(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            return in_a_row(self._word_ids([low[i:j].tobytes().decode("utf-32-le") for i, j in zip(first[rows].tolist(), after[rows].tolist())]))
 
         entries = self.table.resolve(spans(low, first)(first, after), low, first, after, code) if len(first) else np.zeros(0, np.int32)
         flat, counts = self.table.gather(entries)

@@ -16,7 +16,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from inkwright.llm import chat, components, ctw, dropout_bpe, embed_dedup, html, minhash, packing, quality, queries, topk, toxicity
-from inkwright.llm.common import IdTable, word_hashes
+from inkwright.llm.common import IdTable, code_points, taken, word_hashes
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -48,7 +48,7 @@ def test_id_table_survives_collisions():
     for _ in range(20):
         h = rng.integers(1, 1 << 62, 100).astype(np.uint64)
         n = np.arange(100)
-        entries = table.resolve(h, h.astype(np.uint32), n, n + 1, lambda at: [np.asarray([int(h[k]) % 97, 5], "<i4").tobytes() for k in at])
+        entries = table.resolve(h, h.astype(np.uint32), n, n + 1, lambda at: (np.asarray([[int(h[k]) % 97, 5] for k in at], np.int32).ravel(), np.full(len(at), 2)))
         ids, sizes = table.gather(entries)
         assert ids.reshape(-1, 2)[:, 0].tolist() == [int(x) % 97 for x in h] and (sizes == 2).all()
 
@@ -56,7 +56,7 @@ def test_id_table_survives_collisions():
 def test_id_table_tells_words_of_one_hash_apart():
     table, values = IdTable(), np.frombuffer(b"abcabdab", np.uint8)
     first, after = np.asarray([0, 3, 6, 0]), np.asarray([3, 6, 8, 3])
-    code = lambda at: [np.asarray(list(values[first[k] : after[k]]), "<i4").tobytes() for k in at]
+    code = lambda at: taken(values.astype(np.int32), first[at], after[at])
     for _ in range(2):
         ids, sizes = table.gather(table.resolve(np.full(4, 77, np.uint64), values, first, after, code))
         assert bytes(ids.astype(np.uint8)) == b"abcabdababc" and sizes.tolist() == [3, 3, 2, 3]
@@ -564,7 +564,9 @@ def test_dropout_varies_and_repeats(spark, make_docs, tokenizers7):
     assert len(ways) > 40  # every occurrence draws for itself
     some = [" " + w for w in "internationalization the of, word. über x 12345 a-b".split()] + ["   "]
     keys = np.arange(1, len(some) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    assert t.code(keys, some) == [t._agenda(int(k), w) for k, w in zip(keys, some)]
+    end = np.cumsum([len(w) for w in some])
+    flat, counts = t.code(keys, code_points(some), np.append(0, end[:-1]), end)
+    assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == [np.frombuffer(t._agenda(int(k), w), "<i4").tolist() for k, w in zip(keys, some)]
     docs = make_docs([(1, text), (1, text), (2, None), (3, ""), (None, "▁ odd ▁▁"), (4, "y" * 20000)])
     coded = dropout_bpe.encode_documents(docs, dropout_bpe.default_model())
     assert all(r["lossless"] for r in coded.collect()) and len({tuple(r["ids"]) for r in coded.where("doc_id = 1").collect()}) == 1
