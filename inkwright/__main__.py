@@ -7,6 +7,7 @@ run with status 1, but for those of entities, which are left out with a note.
 from __future__ import annotations
 
 import argparse
+import importlib
 import sys
 
 from pyspark.sql import SparkSession
@@ -39,7 +40,7 @@ def parser() -> argparse.ArgumentParser:
     stage("clean", "texts through post-cleaning")
     stage("epub", "texts to packages", title=None, author="", max_chapter_size=50, template=None, cover=None)
     whole = {"mode": "compat", "no_rules": False, "rules": None, "rejoin": False, "dictionary": None, "distance": 2, "language_tool": None, "speller": None, "chunk_size": 6000}
-    whole |= {"lexicon": None, "pronouns": ",".join(context.PIPELINE_PRONOUNS), "other": None, "types": ",".join(entities.DEFAULT_TYPES), "clean": False}
+    whole |= {"lexicon": None, "pronouns": ",".join(context.PIPELINE_PRONOUNS), "other": None, "types": ",".join(entities.DEFAULT_TYPES), "entity_engine": None, "sentence_engine": None, "clean": False}
     stage("run", "blocks through the whole chain", **whole, title=None, author="", max_chapter_size=50, template=None, cover=None)
     return top
 
@@ -56,15 +57,25 @@ def _template(args: argparse.Namespace) -> dict[str, bytes] | None:
     return epub.read_template(content) if content else None
 
 
+def _maker(name: str | None):
+    """The function that "module:function" names, which makes an engine in a worker."""
+    if not name:
+        return None
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
 def specification(spark: SparkSession, args: argparse.Namespace) -> pipeline.Spec:
     """What the options of `run` ask for."""
     checkers = [adapters.LanguageToolChecker(args.language_tool)] if args.language_tool else []
     checkers += [adapters.WordServiceChecker(args.speller)] if args.speller else []
-    other = entities.extract(_named(readers.whole_texts(spark, args.other)), "source", entities.parse_types(args.types)) if args.other else None
+    kinds, names = entities.parse_types(args.types), _maker(args.entity_engine)
+    version = _named(readers.whole_texts(spark, args.other)) if args.other else None
+    other = None if version is None else entities.extract_with(version, "source", names, kinds) if names else entities.extract(version, "source", kinds)
     table = lambda path: spark.read.parquet(path) if path else None
     return pipeline.Spec(
         rules=not args.no_rules, mode=args.mode, rejoin=args.rejoin, dictionary=table(args.dictionary), distance=args.distance, checkers=tuple(checkers), chunk_size=args.chunk_size, context_lexicon=table(args.lexicon),
-        pronouns=tuple(args.pronouns.split(",")), source_mentions=other, types=tuple(entities.parse_types(args.types)), clean=args.clean, chapter_kb=args.max_chapter_size, title=args.title or "", author=args.author,
+        pronouns=tuple(args.pronouns.split(",")), source_mentions=other, types=tuple(kinds), entity_engine=names, sentence_engine=_maker(args.sentence_engine), clean=args.clean, chapter_kb=args.max_chapter_size, title=args.title or "", author=args.author,
         rule_table=tuple(rules.read_rules(spark, args.rules)) if args.rules else None, template=_template(args), cover=_content(args.cover),
     )
 

@@ -53,6 +53,7 @@ def unify_linebreaks(c: Column) -> Column:
 def normalize_linebreaks(c: Column) -> Column:
     """Line ends, invisible characters, hyphenation at line ends, single line ends to spaces, runs of blanks."""
     c = unify_linebreaks(F.coalesce(c, F.lit("")))
+    # The patterns of line breaks in their order.
     rules = [("[​‌‍­]", ""), (rf"(?U)([\w{CYRILLIC}]){HYPHENS}\n(?=[\w{CYRILLIC}])", "$1"), (r"(?<!\n)\n(?!\n)", " "), (r"[ \t]{2,}", " ")]
     return strip(replace_all(c, rules))
 
@@ -60,6 +61,7 @@ def normalize_linebreaks(c: Column) -> Column:
 def normalize_punct(c: Column) -> Column:
     """Dashes, ellipses, space around punctuation, straight quotes; the order matters."""
     c = F.replace(F.coalesce(c, F.lit("")), F.lit("–"), F.lit("—"))
+    # The patterns of punctuation in their order.
     rules = [
         (r"(?U)\s*—\s*", " — "),
         (r"(?<!\.)\.\.\.(?!\.)", "…"),
@@ -88,6 +90,7 @@ def mixed_latin_to_cyrillic(c: Column) -> Column:
     return map_matches(c, MIXED_TOKEN, lambda t: F.when(both(t), F.translate(t, LATIN, LOOKALIKE)).otherwise(t))
 
 
+# Fixed value: letters set apart.
 SPACED = r"(?U)(?<!\S)(?:[А-ЯЁа-яё]\s){2,}[А-ЯЁа-яё](?!\S)"
 
 
@@ -117,6 +120,7 @@ def close_small_gaps(texts: pd.Series) -> pd.Series:
 
 def fix_ocr(c: Column) -> Column:
     """Misread prepositions before words that call for another."""
+    # Words that call for another preposition, and the patterns.
     after = "дороге|стене|полу|небу|земле|воде|берегу|берегам"
     degree = "мере|степени|крайней|меньшей|большей"
     return replace_all(c, [(r"(?iuU)\bпа\s+([а-яё])", "на $1"), (rf"(?iuU)\bто\s+({after})\b", "по $1"), (rf"(?iuU)\bто\s+({degree})\b", "по $1")])
@@ -126,6 +130,7 @@ def cleanup(c: Column) -> Column:
     """The post-cleaning steps in their fixed order."""
     c = unify_linebreaks(F.coalesce(c, F.lit("")))
     c = replace_odd_symbols(F.regexp_replace(c, "[​‌‍­]", ""))
+    # The patterns of cleaning in their order.
     c = replace_all(c, [(r"(?U)\s*—\s*", " — "), (rf"(?U)([\w{CYRILLIC}]){HYPHENS}\n(?=[\w{CYRILLIC}])", "$1"), (r"(?<!\n)\n(?!\n)", " "), (r"[ \t]{2,}", " ")])
     return strip(mixed_latin_to_cyrillic(fix_ocr(close_small_gaps(join_spaced_letters(c)))))
 

@@ -9,6 +9,7 @@ from inkwright.functions import text as T
 
 #: Line boundaries of Python's splitlines.
 LINES = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
+# Fixed value: how a sentence ends.
 END_OF_SENTENCE = r"(?U)[.!?…][»”)\]\"]?\s*$"
 
 

@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+from typing import Protocol
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from inkwright.functions import text as T
+from inkwright.operators.engines import loaded
+
+SPANS = "array<struct<sentence:string,tokens:array<string>,start_char:int,end_char:int>>"
 
 # Pronouns looked at by the checker alone, and by the whole pipeline.
 PRONOUNS = ("он", "она", "они", "мы", "вы", "ты", "оно", "я")
@@ -85,6 +94,52 @@ def rejoin_sentences(blocks: DataFrame, split=sentences) -> DataFrame:
     return blocks.withColumn("text", F.when(keep, F.col("text")).otherwise(joined))
 
 
+class SentenceEngine(Protocol):
+    """A model of sentences: (first character, character after the last, tokens) of each sentence in order."""
+
+    def split(self, text: str) -> Iterable[tuple[int, int, list[str]]]: ...
+
+
+def span_rows_with(texts: DataFrame, load: Callable[[], SentenceEngine], key: str = "doc_id") -> DataFrame:
+    """span_rows() by an engine that each Python worker loads once; a text on which it fails is one sentence of no tokens."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        engine = loaded(load)
+        for batch in batches:
+            found = []
+            for text in batch.column("text").to_pylist():
+                text = text or ""
+                try:
+                    found.append([{"sentence": text[i:j], "tokens": list(tokens), "start_char": i, "end_char": j} for i, j, tokens in engine.split(text)])
+                except ValueError:
+                    found.append([{"sentence": text, "tokens": [], "start_char": 0, "end_char": len(text)}])
+            kind = pa.list_(pa.struct([("sentence", pa.string()), ("tokens", pa.list_(pa.string())), ("start_char", pa.int32()), ("end_char", pa.int32())]))
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(found, kind)], [key, "found"])
+
+    made = texts.select(key, "text").mapInArrow(scan, StructType([texts.schema[key], StructField("found", DataType.fromDDL(SPANS))]))
+    return made.select(key, F.posexplode("found").alias("sentence_id", "x")).select(key, "sentence_id", "x.*")
+
+
+def rejoin_with(blocks: DataFrame, load: Callable[[], SentenceEngine]) -> DataFrame:
+    """rejoin_sentences() by an engine that each Python worker loads once; a block on which it fails stays as it is."""
+
+    @F.pandas_udf(StringType())
+    def joined(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        engine = loaded(load)
+        for texts in batches:
+            out = []
+            for text in texts:
+                try:
+                    parts = [text[i:j].strip() for i, j, _ in engine.split(text or "")]
+                    out.append(" ".join(p for p in parts if p) or text)
+                except ValueError:
+                    out.append(text)
+            yield pd.Series(out, dtype=object)
+
+    keep = (F.col("role") == "heading") | (T.strip(F.coalesce("text", F.lit(""))) == "")
+    return blocks.withColumn("text", F.when(keep, F.col("text")).otherwise(joined("text")))
+
+
 def span_rows(texts: DataFrame, key: str = "doc_id") -> DataFrame:
     """key, sentence_id, sentence, tokens, start_char, end_char: token_spans in rows, with a running sum in place of a fold."""
     text = F.coalesce("text", F.lit(""))

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
+from typing import Protocol
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from inkwright.functions.folds import replace_in_order
+from inkwright.operators.engines import loaded
 
 DEFAULT_TYPES = ("PER", "LOC")
 MENTIONS = "array<struct<text:string,normal:string,type:string>>"
@@ -30,6 +34,31 @@ def extract(texts: DataFrame, side: str, types=DEFAULT_TYPES, find: Callable[[Co
     return rows.where(F.col("type").isin(*types))
 
 
+class EntityEngine(Protocol):
+    """A model of entities: (text, normal form or "", type) of each mention in order."""
+
+    def mentions(self, text: str) -> Iterable[tuple[str, str, str]]: ...
+
+
+def extract_with(texts: DataFrame, side: str, load: Callable[[], EntityEngine], types=DEFAULT_TYPES, key: str = "doc_id") -> DataFrame:
+    """extract() by an engine that each Python worker loads once; a text on which it fails has no mentions."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        engine = loaded(load)
+        mention = pa.struct([("text", pa.string()), ("normal", pa.string()), ("type", pa.string())])
+        for batch in batches:
+            found = []
+            for text in batch.column("text").to_pylist():
+                try:
+                    found.append([{"text": t, "normal": n, "type": k} for t, n, k in engine.mentions(text or "")])
+                except ValueError:
+                    found.append([])
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(found, pa.list_(mention))], [key, "found"])
+
+    rows = texts.select(key, "text").mapInArrow(scan, StructType([texts.schema[key], StructField("found", DataType.fromDDL(MENTIONS))]))
+    return extract(rows.withColumn("text", F.lit("")), side, types, lambda _: F.col("found"), key)
+
+
 def dedupe(mentions: DataFrame, key: str = "doc_id") -> DataFrame:
     """The first mention of each (normal, type); a minimum that is aggregated before the shuffle."""
     first = F.min_by(F.struct("ord", "text"), "ord").alias("m")

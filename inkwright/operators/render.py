@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from inkwright.functions import text as T
 
+# The beginning and end of a page.
 HEAD = '<!doctype html>\n<html lang="ru">\n<head>\n<meta charset="utf-8"/>\n<title>%s</title>\n</head>\n<body>\n'
 FOOT = "\n</body>\n</html>\n"
 

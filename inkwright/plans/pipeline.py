@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -27,6 +28,8 @@ class Spec:
     pronouns: tuple[str, ...] = context.PIPELINE_PRONOUNS
     source_mentions: DataFrame | None = None
     types: tuple[str, ...] = entities.DEFAULT_TYPES
+    entity_engine: Callable[[], entities.EntityEngine] | None = None
+    sentence_engine: Callable[[], context.SentenceEngine] | None = None
     clean: bool = False
     chapter_kb: int = 50
     title: str = ""
@@ -36,18 +39,18 @@ class Spec:
     cover: bytes | None = None
 
 
-def modernized(blocks: DataFrame, use_rules: bool = True, mode: str = "compat", rejoin: bool = False, table=None) -> DataFrame:
+def modernized(blocks: DataFrame, use_rules: bool = True, mode: str = "compat", rejoin: bool = False, table=None, engine=None) -> DataFrame:
     """Merged blocks doc_id, merged_id, role, text, and n, the replacements made in each: one pass over the texts."""
     rewritten = rules.rewrite_blocks(blocks, table, mode) if use_rules else blocks.withColumn("n", F.lit(0).cast("long"))
     if rejoin:
-        rewritten = context.rejoin_sentences(rewritten)
+        rewritten = context.rejoin_with(rewritten, engine) if engine else context.rejoin_sentences(rewritten)
     normal = rewritten.withColumn("text", T.normalize_punct(T.normalize_linebreaks(F.col("text"))))
     return B.merge_paragraphs(normal, total="n")
 
 
-def modernize(blocks: DataFrame, use_rules: bool = True, mode: str = "compat", rejoin: bool = False, table=None) -> tuple[DataFrame, DataFrame]:
+def modernize(blocks: DataFrame, use_rules: bool = True, mode: str = "compat", rejoin: bool = False, table=None, engine=None) -> tuple[DataFrame, DataFrame]:
     """Merged blocks (doc_id, merged_id, role, text), and the replacements of each document."""
-    merged = modernized(blocks, use_rules, mode, rejoin, table)
+    merged = modernized(blocks, use_rules, mode, rejoin, table, engine)
     return merged.drop("n"), rules.rules_applied(merged)
 
 
@@ -58,7 +61,7 @@ def run(blocks: DataFrame, spec: Spec) -> dict[str, DataFrame]:
     entity_diff, synced, chapters, epub. A text passes each correction that is switched on before the
     next stage reads it.
     """
-    merged, counts = modernize(blocks, spec.rules, spec.mode, spec.rejoin, spec.rule_table)
+    merged, counts = modernize(blocks, spec.rules, spec.mode, spec.rejoin, spec.rule_table, spec.sentence_engine)
     out = {"merged": merged, "rules_applied": counts, "flags": flags.flag_blocks(merged)}
     texts = render.plain_text(merged, "merged_id")
     if spec.dictionary is not None:
@@ -69,7 +72,7 @@ def run(blocks: DataFrame, spec: Spec) -> dict[str, DataFrame]:
     if spec.context_lexicon is not None:
         out["warnings"] = context.warnings(texts, spec.context_lexicon, spec.pronouns)
     if spec.source_mentions is not None:
-        clean = entities.extract(texts, "clean", spec.types)
+        clean = entities.extract_with(texts, "clean", spec.entity_engine, spec.types) if spec.entity_engine else entities.extract(texts, "clean", spec.types)
         out["entity_diff"] = entities.difference(spec.source_mentions, clean)
         out["synced"] = entities.synchronise(texts, entities.replacement_pairs(spec.source_mentions, clean))
         texts = out["synced"].select("doc_id", "text")

@@ -517,3 +517,52 @@ def test_sentence_places_agree(spark):
 def test_bare_lists_are_versions(spark):
     good = lambda text: spark.createDataFrame([("structured.json", text)], "n string, t string").select(readers.valid_version(F.col("n"), F.col("t"))).first()[0]
     assert good('[{"text": "a"}]') and good('{"blocks": [{"text": "a"}]}') and not good('[{"text": " "}]') and not good("[]") and not good("1")
+
+
+# ---- outside engines by stand-ins
+
+
+def test_engines_are_loaded_once_a_worker(spark, tmp_path):
+    place = str(tmp_path / "loaded")
+
+    class Names:
+        def mentions(self, text):
+            if text == "bad":
+                raise ValueError
+            return [(w, "" if w == "Анна" else w.lower(), "per" if w == "x" else "PER") for w in text.split() if w.istitle() or w == "x"]
+
+    class Halves:
+        def split(self, text):
+            if text == "bad":
+                raise ValueError
+            at = len(text) // 2
+            return [(0, at, text[:at].split()), (at, len(text), text[at:].split())]
+
+    def load_names():
+        with open(place, "a") as f:
+            f.write("n")
+        return Names()
+
+    def load_halves():
+        return Halves()
+
+    texts = spark.createDataFrame([(k, t) for k, t in enumerate(["Пётр и Анна x", "bad", None, "Анна"])] * 40, "doc_id long, text string").repartition(12)
+    found = entities.extract_with(texts, "source", load_names)
+    assert {(r["doc_id"], r["ord"], r["text"], r["normal"]) for r in found.collect()} == {(0, 0, "Пётр", "пётр"), (0, 1, "Анна", "Анна"), (3, 0, "Анна", "Анна")}
+    assert len((tmp_path / "loaded").read_text()) <= 8  # by the workers of four cores, and not by each of 12 tasks twice
+    spans = {(r["doc_id"], r["sentence_id"], r["sentence"], r["start_char"], r["end_char"]) for r in context.span_rows_with(texts, load_halves).collect()}
+    assert {(1, 0, "bad", 0, 3), (3, 0, "Ан", 0, 2), (3, 1, "на", 2, 4), (2, 0, "", 0, 0)} <= spans
+    blocks = spark.createDataFrame([(1, "paragraph", "аб  вг"), (2, "paragraph", "bad"), (3, "heading", "аб  вг"), (4, "paragraph", " ")], "block_id int, role string, text string")
+    assert {r["block_id"]: r["text"] for r in context.rejoin_with(blocks, load_halves).collect()} == {1: "аб вг", 2: "bad", 3: "аб  вг", 4: " "}
+
+
+def test_engines_by_name(spark, tmp_path):
+    from inkwright import __main__ as cli
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "other").mkdir()
+    (tmp_path / "in" / "a.json").write_text('[{"page": 1, "role": "paragraph", "text": "Онъ видѣлъ Петра."}]', encoding="utf-8")
+    (tmp_path / "other" / "a.txt").write_text("Он видел ПЕТРА.", encoding="utf-8")
+    args = ["run", "--in", str(tmp_path / "in"), "--out", str(tmp_path / "out"), "--other", str(tmp_path / "other"), "--rejoin", "--sentence-engine", "stand_ins:sentences", "--entity-engine", "stand_ins:names"]
+    cli.run(spark, cli.parser().parse_args(args))
+    assert spark.read.parquet(f"{tmp_path}/out/text").first()["text"] == "Он видел ПЕТРА."
