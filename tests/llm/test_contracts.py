@@ -265,6 +265,21 @@ def test_copies_lose_their_furniture(spark):
     assert all(found[k] == ("the same body with more words beside it" if 2 < k < 40 else f"another body number {k} with more words beside it") for k in found) and len(found) == 42
 
 
+def test_pages_of_one_address(spark):
+    """Rows that repeat URL and page_id, or lack them, have a place of their own: the result does not depend on the number of ranges."""
+    notice = "<div>We tell every reader the same long thing at the top</div>"
+    table = [(None if k % 2 else 7, "http://h.org/same", f"{notice}<p>text {k} with many words of its own beside the notice</p>") for k in range(12)]
+    table += [(None, None, f"{notice}<p>no address {k} but many words of its own too</p>") for k in range(5)] + [table[0]] * 3
+    df = spark.createDataFrame(table, "page_id long, url string, html string")
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    for n in ("1", before, "23"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        found.append(rows(html.main_text(df)))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(table)
+    assert not any("every reader" in str(r) for r in found[0])
+
+
 def test_hostile_pages_take_linear_time():
     pages = ['<a "' * 250_000, "<div>" * 100_000 + "</section>" * 80_000, "<a" * 500_000, "<script>" + "</script" * 120_000, '<a b="x>' * 100_000, "<p>a<p>b" * 60_000, "<p " + "a " * 400_000 + ">x"]
     for source in pages:
