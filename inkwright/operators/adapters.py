@@ -95,6 +95,10 @@ def pdf_pages(files: DataFrame) -> DataFrame:
     """Page records (see operators.layout.PAGES) of PDF files read with the binaryFile source; needs PyMuPDF."""
     from inkwright.operators.layout import PAGES
 
+    line = pa.struct([("spans", pa.list_(pa.struct([("text", pa.string()), ("size", pa.float64())])))])
+    block = pa.struct([("type", pa.int32()), ("bbox", pa.list_(pa.float64())), ("lines", pa.list_(line))])
+    schema = pa.schema([("doc_id", pa.string()), ("page", pa.int32()), ("width", pa.float64()), ("blocks", pa.list_(block))])
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import fitz
 
@@ -103,10 +107,10 @@ def pdf_pages(files: DataFrame) -> DataFrame:
                 rows = []
                 with fitz.open(stream=content, filetype="pdf") as pdf:
                     for n, page in enumerate(pdf, 1):
-                        blocks = [{"type": b["type"], "bbox": list(b["bbox"]), "lines": [{"spans": [{"text": s["text"], "size": s["size"]} for s in line["spans"]]} for line in b.get("lines", [])]} for b in page.get_text("dict")["blocks"]]
-                        rows.append({"doc_id": path, "page": n, "width": page.rect.width, "blocks": blocks})
+                        blocks = [{"type": b["type"], "bbox": [float(x) for x in b["bbox"]], "lines": [{"spans": [{"text": s["text"], "size": s["size"]} for s in line["spans"]]} for line in b.get("lines", [])]} for b in page.get_text("dict")["blocks"]]
+                        rows.append({"doc_id": path, "page": n, "width": float(page.rect.width), "blocks": blocks})
                 if rows:
-                    yield from pa.Table.from_pylist(rows).to_batches()
+                    yield from pa.Table.from_pylist(rows, schema).to_batches()
 
     return files.select("path", "content").mapInArrow(scan, PAGES)
 

@@ -566,3 +566,97 @@ def test_engines_by_name(spark, tmp_path):
     args = ["run", "--in", str(tmp_path / "in"), "--out", str(tmp_path / "out"), "--other", str(tmp_path / "other"), "--rejoin", "--sentence-engine", "stand_ins:sentences", "--entity-engine", "stand_ins:names"]
     cli.run(spark, cli.parser().parse_args(args))
     assert spark.read.parquet(f"{tmp_path}/out/text").first()["text"] == "Он видел ПЕТРА."
+
+
+# ---- adapters by stand-ins of their libraries and services
+
+
+def test_services_over_http(spark):
+    import json
+    import threading
+    import urllib.parse
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+
+    from inkwright.operators import adapters
+
+    asked = []
+
+    class Service(BaseHTTPRequestHandler):
+        def do_POST(self):
+            form = urllib.parse.parse_qs(self.rfile.read(int(self.headers["Content-Length"])).decode(), keep_blank_values=True)
+            text = form["text"][0]
+            asked.append((self.path, text, form.get("language", form.get("lang"))[0]))
+            if self.path == "/lt":
+                at = text.find("дамъ")
+                found = [{"offset": at, "length": 4, "replacements": [{"value": "дом"}], "rule": {"id": "MORFOLOGIK_RULE_RU_RU"}}, {"offset": 0, "length": 1, "replacements": [{"value": "?"}], "rule": {"id": "STYLE"}}] if at >= 0 else []
+                answer = {"matches": found}
+            else:
+                at = text.find("лясъ")
+                answer = [{"pos": at, "len": 4, "s": ["лес", "лис"], "code": 1}, {"pos": 0, "len": 1, "s": []}] if at >= 0 else []
+            body = json.dumps(answer).encode()
+            self.send_response(200 if "fail" not in text else 500)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *_):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Service)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_port}"
+    texts = spark.createDataFrame([(1, "былъ дамъ и лясъ"), (2, "fail дамъ"), (3, None)], "doc_id long, text string")
+    done, counts = spell.run(texts, [adapters.LanguageToolChecker(f"{base}/lt"), adapters.WordServiceChecker(f"{base}/sp")])
+    assert {r["doc_id"]: r["text"] for r in done.collect()} == {1: "былъ дом и лес\n\n", 2: "fail дамъ\n\n", 3: "\n\n"}
+    assert [tuple(r) for r in counts.collect()] == [("languagetool", 1, 1), ("speller", 1, 1)]
+    assert ("/lt", "былъ дамъ и лясъ\n\n", "ru-RU") in asked and ("/sp", "былъ дом и лясъ\n\n", "ru") in asked
+    server.shutdown()
+
+
+def test_word_checkers_by_stand_ins(monkeypatch):
+    import sys
+    import types
+
+    from inkwright.operators import adapters
+
+    fixes = {"дамъ": "дом", "лес": "лес"}
+    monkeypatch.setitem(sys.modules, "spellchecker", types.SimpleNamespace(SpellChecker=lambda language, distance: types.SimpleNamespace(correction=fixes.get)))
+
+    class Jam:
+        def LoadLangModel(self, path):
+            self.path = path
+
+        def FixFragment(self, word):
+            return fixes.get(word, word)
+
+    monkeypatch.setitem(sys.modules, "jamspell", types.SimpleNamespace(TSpellCorrector=Jam))
+
+    class Sym:
+        def __init__(self, max_dictionary_edit_distance, prefix_length):
+            pass
+
+        def lookup(self, word, verbosity, max_edit_distance):
+            return [types.SimpleNamespace(term=fixes[word])] if word in fixes else []
+
+    monkeypatch.setitem(sys.modules, "symspellpy", types.SimpleNamespace(SymSpell=Sym, Verbosity=types.SimpleNamespace(CLOSEST=1)))
+    for kind, options in (("pyspellchecker", {}), ("jamspell", {"model_path": "x"}), ("symspell", {})):
+        found = spell.create_checker(kind, **options).check("Дамъ, лес дамъ кот")
+        assert [(m["offset"], m["length"], m["replacements"][0]["value"]) for m in found] == [(0, 4, "Дом"), (10, 4, "дом")]
+    with pytest.raises(ValueError):
+        adapters.jamspell_checker()
+    assert spell.create_checker("auto").name == "pyspellchecker"
+
+
+def test_pdf_pages_by_a_stand_in(spark, tmp_path):
+    import json
+
+    from inkwright.operators import adapters
+
+    line = lambda *texts: {"spans": [{"text": t, "size": 10.0, "font": "f"} for t in texts]}
+    page = {"width": 600.0, "blocks": [{"type": 0, "bbox": [0, 0, 100, 20], "lines": [line("раз", "-"), line("два.")]}, {"type": 1, "bbox": [0, 30, 100, 60]}]}
+    (tmp_path / "a.pdf").write_text(json.dumps([page, page]))
+    (tmp_path / "none.pdf").write_text("[]")
+    pages = adapters.pdf_pages(spark.read.format("binaryFile").load(str(tmp_path)))
+    assert pages.count() == 2
+    blocks = layout.structured(pages).orderBy("block_id").collect()
+    assert [(r["block_id"], r["page"], r["text"], r["wsize"]) for r in blocks] == [(0, 1, "раздва.", 10.0), (1, 2, "раздва.", 10.0)]
+    assert [r["text"] for r in readers.page_texts(pages).collect()] == ["раз-\nдва.\nраз-\nдва."]
