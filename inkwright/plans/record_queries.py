@@ -65,11 +65,11 @@ FROM lineitem GROUP BY l_orderkey HAVING count(*) FILTER (WHERE l_suppkey % 9 <>
 # ---------------------------------------------------------------- spelling
 
 
-def _with_matches(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
-    """Documents, as in the SQL those of over 100 characters or all, with matches that overlap, lack replacements or have rules of several kinds."""
+def _with_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with matches that overlap, lack replacements, lie beyond the end or have rules of several kinds."""
     rule = lambda i: F.element_at(F.array(*map(F.lit, ("MORFOLOGIK_RULE", "Style", "multiple_spaces", "COMMA", None))), (i % 5 + 1).cast("int"))
     match = lambda i: F.struct((i * 7 + F.col("doc_id") % 5).cast("int").alias("offset"), (i % 4 + 3 + i % 3 * 4).cast("int").alias("length"), F.when(i % 4 == 1, F.array().cast("array<struct<value:string>>")).otherwise(F.array(F.struct(F.concat(F.lit("X"), i.cast("string")).alias("value")))).alias("replacements"), F.struct(rule(i).alias("id"), F.lit("").alias("description")).alias("rule"))
-    docs = I.spread(I.table(spark, sf_dir, "documents").where(F.lit(whole) | (F.length("text") > 100)).select("doc_id", "text"))
+    docs = I.spread(I.table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.withColumn("matches", F.transform(F.sequence(F.lit(0), F.lit(9)), match))
 
 
@@ -77,40 +77,22 @@ def safe_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_matches(spark, sf_dir).select("doc_id", F.size(spell.safe_matches(F.col("matches"))).alias("safe"))
 
 
-def whole_safe_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with_matches(spark, sf_dir, True).select("doc_id", F.size(spell.safe_matches(F.col("matches"))).alias("safe"))
-
-
-def whole_patched_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _patched(_with_matches(spark, sf_dir, True))
-
-
 def patched_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _patched(_with_matches(spark, sf_dir))
-
-
-def _patched(rows: DataFrame) -> DataFrame:
-    done = rows.select("doc_id", patched(F.col("text"), F.col("matches")).alias("done"))
+    done = _with_matches(spark, sf_dir).select("doc_id", patched(F.col("text"), F.col("matches")).alias("done"))
     return done.select("doc_id", "done.text", F.col("done.n").alias("applied"))
 
 
-SAFE_SQL = "SELECT doc_id, 4 AS safe FROM documents WHERE length(text) > 100"
+_IDS = "['MORFOLOGIK_RULE', 'Style', 'multiple_spaces', 'COMMA', NULL]"
+SAFE_SQL = f"SELECT doc_id, len(list_filter(range(10), lambda i: regexp_matches(upper(coalesce({_IDS}[i % 5 + 1], '')), '{'|'.join(spell.SAFE)}')))::INTEGER AS safe FROM documents"
 PATCH_SQL = """
-WITH m AS (SELECT doc_id, text, list_transform(range(10), lambda i: {'o': i * 7 + doc_id % 5, 'l': i % 4 + 3 + i % 3 * 4, 'v': CASE WHEN i % 4 <> 1 THEN 'X' || i END, 't': '', 'a': 0}) AS ms FROM documents WHERE length(text) > 100),
+WITH m AS (SELECT doc_id, text, list_transform(range(10), lambda i: {'o': i * 7 + doc_id % 5, 'l': i % 4 + 3 + i % 3 * 4, 'v': CASE WHEN i % 4 <> 1 THEN 'X' || i END, 't': '', 'a': 0}) AS ms FROM documents),
 d AS (SELECT doc_id, text, list_reduce(ms, lambda acc, x: CASE WHEN x.o >= acc.o AND x.v IS NOT NULL
   THEN {'o': x.o + x.l, 'l': 0, 'v': '', 't': acc.t || substr(text, acc.o + 1, x.o - acc.o) || x.v, 'a': acc.a + 1} ELSE acc END, {'o': 0, 'l': 0, 'v': '', 't': '', 'a': 0}) AS s FROM m)
-SELECT doc_id, s.t || substr(text, s.o + 1) AS text, s.a::INTEGER AS applied FROM d
+SELECT doc_id, s.t || substr(text, s.o + 1) AS text, CASE WHEN text IS NULL THEN 0 ELSE s.a END::INTEGER AS applied FROM d
 """
 
 
 def word_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rare words of old texts and the nearest of the frequent ones."""
-    words = spell.dictionary_words(I.old_texts(spark, sf_dir))
-    dictionary = words.where("n >= 100").select(F.col("word").alias("term"), F.col("n").alias("freq"))
-    return spell.corrections(words.where("n >= 20"), dictionary)
-
-
-def all_word_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All words of old texts that the dictionary lacks, however rare, and the nearest of the frequent ones."""
     words = spell.dictionary_words(I.old_texts(spark, sf_dir))
     dictionary = words.where("n >= 100").select(F.col("word").alias("term"), F.col("n").alias("freq"))
@@ -120,13 +102,23 @@ def all_word_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: DuckDB counts edits in bytes: each letter becomes one byte.
 _LOWER, _ASCII = "абвгдеёжзийклмнопрстуфхцчшщъыьэюя", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456"
 
-CORRECTIONS_SQL = f"""
-WITH {I.TEXTS_SQL}, tokens AS (SELECT lower(unnest(regexp_extract_all(regexp_replace(text, '[\\p{{L}}\\p{{N}}_]*[^\\x00-\\x{{FFFF}}]', ' ', 'g'), '[\\p{{L}}\\p{{N}}_]+'))) AS word FROM texts),
-words AS (SELECT word, count(*) AS n FROM tokens WHERE regexp_full_match(word, '[а-яё]+') GROUP BY word),
-dict AS (SELECT word AS term, n AS freq FROM words WHERE n >= 100), unknown AS (SELECT word FROM words WHERE n >= 20 AND n < 100),
-near AS (SELECT word, term, freq, levenshtein(translate(word, '{_LOWER}', '{_ASCII}'), translate(term, '{_LOWER}', '{_ASCII}')) AS d FROM unknown JOIN dict ON left(word, 2) = left(term, 2) AND abs(length(word) - length(term)) <= 2 WHERE levenshtein(translate(word, '{_LOWER}', '{_ASCII}'), translate(term, '{_LOWER}', '{_ASCII}')) <= 2)
-SELECT word, term AS fixed FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY d, freq DESC, encode(term)) AS r FROM near) WHERE r = 1
-"""
+_BYTES = f"translate(%s, '{_LOWER}', '{_ASCII}')"
+_PIECES_CTE = f"""{I.TEXTS_SQL}, pieces AS (SELECT doc_id, unnest(range(len(p))) AS k, unnest(p) AS x FROM (SELECT doc_id, regexp_extract_all(text, '[\\p{{L}}\\p{{M}}\\p{{N}}_]+|[^\\p{{L}}\\p{{M}}\\p{{N}}_]+') AS p FROM texts)),
+words AS (SELECT lower(x) AS word, count(*) AS n FROM pieces WHERE regexp_full_match(x, '[А-Яа-яёЁ]+') GROUP BY 1)"""
+
+
+def _fixes_cte(frequent: int) -> str:
+    """The nearest of the words seen at least so often, for every other word."""
+    return f"""dict AS (SELECT word AS term, n AS freq FROM words WHERE n >= {frequent}),
+near AS (SELECT word, term, freq, levenshtein({_BYTES % 'word'}, {_BYTES % 'term'}) AS d FROM words JOIN dict ON abs(length(word) - length(term)) <= 2 WHERE n < {frequent}),
+fixes AS (SELECT word, term FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY d, freq DESC, encode(term)) AS r FROM near WHERE d <= 2) WHERE r = 1)"""
+
+
+CORRECTIONS_SQL = f"WITH {_PIECES_CTE}, {_fixes_cte(100)} SELECT word, term AS fixed FROM fixes"
+CORRECTED_SQL = f"""WITH {_PIECES_CTE}, {_fixes_cte(200)},
+fixed AS (SELECT doc_id, k, x, CASE WHEN regexp_matches(x, '^[А-ЯЁ]') THEN upper(left(term, 1)) || lower(substr(term, 2)) ELSE term END AS y FROM pieces LEFT JOIN fixes ON lower(x) = word AND regexp_full_match(x, '[А-Яа-яёЁ]+')),
+joined AS (SELECT doc_id, string_agg(coalesce(y, x), '' ORDER BY k) AS text, count(y)::INTEGER AS n FROM fixed GROUP BY doc_id)
+SELECT t.doc_id, coalesce(j.text, t.text) AS text, coalesce(n, 0) AS matches, coalesce(n, 0) AS applied FROM texts t LEFT JOIN joined j USING (doc_id)"""
 
 
 def corrected_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,25 +200,20 @@ WHERE (lower(t[idx + 1]) IN {_PRONOUNS} OR EXISTS (FROM lexicon WHERE word = low
 # ---------------------------------------------------------------- entities
 
 
-#: Names as the SQL has them, cut after six letters, and whole.
-_CUT_NAME, _WHOLE_NAME = "[A-Z][a-z]{2,5}", "[A-Z][a-z]{2,}"
+_NAME = "[A-Z][a-z]{2,}"
 
 
-def _mentions(spark: SparkSession, sf_dir: str, odd: int, name: str = _CUT_NAME) -> DataFrame:
-    """Capitalised words of every second document, by language; the two sides of a comparison."""
+def _mentions(spark: SparkSession, sf_dir: str, odd: int) -> DataFrame:
+    """Capitalised words of the documents with even or odd ids, by language: the two sides of a comparison."""
     docs = I.table(spark, sf_dir, "documents").where(F.col("doc_id") % 2 == odd)
-    found = docs.select("lang", "doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(name), 0)).alias("k", "text"))
+    found = docs.select("lang", "doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(_NAME), 0)).alias("k", "text"))
     kind = F.when(F.length("text") % 2 == 0, "PER").otherwise("LOC")
     return found.select("lang", F.lit(str(odd)).alias("side"), (F.col("doc_id") * 100000 + F.col("k")).alias("ord"), F.when(F.col("doc_id") % 3 == 0, F.upper("text")).otherwise(F.col("text")).alias("text"), F.lower("text").alias("normal"), kind.alias("type"))
 
 
 def mention_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entities.dedupe(_mentions(spark, sf_dir, 0), "lang").select("lang", "ord", "text", "normal", "type")
-
-
-def whole_mention_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First mentions of whole names in all documents, side by side."""
-    both = _mentions(spark, sf_dir, 0, _WHOLE_NAME).unionByName(_mentions(spark, sf_dir, 1, _WHOLE_NAME))
+    """First mentions in all documents, side by side."""
+    both = _mentions(spark, sf_dir, 0).unionByName(_mentions(spark, sf_dir, 1))
     return entities.dedupe(both, "lang").select("lang", "side", "ord", "text", "normal", "type")
 
 
@@ -238,14 +225,6 @@ def mention_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.replacement_pairs(_mentions(spark, sf_dir, 0), _mentions(spark, sf_dir, 1), "lang")
 
 
-def whole_mention_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entities.difference(_mentions(spark, sf_dir, 0, _WHOLE_NAME), _mentions(spark, sf_dir, 1, _WHOLE_NAME), "lang")
-
-
-def whole_mention_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entities.replacement_pairs(_mentions(spark, sf_dir, 0, _WHOLE_NAME), _mentions(spark, sf_dir, 1, _WHOLE_NAME), "lang")
-
-
 def sync_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four replacements in order on every document; the second undoes a part of the first."""
     pairs = F.array(*(F.struct(F.lit("PER").alias("type"), F.lit(a).alias("old"), F.lit(b).alias("new")) for a, b in (("the", "THE"), ("THEr", "ther"), ("", "x"), ("ion", "iOn"))))
@@ -259,15 +238,10 @@ def entity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.difference_report(langs, diff, "lang")
 
 
-def whole_entity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    langs = I.table(spark, sf_dir, "documents").select("lang")
-    return entities.difference_report(langs, whole_mention_diff(spark, sf_dir), "lang")
-
-
-_MENTIONS = "SELECT lang, doc_id * 100000 + k - 1 AS ord, CASE WHEN doc_id %% 3 = 0 THEN upper(w) ELSE w END AS text, lower(w) AS normal, CASE WHEN length(w) %% 2 = 0 THEN 'PER' ELSE 'LOC' END AS type FROM (SELECT lang, doc_id, unnest(range(1, len(l) + 1)) AS k, unnest(l) AS w FROM (SELECT lang, doc_id, regexp_extract_all(text, '[A-Z][a-z]{2,5}') AS l FROM documents WHERE doc_id %% 2 = %d))"
+_MENTIONS = "SELECT lang, doc_id * 100000 + k - 1 AS ord, CASE WHEN doc_id %% 3 = 0 THEN upper(w) ELSE w END AS text, lower(w) AS normal, CASE WHEN length(w) %% 2 = 0 THEN 'PER' ELSE 'LOC' END AS type FROM (SELECT lang, doc_id, unnest(range(1, len(l) + 1)) AS k, unnest(l) AS w FROM (SELECT lang, doc_id, regexp_extract_all(text, '[A-Z][a-z]{2,}') AS l FROM documents WHERE doc_id %% 2 = %d))"
 _MENTIONS_CTE = f"a AS ({_MENTIONS % 0}), b AS ({_MENTIONS % 1})"
 _KEYED_CTE = _MENTIONS_CTE + ", ka AS (SELECT lang, normal, type, arg_max(text, ord) AS text, min(ord) AS ord FROM a GROUP BY ALL), kb AS (SELECT lang, normal, type, arg_max(text, ord) AS text, min(ord) AS ord FROM b GROUP BY ALL)"
-DEDUPE_SQL = f"WITH {_MENTIONS_CTE} SELECT lang, min(ord) AS ord, arg_min(text, ord) AS text, normal, type FROM a GROUP BY lang, normal, type"
+DEDUPE_SQL = f"WITH {_MENTIONS_CTE}, sides AS (SELECT *, '0' AS side FROM a UNION ALL SELECT *, '1' FROM b) SELECT lang, side, min(ord) AS ord, arg_min(text, ord) AS text, normal, type FROM sides GROUP BY lang, side, normal, type"
 DIFF_SQL = f"WITH {_KEYED_CTE} SELECT lang, 'clean' AS missing_in, type, normal, text FROM ka ANTI JOIN kb USING (lang, normal, type) UNION ALL SELECT lang, 'source', type, normal, text FROM kb ANTI JOIN ka USING (lang, normal, type)"
 PAIRS_SQL = f"WITH {_KEYED_CTE} SELECT kb.lang, kb.ord, kb.type, kb.text AS old, ka.text AS new FROM kb JOIN ka USING (lang, normal, type) WHERE kb.text <> ka.text"
 SYNC_SQL = """
@@ -310,14 +284,18 @@ JSON_SQL = "SELECT doc_id, unnest(range(len(p)))::INTEGER AS block_id, 'paragrap
 
 QUERIES = {
     "page_median_role": page_roles, "reading_order_one": reading_order_one, "reading_order_two": reading_order_two, "weighted_font": weighted_font, "safe_matches": safe_matches,
-    "apply_matches": patched_texts, "safe_matches_whole": whole_safe_matches, "apply_matches_whole": whole_patched_texts, "dictionary_corrections": word_corrections, "dictionary_corrections_whole": all_word_corrections, "corrected_texts": corrected_texts, "spell_run": spell_run, "sentence_split": sentence_split, "bigrams": bigram_counts,
+    "apply_matches": patched_texts, "dictionary_corrections": word_corrections, "corrected_texts": corrected_texts, "spell_run": spell_run, "sentence_split": sentence_split, "bigrams": bigram_counts,
     "pronoun_warnings": pronoun_warnings, "split_words": split_words, "mention_dedupe": mention_dedupe, "mention_diff": mention_diff, "mention_pairs": mention_pairs,
-    "mention_dedupe_whole": whole_mention_dedupe, "mention_diff_whole": whole_mention_diff, "mention_pairs_whole": whole_mention_pairs, "entity_report_whole": whole_entity_report,
     "sync_apply": sync_apply, "entity_report": entity_report, "source_priority": source_priority, "json_shapes": json_shapes,
 }
 
+#: The names of forms that once were more than others of these queries.
+_WHOLE = ("safe_matches", "apply_matches", "dictionary_corrections", "mention_dedupe", "mention_diff", "mention_pairs", "entity_report")
+QUERIES |= {f"{name}_whole": QUERIES[name] for name in _WHOLE}
+
 ORACLES = {
     "page_median_role": ROLES_SQL, "reading_order_one": ONE_SQL, "reading_order_two": TWO_SQL, "weighted_font": FONT_SQL, "safe_matches": SAFE_SQL, "apply_matches": PATCH_SQL,
-    "dictionary_corrections": CORRECTIONS_SQL, "spell_run": SPELL_RUN_SQL, "sentence_split": SPLIT_SQL, "bigrams": BIGRAMS_SQL, "pronoun_warnings": PRONOUN_SQL, "mention_dedupe": DEDUPE_SQL,
+    "dictionary_corrections": CORRECTIONS_SQL, "corrected_texts": CORRECTED_SQL, "spell_run": SPELL_RUN_SQL, "sentence_split": SPLIT_SQL, "bigrams": BIGRAMS_SQL, "pronoun_warnings": PRONOUN_SQL, "mention_dedupe": DEDUPE_SQL,
     "mention_diff": DIFF_SQL, "mention_pairs": PAIRS_SQL, "sync_apply": SYNC_SQL, "entity_report": REPORT_SQL, "source_priority": PRIORITY_SQL, "json_shapes": JSON_SQL,
 }
+ORACLES |= {f"{name}_whole": ORACLES[name] for name in _WHOLE}

@@ -221,22 +221,6 @@ class _Again(R._DoubleSpaces):
 
 SPELL_COUNTS_SQL = "SELECT 'double_spaces' AS checker, n AS matches, n AS applied FROM (SELECT sum((length(t) - length(replace(t, 'а б', ''))) // 3)::BIGINT AS n FROM (SELECT translate(text, 'ab', 'аб') AS t FROM documents)) UNION ALL SELECT 'again', 0, 0"
 
-
-_BYTES = f"translate(%s, '{R._LOWER}', '{R._ASCII}')"
-CORRECTED_SQL = f"""WITH {I.TEXTS_SQL}, pieces AS (SELECT doc_id, unnest(range(len(p))) AS k, unnest(p) AS x FROM (SELECT doc_id, regexp_extract_all(text, '[\\p{{L}}\\p{{M}}\\p{{N}}_]+|[^\\p{{L}}\\p{{M}}\\p{{N}}_]+') AS p FROM texts)),
-words AS (SELECT lower(x) AS word, count(*) AS n FROM pieces WHERE regexp_full_match(x, '[А-Яа-яёЁ]+') GROUP BY 1),
-dict AS (SELECT word AS term, n AS freq FROM words WHERE n >= 200),
-near AS (SELECT word, term, freq, levenshtein({_BYTES % 'word'}, {_BYTES % 'term'}) AS d FROM words JOIN dict ON abs(length(word) - length(term)) <= 2 WHERE n < 200),
-fixes AS (SELECT word, term FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY d, freq DESC, encode(term)) AS r FROM near WHERE d <= 2) WHERE r = 1),
-fixed AS (SELECT doc_id, k, x, CASE WHEN regexp_matches(x, '^[А-ЯЁ]') THEN upper(left(term, 1)) || lower(substr(term, 2)) ELSE term END AS y FROM pieces LEFT JOIN fixes ON lower(x) = word AND regexp_full_match(x, '[А-Яа-яёЁ]+')),
-joined AS (SELECT doc_id, string_agg(coalesce(y, x), '' ORDER BY k) AS text, count(y)::INTEGER AS n FROM fixed GROUP BY doc_id)
-SELECT t.doc_id, coalesce(j.text, t.text) AS text, coalesce(n, 0) AS matches, coalesce(n, 0) AS applied FROM texts t LEFT JOIN joined j USING (doc_id)"""
-
-ALL_CORRECTIONS_SQL = CORRECTED_SQL.split("\nfixed AS")[0].rstrip(",").replace(">= 200", ">= 100").replace("n < 200", "n < 100") + " SELECT word, term AS fixed FROM fixes"
-_IDS = "['MORFOLOGIK_RULE', 'Style', 'multiple_spaces', 'COMMA', NULL]"
-SAFE_WHOLE_SQL = f"SELECT doc_id, len(list_filter(range(10), lambda i: regexp_matches(upper(coalesce({_IDS}[i % 5 + 1], '')), '{'|'.join(spell.SAFE)}')))::INTEGER AS safe FROM documents"
-PATCH_WHOLE_SQL = R.PATCH_SQL.replace(" WHERE length(text) > 100", "").replace("s.a::INTEGER AS applied", "CASE WHEN text IS NULL THEN 0 ELSE s.a END::INTEGER AS applied")
-
 # ---------------------------------------------------------------- sentences and warnings
 
 
@@ -319,9 +303,6 @@ def entity_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.difference_report(texts, entities.difference(entities.extract(texts, "source"), entities.extract(changed, "clean")))
 
 
-_whole = lambda sql: sql.replace(R._CUT_NAME, R._WHOLE_NAME)
-DEDUPE_WHOLE_SQL = _whole(f"WITH {R._MENTIONS_CTE}, sides AS (SELECT *, '0' AS side FROM a UNION ALL SELECT *, '1' FROM b) SELECT lang, side, min(ord) AS ord, arg_min(text, ord) AS text, normal, type FROM sides GROUP BY lang, side, normal, type")
-
 _CHANGED = "replace(replace(text, 'Th', 'TH'), 'In', 'Un')"
 _BOTH = f"ka AS (SELECT doc_id, lower(text) AS normal, arg_max(text, ord) AS text FROM ({_NAMES % 'text'}) GROUP BY ALL), kb AS (SELECT doc_id, lower(text) AS normal, arg_max(text, ord) AS text FROM ({_NAMES % _CHANGED}) GROUP BY ALL)"
 _LINE = "string_agg('- PER: ' || normal || ' (' || text || ')', chr(10) ORDER BY encode(normal))"
@@ -447,6 +428,5 @@ ORACLES = {
     "structured_pages": STRUCTURED_SQL, "page_texts": PAGE_TEXTS_SQL, "rounded_sizes": ROUNDED_SQL, "rewritten_html": _rewritten_sql(), "spaced_letters_joined": SPACED_SQL, "small_gaps_closed": SMALL_GAPS_SQL,
     "cleaned_texts": _cleaned_sql(), "flag_places": FLAG_PLACES_SQL, "flag_reports": FLAG_REPORTS_SQL, "marked_html": _marked_sql(), "spell_counts": SPELL_COUNTS_SQL, "sentence_places": PLACES_SQL, "rejoined_blocks": REJOINED_SQL,
     "split_word_norms": SPLIT_NORMS_SQL, "split_words": SPLIT_WORDS_SQL, "warning_reports": WARNINGS_SQL, "entity_mentions": MENTIONS_SQL, "entity_reports": ENTITY_REPORTS_SQL, "sync_reports": SYNC_REPORTS_SQL, "json_documents": JSON_DOCUMENTS_SQL,
-    "dictionary_corrections_whole": ALL_CORRECTIONS_SQL, "safe_matches_whole": SAFE_WHOLE_SQL, "apply_matches_whole": PATCH_WHOLE_SQL, "mention_dedupe_whole": DEDUPE_WHOLE_SQL, "mention_diff_whole": _whole(R.DIFF_SQL),
-    "mention_pairs_whole": _whole(R.PAIRS_SQL), "entity_report_whole": _whole(R.REPORT_SQL), "pre_pages": PRE_SQL, "paragraph_pages": PARAGRAPHS_SQL, "title_pages": TITLE_SQL, "chapter_pages": CHAPTER_PAGES_SQL, "package_files": _package_sql(), "corrected_texts": CORRECTED_SQL, "pipeline_core": _core_sql(),
+    "pre_pages": PRE_SQL, "paragraph_pages": PARAGRAPHS_SQL, "title_pages": TITLE_SQL, "chapter_pages": CHAPTER_PAGES_SQL, "package_files": _package_sql(), "pipeline_core": _core_sql(),
 }
