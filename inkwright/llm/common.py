@@ -157,7 +157,7 @@ class IdTable:
     It holds at most `most` entries; when that is exceeded it starts afresh.
     """
 
-    def __init__(self, most: int = 1_000_000, bits: int = 22):
+    def __init__(self, most: int = 1_000_000, bits: int = 21):
         self.most, self.bits = most, bits
         self.clear()
 
@@ -320,6 +320,30 @@ def batches_by_bytes(lengths: np.ndarray, most: int):
         yield start, len(lengths)
 
 
+def tidied(scan):
+    """A function over batches that gives a worker's unused memory back when its task ends: idle workers stay small."""
+
+    def run(batches):
+        try:
+            yield from scan(batches)
+        finally:
+            release()
+
+    return run
+
+
+def release() -> None:
+    """Give memory that Arrow and the C library hold without use back to the system; does nothing where that is not possible."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def utf8_rows(array) -> list[bytes]:
     """The UTF-8 bytes of an Arrow string array; null is empty."""
     import pyarrow as pa

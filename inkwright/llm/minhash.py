@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwright.llm.common import Scratch, batches_by_bytes, mix, utf8_rows, word_hashes
+from inkwright.llm.common import Scratch, batches_by_bytes, mix, tidied, utf8_rows, word_hashes
 from inkwright.llm.components import connected_components
 
 SHINGLE_WORDS = 5
@@ -95,7 +95,7 @@ def fingerprints(docs: DataFrame, seed: int) -> DataFrame:
                         sig[k] = values[row].tobytes()
                 yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(size), pa.array(digest[0]), pa.array(digest[1]), pa.array(sig, pa.binary())], ["doc_id", "n_shingles", "hi", "lo", "sig"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(scan, _DOCS)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(tidied(scan), _DOCS)
 
 
 def band_keys(sig: np.ndarray) -> np.ndarray:
@@ -168,7 +168,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                 values = np.concatenate(sets).astype(np.int64) if sets else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], ["doc_id", "shingles"])
 
-    return docs.select("doc_id", "text").mapInArrow(scan, "doc_id long, shingles array<long>")
+    return docs.select("doc_id", "text").mapInArrow(tidied(scan), "doc_id long, shingles array<long>")
 
 
 def _sets_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:

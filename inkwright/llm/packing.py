@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkwright.llm.common import IdTable, batches_by_bytes, code_points, cut, in_a_row, spans
+from inkwright.llm.common import IdTable, batches_by_bytes, code_points, cut, in_a_row, spans, tidied
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PACKED = _PIECES + ", sequence_id long, offset long"
@@ -170,7 +170,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return slim.mapInArrow(pieces, _PIECES)
+    return slim.mapInArrow(tidied(pieces), _PIECES)
 
 
 # ---------------------------------------------------------------- plan

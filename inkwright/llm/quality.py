@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwright.llm.common import Scratch, batches_by_bytes, mix, utf8_rows, word_hashes
+from inkwright.llm.common import Scratch, batches_by_bytes, mix, tidied, utf8_rows, word_hashes
 
 _U64 = np.uint64
 _SCORES = "doc_id long, log_weight double, key double"
@@ -94,7 +94,7 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 17, sharpness: f
         some = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(raw[some]), pa.array(target[some])], ["bucket", "raw", "target"])
 
-    rows = _slim(docs).mapInArrow(count, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
+    rows = _slim(docs).mapInArrow(tidied(count), "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
     raw, target = np.ones(buckets), np.ones(buckets)
     raw[rows["bucket"]] += rows["raw"] / unit
     target[rows["bucket"]] += rows["target"] / unit
@@ -112,7 +112,7 @@ def scores(docs: DataFrame, model: Resampler) -> DataFrame:
                 weight, key = model.weigh(ids[i:j], texts[i:j])
                 yield pa.RecordBatch.from_arrays([pa.array(ids[i:j]), pa.array(weight, from_pandas=True), pa.array(key, from_pandas=True)], ["doc_id", "log_weight", "key"])
 
-    return _slim(docs).mapInArrow(scan, _SCORES)
+    return _slim(docs).mapInArrow(tidied(scan), _SCORES)
 
 
 def best_cut(weights: np.ndarray, good: np.ndarray, favour: float = 20.0) -> float:
@@ -206,4 +206,4 @@ def keep_drawn(docs: DataFrame, labels: DataFrame, size: int | str | None = None
                 kept = ~np.isnan(key) & (np.trunc(np.nan_to_num(key) * float(1 << 20)).astype(np.int64) + (1 << 60) >= edge)
                 yield batch.slice(i, j - i).filter(pa.array(kept))
 
-    return docs.mapInArrow(scan, docs.schema)
+    return docs.mapInArrow(tidied(scan), docs.schema)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwright.llm.common import Scratch, batches_by_bytes, stem_hashes, utf8_rows
+from inkwright.llm.common import Scratch, batches_by_bytes, stem_hashes, tidied, utf8_rows
 from inkwright.llm.quality import labelled_sample
 
 #: Bytes of a word's beginning that are features besides the whole word: inflected forms share their stem.
@@ -140,7 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame, most_labels: int = 6000, least_docs:
     n1, n0 = known.get(1, 0), known.get(0, 0)
     if not n1 or not n0:
         return none
-    counts = chosen.mapInArrow(_document_counts, "stem long, toxic long, civil long").groupBy("stem").agg(F.sum("toxic").alias("a"), F.sum("civil").alias("b"))
+    counts = chosen.mapInArrow(tidied(_document_counts), "stem long, toxic long, civil long").groupBy("stem").agg(F.sum("toxic").alias("a"), F.sum("civil").alias("b"))
     a, b = F.col("a") + 0.5, F.col("b") + 0.5
     odds = F.log(a / (n1 + 1 - a)) - F.log(b / (n0 + 1 - b))
     ranked = counts.where(F.col("a") >= least_docs).select("stem", odds.alias("odds"), (odds / F.sqrt(1 / a + 1 / b)).alias("z"))
@@ -157,7 +157,7 @@ def fit(docs: DataFrame, labels: DataFrame, most_labels: int = 6000, least_docs:
                 hit = features[at] == stems
                 yield pa.RecordBatch.from_arrays([pa.array([y], pa.int32()), pa.array([words]), pa.array([at[hit].tolist()], pa.list_(pa.int32())), pa.array([times[hit].tolist()], pa.list_(pa.int32()))], ["y", "words", "at", "times"])
 
-    rows = chosen.mapInArrow(cells, "y int, words long, at array<int>, times array<int>").collect()
+    rows = chosen.mapInArrow(tidied(cells), "y int, words long, at array<int>, times array<int>").collect()
     scratch.keep()
     rows = sorted(rows, key=lambda r: (r["y"], r["words"], r["at"], r["times"]))  # the same model whatever the order of tasks
     toxic, words = np.asarray([r["y"] == 1 for r in rows]), np.asarray([r["words"] for r in rows])
@@ -186,7 +186,7 @@ def score(docs: DataFrame, model: OrdinalModel) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(severity), pa.array(probability), pa.array(np.rint(severity).astype(np.int32))], ["doc_id", "severity", "toxic_probability", "grade"])
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return slim.mapInArrow(scan, _SCORES)
+    return slim.mapInArrow(tidied(scan), _SCORES)
 
 
 def severity(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
@@ -215,4 +215,4 @@ def keep_civil(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
             for i, j in batches_by_bytes(np.fromiter(map(len, texts), np.int64, len(texts)), 1 << 20):
                 yield batch.slice(i, j - i).filter(pa.array(model.severity(texts[i:j])[1] < 0.5))
 
-    return docs.mapInArrow(scan, docs.schema)
+    return docs.mapInArrow(tidied(scan), docs.schema)
