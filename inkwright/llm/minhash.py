@@ -196,39 +196,120 @@ def _grouped(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.join(groups.select(F.col("node").alias("b"), "component"), "b", "left").withColumn("grp", F.coalesce("component", "b")).drop("component")
 
 
-def _open_tiles(crowd: DataFrame, groups: DataFrame, tile_rows: int, tile_shingles: int) -> DataFrame:
-    """band, x, y, b, part: members of buckets with more than one group, dealt to pairs of parts.
+def _open(rows: DataFrame) -> DataFrame:
+    """The buckets with more than one group: their rows and shingles, and as `most` the same of their largest group."""
+    own = rows.groupBy("band", "grp").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
+    most = F.max(F.struct("rows", "grp", "shingles")).alias("most")
+    return own.groupBy("band").agg(most, F.sum("rows").alias("rows"), F.sum("shingles").alias("shingles")).where(F.col("most.rows") < F.col("rows"))
+
+
+def _open_tiles(rows: DataFrame, bands: DataFrame, tile_rows: int, tile_shingles: int) -> DataFrame:
+    """band, x, y, b, n, grp, part: members of open buckets, dealt to pairs of parts; a bucket that fits one tile is one part.
 
     A pair of different groups has an end outside the bucket's largest group. So the others fall into parts 0, 1, ...,
     the largest group into the parts after these, and of all pairs of parts those of two of the latter are not made: a
     bucket that is one group but for a few members costs these few times its size. A part has about `tile_rows` rows and
     `tile_shingles` shingles.
     """
-    rows = _grouped(crowd, groups)
-    own = rows.groupBy("band", "grp").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
-    most = F.max(F.struct("rows", "grp", "shingles")).alias("most")
-    bands = own.groupBy("band").agg(most, F.sum("rows").alias("rows"), F.sum("shingles").alias("shingles")).where(F.col("most.rows") < F.col("rows"))
 
     def parts(n, shingles):
         return F.greatest(F.lit(1), F.ceil(n / tile_rows), F.ceil(shingles / tile_shingles)).cast("int")
 
-    sized = bands.select("band", F.col("most.grp").alias("main"), parts(F.col("rows") - F.col("most.rows"), F.col("shingles") - F.col("most.shingles")).alias("po"), parts(F.col("most.rows"), F.col("most.shingles")).alias("pm"))
-    dealt = rows.join(sized, "band").withColumn("far", F.col("grp") == F.col("main"))
-    place = F.when(F.col("far"), F.col("po") + F.pmod(F.xxhash64("b"), F.col("pm"))).otherwise(F.pmod(F.xxhash64("b"), F.col("po"))).cast("int")
+    more = (F.col("rows") > tile_rows) | (F.col("shingles") > tile_shingles)
+    po = F.when(more, parts(F.col("rows") - F.col("most.rows"), F.col("shingles") - F.col("most.shingles"))).otherwise(1)
+    pm = F.when(more, parts(F.col("most.rows"), F.col("most.shingles"))).otherwise(0)
+    sized = bands.select("band", F.when(more, F.col("most.grp")).alias("main"), po.alias("po"), pm.alias("pm"))
+    dealt = rows.join(sized, "band").withColumn("far", F.coalesce(F.col("grp") == F.col("main"), F.lit(False)))
+    place = F.when(F.col("far"), F.col("po") + F.pmod(F.xxhash64("b"), F.greatest("pm", F.lit(1)))).otherwise(F.pmod(F.xxhash64("b"), F.col("po"))).cast("int")
     others = F.when(F.col("far"), F.col("po")).otherwise(F.col("po") + F.col("pm"))
     dealt = dealt.withColumn("part", place).withColumn("other", F.explode(F.sequence(F.lit(0), others - 1)))
-    return dealt.select("band", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "b", "n", "part")
+    return dealt.select("band", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "b", "n", "grp", "part")
+
+
+#: Slots of shingles in the table of counts that orders them, before those of size classes; how much sizes of one class differ.
+_SLOT_BITS, _CLASSES, _SIZE_STEP = 20, 1 << 10, 1.05
+_SLOTS = 1 << _SLOT_BITS
+
+
+def _slots(shingles: np.ndarray) -> np.ndarray:
+    return (mix(shingles.view(_U64)) >> _U64(64 - _SLOT_BITS)).astype(np.int64)
+
+
+def _size_class(n: int) -> int:
+    return int(math.log(n) / math.log(_SIZE_STEP))
+
+
+@lru_cache(1 << 16)
+def prefixes(n: int, per_cent: int) -> tuple[tuple[int, int], ...]:
+    """(size class of the other set, how many of its first shingles a set of n needs) for all sets it may be linked with.
+
+    Sets of n and m shingles with 100 * intersection >= per_cent * union share at least o = per_cent * (n + m) / (100 +
+    per_cent), so in any one order of all shingles the first n - o + 1 of one and the first m - o + 1 of the other have one in common.
+    """
+    out = []
+    for other in range(_size_class(max(1, -(-n * per_cent // 100))), _size_class(n * 100 // per_cent) + 1):
+        least = max(1, math.floor(_SIZE_STEP**other) - 1)
+        out.append((other, max(0, min(n, n + 1 + -per_cent * (n + least) // (100 + per_cent)))))
+    return tuple(out)
+
+
+def _by_prefixes(crowded: DataFrame, docs: DataFrame, per_cent: int, scratch: Scratch) -> DataFrame:
+    """band, b, n, grp: buckets by shared shingles in which every two linked documents of crowded buckets meet.
+
+    Rare shingles come first, so the texts that only a common passage brings into one bucket part here, and no link is lost. The order
+    is by counts in a table of 2^20 slots, whatever the size of the input: slots that shingles share only make it less
+    sharp. Shingles of one document alone bring it to no bucket.
+    """
+    own = scratch.put(crowded.select("b", "n", "grp").distinct())
+    sets = scratch.put(_sets_of(own.select(F.col("b").alias("doc_id")), docs).withColumnRenamed("doc_id", "b").join(own, "b"))
+
+    def count(batches):
+        table = np.zeros(_SLOTS + _CLASSES, np.int64)
+        for batch in batches:
+            table += np.bincount(_slots(batch.column("shingles").flatten().to_numpy()), minlength=len(table))
+            for n in batch.column("n").unique().to_pylist():
+                table[_SLOTS + _size_class(n)] = 2
+        at = np.flatnonzero(table)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(table[at])], ["slot", "rows"])
+
+    often = sets.select("n", "shingles").mapInArrow(count, "slot long, rows long").groupBy("slot").agg(F.sum("rows").alias("rows")).where("rows > 1").toArrow()
+    counts = np.ones(_SLOTS + _CLASSES, np.int64)
+    counts[often.column("slot").to_numpy()] = often.column("rows").to_numpy()
+    counts = sets.sparkSession.sparkContext.broadcast(counts)
+
+    def deal(batches):
+        for batch in batches:
+            column = batch.column("shingles")
+            shingles, ends = column.flatten().to_numpy(), np.cumsum(column.value_lengths().to_numpy().astype(np.int64))
+            rows, bands = [], []
+            for row, (n, own) in enumerate(zip(batch.column("n").to_pylist(), np.split(shingles, ends[:-1]))):
+                rows_with = counts.value[_slots(own)]
+                order = np.lexsort((own, rows_with))
+                own, alone = own[order], np.count_nonzero(rows_with == 1)
+                mine = _size_class(n)
+                for other, first in prefixes(n, per_cent):
+                    if first > alone and counts.value[_SLOTS + other] > 1:
+                        pair = _U64(min(mine, other) << 16 | max(mine, other))
+                        bands.append(mix(own[alone:first].view(_U64) ^ mix(np.full(1, pair, _U64))).view(np.int64))
+                        rows.append(np.full(first - alone, row))
+            if rows:
+                at = pa.array(np.concatenate(rows))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(bands)), *(batch.column(c).take(at) for c in ("b", "n", "grp"))], ["band", "b", "n", "grp"])
+
+    found = scratch.put(sets.select("b", "n", "grp", "shingles").mapInArrow(deal, "band long, b long, n long, grp long"))
+    scratch.drop(own, sets)
+    return found
 
 
 _TILE = ("band", "x", "y")
 
 
-def _tile_rows(tiles: DataFrame, groups: DataFrame, sigs: DataFrame) -> DataFrame:
-    return _grouped(tiles, groups).join(sigs.select(F.col("doc_id").alias("b"), "sig"), "b").select(*_TILE, "b", "n", "grp", "sig", "part")
+def _tile_rows(tiles: DataFrame, sigs: DataFrame) -> DataFrame:
+    return tiles.join(sigs.select(F.col("doc_id").alias("b"), "sig"), "b").select(*_TILE, "b", "n", "grp", "sig", "part")
 
 
 def _tile_pairs(key, table, per_cent: int, miss: float):
-    """Index pairs of different groups that survive pruning, and their matches; a pair that shares several bands counts in the first.
+    """Index pairs of different groups that survive pruning, and their matches; a pair that shares several bands counts in the first, one of a bucket by shingles in each.
 
     The first batch of signature values is compared block by block of rows, later ones pair by pair.
     """
@@ -236,7 +317,7 @@ def _tile_pairs(key, table, per_cent: int, miss: float):
     grp, part, n = (table.column(c).to_numpy() for c in ("grp", "part", "n"))
     sig = _matrix(table.column("sig"))
     keys = band_keys(sig)
-    here = int(np.flatnonzero(keys[0].view(np.int64) == band)[0])
+    here = int(np.argmax(keys[0].view(np.int64) == band))  # 0, no earlier band, for a bucket by shingles
     left = np.flatnonzero(part == x)
     right = left if x == y else np.flatnonzero(part == y)
     (step, least), out = least_matches(per_cent / 100, miss)[0], [(np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int16))]
@@ -367,7 +448,8 @@ def near_duplicates(docs: DataFrame, per_cent: int = 85, miss: float = 1e-6, see
     class with the smallest doc_id stands for it. Signatures of 125 values fall into 25 bands of
     5 rows. In each bucket every class is first compared with the bucket's smallest one, which links groups of copies
     in linear work. Only classes of one bucket that are still in different groups are then
-    compared with each other, in tiles of bounded rows and shingles: each tile proposes a spanning forest of its surviving pairs, and tiles
+    compared with each other, in tiles of bounded rows and shingles. The members of a bucket of more than tile_rows / 4 are dealt
+    anew, by the shared shingles among the first of each in one order, rare ones first, which any two linked documents have. Each tile proposes a spanning forest of its surviving pairs, and tiles
     whose groups that does not unite confirm their other pairs themselves. So no list of a group's
     pairs is ever made. Every comparison prunes by posterior similarity after each 25 values (chosen miss
     probability `miss` a step) and confirms survivors on full sets: 100 * intersection >= per_cent * union.
@@ -404,19 +486,27 @@ def near_duplicates(docs: DataFrame, per_cent: int = 85, miss: float = 1e-6, see
     groups = connected_components(first, scratch=scratch)
 
     # buckets whose members are not all in one group yet: every two of different groups meet in one tile
-    crowd = members.where((F.col("members") > 2) & (F.col("a") != F.col("b"))).select("band", "b", "n")
-    tiles = scratch.put(_open_tiles(crowd, groups, tile_rows, tile_shingles))
+    crowd = scratch.put(_grouped(members.where((F.col("members") > 2) & (F.col("a") != F.col("b"))).select("band", "b", "n"), groups))
     scratch.drop(members)
-    found = scratch.put(_tile_rows(tiles, groups, sigs).groupBy(*_TILE).applyInArrow(_forests(per_cent, miss), "band long, x int, y int, a long, b long, dropped boolean"))
+    open_bands = scratch.put(_open(crowd))
+    crowded = (F.col("rows") > max(1, tile_rows // 4)) | (F.col("shingles") > tile_shingles)
+    tiles = _open_tiles(crowd, open_bands.where(~crowded), tile_rows, tile_shingles)
+    many = open_bands.where(crowded)
+    if not many.isEmpty():  # more rows than a pair of parts may cost: buckets by rare shingles take their place
+        finer = _by_prefixes(crowd.join(many, "band", "left_semi"), docs, per_cent, scratch)
+        tiles = tiles.union(_open_tiles(finer, _open(finer), tile_rows, tile_shingles))
+    tiles = scratch.put(tiles)
+    scratch.drop(crowd)
+    found = scratch.put(_tile_rows(tiles, sigs).groupBy(*_TILE).applyInArrow(_forests(per_cent, miss), "band long, x int, y int, a long, b long, dropped boolean"))
     second = scratch.put(_verified(found.select("a", "b").distinct(), docs, per_cent))
     groups = _joined(groups, second, scratch)
 
     # tiles that held back pairs and still are not in one group: their pairs are confirmed in the tile
     late = tiles.join(found.where("dropped").select(*_TILE).distinct(), [*_TILE], "left_semi")
-    late = _tile_rows(late, groups, sigs)
+    late = scratch.put(_grouped(late.drop("grp"), groups))
     still = late.groupBy(*_TILE).agg(F.min("grp").alias("g0"), F.max("grp").alias("g1")).where("g0 <> g1").select(*_TILE)
-    late = late.join(still, [*_TILE], "left_semi").groupBy(*_TILE).applyInArrow(_undecided(per_cent, miss), late.schema)
-    late = scratch.put(late)
+    late = _tile_rows(late.join(still, [*_TILE], "left_semi"), sigs)
+    late = scratch.put(late.groupBy(*_TILE).applyInArrow(_undecided(per_cent, miss), late.schema))
     third = late.join(_sets_of(late.select(F.col("b").alias("doc_id")).distinct(), docs).withColumnRenamed("doc_id", "b"), "b")
     third = scratch.put(third.groupBy(*_TILE).applyInArrow(_confirmed(per_cent, miss), "u long, v long"))
     groups = _joined(groups, third, scratch)

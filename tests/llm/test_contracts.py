@@ -756,6 +756,50 @@ def test_near_duplicates(spark, make_docs):
     assert minhash.near_duplicates(make_docs([])).count() == 0
 
 
+def crowd_table(size):
+    """Variants of one text, a third near it and the others far from all but one, with which some are linked."""
+    rng = np.random.default_rng(size)
+    base = [f"w{k}" for k in range(150)]
+    for k in range(size):
+        own = list(base)
+        for at in rng.choice(150, rng.integers(5, 9) if k % 3 else 1, replace=False):
+            own[at] = f"v{k}_{at}"
+        yield 2 * k, " ".join(own)
+        for at in rng.choice(150, rng.integers(0, 3) if k % 3 else 0, replace=False):
+            own[at] = f"u{k}_{at}"
+        yield 2 * k + 1, " ".join(own)
+
+
+def test_crowded_buckets_cost_no_square(spark, make_docs, monkeypatch):
+    put, dealt = minhash.Scratch.put, []
+
+    def counted(self, df):
+        out = put(self, df)
+        if out.columns[:3] == ["band", "x", "y"] and "part" in out.columns and "sig" not in out.columns:
+            dealt.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash.Scratch, "put", counted)
+    made = []
+    for size in (40, 160):
+        table = list(crowd_table(size))
+        dealt.clear()
+        found = minhash.near_duplicates(make_docs(table), tile_rows=16).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute_force(table, 85)
+        made.append(dealt[0])
+    assert made[1] <= 6 * made[0], made  # four times the documents
+
+
+def test_prefixes_keep_every_link():
+    rng = np.random.default_rng(3)
+    for per_cent in (80, 85, 100):
+        for n, m in rng.integers(1, 400, (4000, 2)).tolist():
+            both = -(-per_cent * (n + m) // (100 + per_cent))
+            if both <= min(n, m):  # the least that links them: what is left out of each is less than that
+                firsts = [dict(minhash.prefixes(x, per_cent))[minhash._size_class(y)] for x, y in ((n, m), (m, n))]
+                assert n - firsts[0] < both and m - firsts[1] < both
+
+
 def test_bayes_thresholds():
     for n, least in minhash.least_matches(0.85, 1e-6):
         tail = lambda m: sum(math.comb(n + 1, i) * 0.85**i * 0.15 ** (n + 1 - i) for i in range(m + 1))  # noqa: B023, E731
