@@ -197,7 +197,7 @@ def page_lines(html: str) -> list[tuple[str, int]]:
 # ---------------------------------------------------------------- differencing
 
 
-#: Cells of the table of two sequences up to which repeated lines are aligned at once; longer ones go block by block.
+#: Cells of the table of two sequences that are held at once; of larger tables some rows are held and those between made again.
 _MOST_CELLS = 1 << 28
 
 
@@ -205,7 +205,8 @@ def common_subsequence(a: list, b: list) -> list[int]:
     """Indices in `a` of a longest common subsequence of `a` and `b`.
 
     Equal ends are set aside. Sequences with few matches are aligned by increasing runs, others by bits, one row of
-    the table an integer. Beyond _MOST_CELLS cells both are cut into as many blocks, which are aligned each.
+    the table an integer. Both find the same one of all longest: from the end, each match is at the least place in `b`, then the
+    least in `a`, that the length up to it allows. So the choice, and the cells held at once, change time and memory only.
     """
     head = 0
     while head < min(len(a), len(b)) and a[head] == b[head]:
@@ -223,11 +224,7 @@ def common_subsequence(a: list, b: list) -> list[int]:
     if sum(len(places[a[i]]) for i in rows) <= 16 * (len(rows) + len(columns)):
         middle = _by_runs(a, rows, places)
     else:
-        blocks = -(-len(rows) * len(columns) // _MOST_CELLS) or 1
-        middle = []
-        for k in range(blocks):
-            some = rows[len(rows) * k // blocks : len(rows) * (k + 1) // blocks]
-            middle += _by_bits(a, some, b, columns[len(columns) * k // blocks : len(columns) * (k + 1) // blocks])
+        middle = _by_bits(a, rows, b, columns)
     return [*range(head), *middle, *range(len(a) - tail, len(a))]
 
 
@@ -237,6 +234,8 @@ def _by_runs(a: list, rows: list[int], places: dict) -> list[int]:
     for i in rows:
         for j in reversed(places[a[i]]):
             k = bisect_left(ends, j)
+            if k < len(ends) and ends[k] == j:
+                continue
             link = (i, links[k - 1] if k else None)
             if k == len(ends):
                 ends.append(j)
@@ -256,21 +255,41 @@ def _by_bits(a: list, rows: list[int], b: list, columns: list[int]) -> list[int]
     own: dict = {}
     for k, j in enumerate(columns):
         own[b[j]] = own.get(b[j], 0) | 1 << k
-    full = (1 << len(columns)) - 1
-    state, table = full, []
-    for i in rows:
-        match = state & own.get(a[i], 0)
-        state = (state + match | state - match) & full
-        table.append(state)
-    found, r, c = [], len(rows), len(columns)
-    while r and c:
-        if table[r - 1] >> c - 1 & 1:
-            c -= 1
-            continue
-        r -= 1
-        if not r or table[r - 1] >> c - 1 & 1:  # grows here first: a match
-            found.append(rows[r])
-            c -= 1
+    found: list[int] = []
+
+    def states(first: int, after: int, state: int, c: int, every: int) -> list[int]:
+        """The state before row `first`, up to column c, and that after each `every` rows."""
+        full = (1 << c) - 1
+        state &= full
+        table = [state]
+        for r in range(first, after):
+            match = state & own[a[rows[r]]]
+            state = (state + match | state - match) & full
+            if (r + 1 - first) % every == 0:
+                table.append(state)
+        return table
+
+    def back(first: int, after: int, state: int, c: int) -> int:
+        """Add the matches in some rows up to column c, from the last; the column they leave."""
+        n = after - first
+        if n > 16 and n * c > _MOST_CELLS:
+            every = -(-n // 16)
+            table = states(first, after, state, c, every)
+            for k in range((n - 1) // every, -1, -1):
+                c = back(first + k * every, min(after, first + (k + 1) * every), table[k], c)
+            return c
+        table, r = states(first, after, state, c, 1), n
+        while r and c:
+            if table[r] >> c - 1 & 1:
+                c -= 1
+                continue
+            r -= 1
+            if table[r] >> c - 1 & 1:  # grows here first: a match
+                found.append(rows[first + r])
+                c -= 1
+        return c
+
+    back(0, len(rows), (1 << len(columns)) - 1, len(columns))
     return found[::-1]
 
 

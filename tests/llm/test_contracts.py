@@ -159,6 +159,22 @@ def test_common_subsequence(a, b):
     assert all(any(a[k] == x for x in rest) for k in at)
 
 
+def test_common_subsequence_is_the_same_at_any_size(monkeypatch):
+    rng = np.random.default_rng(5)
+    for case in range(60):
+        kinds = 2 + case % 4
+        a, b = (rng.integers(0, kinds, rng.integers(60, 200)).tolist() for _ in range(2))
+        places = {x: [j for j, y in enumerate(b) if y == x] for x in a}
+        by_bits = html._by_bits(a, [i for i in range(len(a)) if places[a[i]]], b, [j for j in range(len(b)) if b[j] in places])
+        assert by_bits == html._by_runs(a, [i for i in range(len(a)) if places[a[i]]], places)
+        whole = html.common_subsequence(a, b)
+        assert len(whole) == len(by_bits) == lcs(a, b)
+        for most in (1, 500, 5000):
+            monkeypatch.setattr(html, "_MOST_CELLS", most)
+            assert html.common_subsequence(a, b) == whole
+        monkeypatch.undo()
+
+
 ARTICLE = """<html><head><title>T</title><style>p{}</style></head><body><nav><ul><li>Home</li></ul></nav><header>Site</header><div class="cookie-notice">We use</div>
 <main><article><header><h1>Title &amp; more</h1><span>by me</span></header><p>One<br>two &nbsp; three<p>Four <b>five</b></p><div class="ad">Buy</div><ul><li>Item</li></ul><form>Mail <input></form></article></main>
 <section id="comments"><article><p>First!</p></article></section><aside>More</aside><footer>&copy;</footer><script>var x = "<p>no</p>";</script></body></html>"""
