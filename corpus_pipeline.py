@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwright.llm import minhash, packing, quality, toxicity
-from inkwright.llm.common import remove, shared_dir, table
+from inkwright.llm.common import perhaps_among, remove, shared_dir, table
 
 #: Near-duplicates here are documents whose sets of five-word shingles are at least this similar, in per cent.
 NEAR_PER_CENT = 80
@@ -31,7 +31,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group of near-duplicates; rows without a doc_id stay."""
     groups = minhash.near_duplicates(docs, per_cent=NEAR_PER_CENT)
-    kept = docs.join(groups.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti")
+    gone = groups.where(~F.col("kept")).select("doc_id").distinct()
+    kept = perhaps_among(docs, gone, "doc_id", among=False).union(perhaps_among(docs, gone, "doc_id").join(gone, "doc_id", "left_anti").select(*docs.columns))
     again = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").limit(1).count()
     if again:  # rows that repeat a doc_id are copies too
         kept = kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).union(kept.where(F.col("doc_id").isNull()))

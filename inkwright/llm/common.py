@@ -75,6 +75,33 @@ class Scratch:
         self.drop(*[df for df, _ in self.held if not any(df is one for one in tables)])
 
 
+#: Bits of the table that tells which rows may have a wanted id: 2^19 words of 64, 12 MB, however many ids are wanted.
+_ID_BITS = 25
+
+
+def _id_bits(id_: str) -> tuple:
+    at = F.shiftrightunsigned(F.xxhash64(F.col(id_).cast("long")), 64 - _ID_BITS)
+    return F.shiftright(at, 6).alias("_word"), at.bitwiseAND(63).cast("int").alias("_bit")
+
+
+def _id_words(wanted: DataFrame, id_: str) -> DataFrame:
+    word, bit = _id_bits(id_)
+    return F.broadcast(wanted.select(word, bit).groupBy("_word").agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_mask")))
+
+
+def perhaps_among(rows: DataFrame, wanted: DataFrame, id_: str, among: bool = True) -> DataFrame:
+    """The rows whose id may be one of those wanted, or, with `among` false, those whose id is none of them for sure.
+
+    Of rows with wanted ids none is missing among the first. An exact join after this shuffles few other rows, and
+    the table that is broadcast has a fixed bound; when more ids are wanted, more other rows pass.
+    """
+    word, bit = _id_bits(id_)
+    here = rows.withColumns({"_word": word, "_bit": bit})
+    words = _id_words(wanted, id_).withColumnRenamed("_word", "_key")
+    hit = (F.col("_word") == F.col("_key")) & F.expr("getbit(_mask, _bit) = 1")
+    return here.join(words, hit, "left_semi" if among else "left_anti").select(*rows.columns)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

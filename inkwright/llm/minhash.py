@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwright.llm.common import Scratch, batches_by_bytes, mix, tidied, utf8_rows, word_hashes
+from inkwright.llm.common import Scratch, batches_by_bytes, mix, perhaps_among, tidied, utf8_rows, word_hashes
 from inkwright.llm.components import connected_components
 
 SHINGLE_WORDS = 5
@@ -172,8 +172,8 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 
 
 def _sets_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
-    """The shingle sets of the documents wanted; no other text is shuffled further than to learn that."""
-    return shingle_sets(docs.join(wanted, "doc_id", "left_semi"))
+    """The shingle sets of the documents wanted; hardly another text is shuffled to learn that."""
+    return shingle_sets(perhaps_among(docs, wanted, "doc_id").join(wanted, "doc_id", "left_semi"))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, per_cent: int) -> DataFrame:

@@ -806,6 +806,23 @@ def test_crowded_buckets_cost_no_square(spark, make_docs, monkeypatch):
     assert made[1] <= 6 * made[0], made  # four times the documents
 
 
+def test_texts_that_are_not_wanted_are_not_shuffled(spark, make_docs):
+    docs = make_docs([(k, f"a b c d e f {k}") for k in range(3000)] + [(None, "a b"), (7, "a b c d e f 7")])
+    wanted = docs.where("doc_id % 100 = 7").select("doc_id").distinct()
+    near, far = (minhash.perhaps_among(docs, wanted, "doc_id", among) for among in (True, False))
+    assert near.count() + far.count() == docs.count() and far.where("doc_id % 100 = 7").count() == 0 and near.count() <= 40
+    assert near.where("doc_id % 100 = 7").count() == 31 and near.columns == far.columns == docs.columns
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with many wanted ids
+        sets = minhash._sets_of(wanted, docs.select("doc_id", "text"))
+        plan = sets._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and plan.index("SortMergeJoin") < plan.index("BroadcastHashJoin")
+        assert sorted(r["doc_id"] for r in sets.collect()) == sorted([7, *range(7, 3000, 100)])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+
+
 def test_prefixes_keep_every_link():
     rng = np.random.default_rng(3)
     for per_cent in (80, 85, 100):
