@@ -7,7 +7,8 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkwright.llm.common import Scratch, batches_by_bytes, mix, perhaps_among, tidied, utf8_rows, word_hashes
@@ -191,6 +192,16 @@ def _verified(pairs: DataFrame, docs: DataFrame, per_cent: int) -> DataFrame:
 # ---------------------------------------------------------------- crowded buckets
 
 
+def _with_heads(shared: DataFrame) -> DataFrame:
+    """Rows of shared buckets with `a`, the head of their bucket: its member that meets the most others in all its buckets, the smallest of equal ones.
+
+    Of variants of one text those with the fewest changes meet the most others, and are like the most others.
+    """
+    met = shared.withColumn("met", F.sum("members").over(Window.partitionBy("b")))
+    heads = met.groupBy("band").agg(F.min(F.struct((-F.col("met")).alias("met"), "b")).alias("head"))
+    return shared.join(heads.select("band", F.col("head.b").alias("a")), "band")
+
+
 def _grouped(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """Rows with `grp`, the group of document b so far."""
     return rows.join(groups.select(F.col("node").alias("b"), "component"), "b", "left").withColumn("grp", F.coalesce("component", "b")).drop("component")
@@ -248,32 +259,43 @@ def prefixes(n: int, per_cent: int) -> tuple[tuple[int, int], ...]:
     """
     out = []
     for other in range(_size_class(max(1, -(-n * per_cent // 100))), _size_class(n * 100 // per_cent) + 1):
-        least = max(1, math.floor(_SIZE_STEP**other) - 1)
-        out.append((other, max(0, min(n, n + 1 + -per_cent * (n + least) // (100 + per_cent)))))
+        out.append((other, _first(n, max(1, math.floor(_SIZE_STEP**other) - 1), per_cent)))
     return tuple(out)
 
 
+def _first(n: int, least: int, per_cent: int) -> int:
+    """How many of its first shingles a set of n needs for all sets of at least `least`."""
+    return max(0, min(n, n + 1 + -per_cent * (n + least) // (100 + per_cent)))
+
+
 def _by_prefixes(crowded: DataFrame, docs: DataFrame, per_cent: int, scratch: Scratch) -> DataFrame:
     """band, b, n, grp: buckets by shared shingles in which every two linked documents of crowded buckets meet.
 
     Rare shingles come first, so the texts that only a common passage brings into one bucket part here, and no link is lost. The order
     is by counts in a table of 2^20 slots, whatever the size of the input: slots that shingles share only make it less
-    sharp. Shingles of one document alone bring it to no bucket.
+    sharp. Shingles of one group alone come before all others and bring no document to a bucket: no two groups share them.
     """
     own = scratch.put(crowded.select("b", "n", "grp").distinct())
     sets = scratch.put(_sets_of(own.select(F.col("b").alias("doc_id")), docs).withColumnRenamed("doc_id", "b").join(own, "b"))
 
     def count(batches):
         table = np.zeros(_SLOTS + _CLASSES, np.int64)
+        least, most = np.full(len(table), np.iinfo(np.int64).max), np.full(len(table), np.iinfo(np.int64).min)
         for batch in batches:
-            table += np.bincount(_slots(batch.column("shingles").flatten().to_numpy()), minlength=len(table))
-            for n in batch.column("n").unique().to_pylist():
-                table[_SLOTS + _size_class(n)] = 2
+            column = batch.column("shingles")
+            slots, grp = _slots(column.flatten().to_numpy()), np.repeat(batch.column("grp").to_numpy(), column.value_lengths().to_numpy())
+            table += np.bincount(slots, minlength=len(table))
+            np.minimum.at(least, slots, grp)
+            np.maximum.at(most, slots, grp)
+            for n in batch.column("n").unique().to_pylist():  # of a class its least size, as g0
+                k = _SLOTS + _size_class(n)
+                table[k], least[k], most[k] = 1, min(n, least[k]), np.iinfo(np.int64).max
         at = np.flatnonzero(table)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(table[at])], ["slot", "rows"])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (at, table[at], least[at], most[at])], ["slot", "rows", "g0", "g1"])
 
-    often = sets.select("n", "shingles").mapInArrow(count, "slot long, rows long").groupBy("slot").agg(F.sum("rows").alias("rows")).where("rows > 1").toArrow()
-    counts = np.ones(_SLOTS + _CLASSES, np.int64)
+    slots = sets.select("n", "grp", "shingles").mapInArrow(count, "slot long, rows long, g0 long, g1 long").groupBy("slot")
+    often = slots.agg(F.sum("rows").alias("rows"), F.min("g0").alias("g0"), F.max("g1").alias("g1")).where("g0 <> g1").select("slot", F.when(F.col("slot") < _SLOTS, F.col("rows")).otherwise(F.col("g0")).alias("rows")).toArrow()
+    counts = np.repeat([1, 0], [_SLOTS, _CLASSES])  # of slots, and the least size of each class, 0 for none
     counts[often.column("slot").to_numpy()] = often.column("rows").to_numpy()
     counts = sets.sparkSession.sparkContext.broadcast(counts)
 
@@ -288,7 +310,9 @@ def _by_prefixes(crowded: DataFrame, docs: DataFrame, per_cent: int, scratch: Sc
                 own, alone = own[order], np.count_nonzero(rows_with == 1)
                 mine = _size_class(n)
                 for other, first in prefixes(n, per_cent):
-                    if first > alone and counts.value[_SLOTS + other] > 1:
+                    least = int(counts.value[_SLOTS + other])
+                    first = min(first, _first(n, least, per_cent)) if least else 0
+                    if first > alone:
                         pair = _U64(min(mine, other) << 16 | max(mine, other))
                         bands.append(mix(own[alone:first].view(_U64) ^ mix(np.full(1, pair, _U64))).view(np.int64))
                         rows.append(np.full(first - alone, row))
@@ -379,7 +403,9 @@ def _forests(per_cent: int, miss: float):
 
 def _undecided(per_cent: int, miss: float):
     def compare(key, table):
-        """The documents of a tile that have a surviving pair of different groups."""
+        """The documents of a tile that have a surviving pair of different groups; none if the tile is one group."""
+        if pc.count_distinct(table.column("grp")).as_py() < 2:
+            return table.slice(0, 0)
         i, j, _ = _tile_pairs(key, table, per_cent, miss)
         return table.take(pa.array(np.unique(np.concatenate((i, j))).astype(np.int64)))
 
@@ -446,7 +472,7 @@ def near_duplicates(docs: DataFrame, per_cent: int = 85, miss: float = 1e-6, see
     Texts are lower-cased (A-Z), cut into words at ASCII white space and into distinct five-word
     shingles; one to four words make one shingle. Documents with the same set are one class; the
     class with the smallest doc_id stands for it. Signatures of 125 values fall into 25 bands of
-    5 rows. In each bucket every class is first compared with the bucket's smallest one, which links groups of copies
+    5 rows. In each bucket every class is first compared with the bucket's most central one, which links groups of copies
     in linear work. Only classes of one bucket that are still in different groups are then
     compared with each other, in tiles of bounded rows and shingles. The members of a bucket of more than tile_rows / 4 are dealt
     anew, by the shared shingles among the first of each in one order, rare ones first, which any two linked documents have. Each tile proposes a spanning forest of its surviving pairs, and tiles
@@ -477,9 +503,10 @@ def near_duplicates(docs: DataFrame, per_cent: int = 85, miss: float = 1e-6, see
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(c).to_numpy(), BANDS)) for c in ("doc_id", "n")] + [pa.array(keys.ravel().view(np.int64))], ["b", "n", "band"])
 
     banded = sigs.mapInArrow(bands, "b long, n long, band long")
-    heads = banded.groupBy("band").agg(F.min("b").alias("a"), F.count("*").alias("members")).where(F.col("members") > 1)
-    members = scratch.put(banded.join(heads, "band"))
-    stars = members.where(F.col("a") != F.col("b")).select("a", "b").distinct()
+    shared = scratch.put(banded.join(banded.groupBy("band").agg(F.count("*").alias("members")).where(F.col("members") > 1), "band"))
+    members = scratch.put(_with_heads(shared))
+    scratch.drop(shared)
+    stars = members.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pruned = scratch.put(_pruned_pairs(stars, sigs, per_cent / 100, miss))
     first = scratch.put(_verified(pruned, docs, per_cent))
     scratch.drop(pruned)
@@ -497,15 +524,14 @@ def near_duplicates(docs: DataFrame, per_cent: int = 85, miss: float = 1e-6, see
         tiles = tiles.union(_open_tiles(finer, _open(finer), tile_rows, tile_shingles))
     tiles = scratch.put(tiles)
     scratch.drop(crowd)
-    found = scratch.put(_tile_rows(tiles, sigs).groupBy(*_TILE).applyInArrow(_forests(per_cent, miss), "band long, x int, y int, a long, b long, dropped boolean"))
+    tiles = scratch.put(_tile_rows(tiles, sigs))
+    found = scratch.put(tiles.groupBy(*_TILE).applyInArrow(_forests(per_cent, miss), "band long, x int, y int, a long, b long, dropped boolean"))
     second = scratch.put(_verified(found.select("a", "b").distinct(), docs, per_cent))
     groups = _joined(groups, second, scratch)
 
     # tiles that held back pairs and still are not in one group: their pairs are confirmed in the tile
     late = tiles.join(found.where("dropped").select(*_TILE).distinct(), [*_TILE], "left_semi")
-    late = scratch.put(_grouped(late.drop("grp"), groups))
-    still = late.groupBy(*_TILE).agg(F.min("grp").alias("g0"), F.max("grp").alias("g1")).where("g0 <> g1").select(*_TILE)
-    late = _tile_rows(late.join(still, [*_TILE], "left_semi"), sigs)
+    late = _grouped(late.drop("grp"), groups)
     late = scratch.put(late.groupBy(*_TILE).applyInArrow(_undecided(per_cent, miss), late.schema))
     third = late.join(_sets_of(late.select(F.col("b").alias("doc_id")).distinct(), docs).withColumnRenamed("doc_id", "b"), "b")
     third = scratch.put(third.groupBy(*_TILE).applyInArrow(_confirmed(per_cent, miss), "u long, v long"))

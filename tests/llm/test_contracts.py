@@ -806,6 +806,31 @@ def test_crowded_buckets_cost_no_square(spark, make_docs, monkeypatch):
     assert made[1] <= 6 * made[0], made  # four times the documents
 
 
+def test_variants_meet_at_their_base(spark, make_docs, monkeypatch):
+    rng = np.random.default_rng(5)
+    base = [f"w{k}" for k in range(150)]
+    table = [(900, " ".join(base))]
+    for k in range(60):  # each is linked with the base, which has the largest id, and mostly with no other
+        own = list(base)
+        for at in (10 + k, 80 + rng.integers(60)):
+            own[at] = f"v{k}_{at}"
+        table.append((k, " ".join(own)))
+    put, dealt = minhash.Scratch.put, []
+
+    def counted(self, df):
+        out = put(self, df)
+        if out.columns[:3] == ["band", "x", "y"] and "part" in out.columns:
+            dealt.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash.Scratch, "put", counted)
+    for tile_rows in (1024, 16):
+        dealt.clear()
+        found = minhash.near_duplicates(make_docs(table), tile_rows=tile_rows).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute_force(table, 85)
+        assert max(dealt) <= len(table), dealt
+
+
 def test_texts_that_are_not_wanted_are_not_shuffled(spark, make_docs):
     docs = make_docs([(k, f"a b c d e f {k}") for k in range(3000)] + [(None, "a b"), (7, "a b c d e f 7")])
     wanted = docs.where("doc_id % 100 = 7").select("doc_id").distinct()
