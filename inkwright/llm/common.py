@@ -181,17 +181,22 @@ class IdTable:
     """Token ids by 64-bit hash: an open-addressed table over one array of ids, for one worker.
 
     Each entry keeps the characters it stands for, and an entry found by hash is only used for the same characters.
-    It holds at most `most` entries; when that is exceeded it starts afresh.
+    It holds at most `most` entries besides those of one call; when that is exceeded it starts afresh. It begins with 2**bits slots and gets more
+    when one call has more new words than fit.
     """
 
-    def __init__(self, most: int = 1_000_000, bits: int = 21):
-        self.most, self.bits = most, bits
+    def __init__(self, most: int = 1_000_000, bits: int = 21, kind: type = np.uint32):
+        self.most, self.least_bits, self.kind = most, bits, kind
         self.clear()
 
     def clear(self) -> None:
-        self.keys = np.zeros(1 << self.bits, _U64)
-        self.place = np.zeros(1 << self.bits, np.int32)
-        self.ids, self.characters = _Lists(np.int32), _Lists(np.uint32)
+        self._slots(self.least_bits)
+        self.ids, self.characters = _Lists(np.int32), _Lists(self.kind)
+
+    def _slots(self, bits: int) -> None:
+        self.bits, self.filled = bits, 0
+        self.keys = np.zeros(1 << bits, _U64)
+        self.place = np.zeros(1 << bits, np.int32)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The entry of each hash, -1 where there is none."""
@@ -210,8 +215,20 @@ class IdTable:
         """New entries for distinct, absent hashes: ids, how many each has, and the same of characters; a hash 0 is never found again."""
         entries = self.ids.append(ids, counts)
         self.characters.append(characters, sizes)
-        todo = np.flatnonzero(hashes)
-        at = (hashes[todo] >> _U64(64 - self.bits)).astype(np.int64)
+        known = np.flatnonzero(hashes)
+        if 4 * (self.filled + len(known)) > 3 << self.bits:  # a table without free slots would be searched for ever
+            used = np.flatnonzero(self.keys)
+            keys, place = self.keys[used], self.place[used]
+            self._slots((4 * (len(used) + len(known)) // 3).bit_length())
+            self._fill(keys, place)
+        self._fill(hashes[known], entries[known])
+        return entries
+
+    def _fill(self, hashes: np.ndarray, entries: np.ndarray) -> None:
+        """Slots for distinct, absent hashes other than 0."""
+        self.filled += len(hashes)
+        todo = np.arange(len(hashes))
+        at = (hashes >> _U64(64 - self.bits)).astype(np.int64)
         while len(todo):
             free = np.flatnonzero(self.keys[at] == 0)
             slot, first = np.unique(at[free], return_index=True)
@@ -221,7 +238,6 @@ class IdTable:
             rest[won] = False
             todo, at = todo[rest], at[rest]
             at = np.where(self.keys[at] != 0, at + 1 & (1 << self.bits) - 1, at)
-        return entries
 
     def resolve(self, hashes: np.ndarray, values: np.ndarray, first: np.ndarray, after: np.ndarray, code) -> np.ndarray:
         """Entries of all spans (first, after) of the values; `code` makes the ids of the spans, given as indices, that are new, and their numbers."""
@@ -347,6 +363,19 @@ def batches_by_bytes(lengths: np.ndarray, most: int):
         yield start, len(lengths)
 
 
+#: Bytes of text that a worker works on at once: its arrays of words take some dozen times as much.
+PART_BYTES = 1 << 18
+
+
+def text_parts(array, most: int = PART_BYTES):
+    """Ranges (first, after) of a string array with about `most` bytes each, with their slice; a longer text stands alone, null is empty."""
+    import pyarrow.compute as pc
+
+    lengths = pc.fill_null(pc.binary_length(array), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    for i, j in batches_by_bytes(lengths, most):
+        yield i, j, array.slice(i, j - i)
+
+
 def tidied(scan):
     """A function over batches that gives a worker's unused memory back when its task ends: idle workers stay small."""
 

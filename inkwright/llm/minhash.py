@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkwright.llm.common import Scratch, batches_by_bytes, mix, perhaps_among, tidied, utf8_rows, word_hashes
+from inkwright.llm.common import Scratch, mix, perhaps_among, text_parts, tidied, utf8_rows, word_hashes
 from inkwright.llm.components import connected_components
 
 SHINGLE_WORDS = 5
@@ -79,10 +79,9 @@ def fingerprints(docs: DataFrame, seed: int) -> DataFrame:
 
     def scan(batches):
         for batch in batches:
-            texts = utf8_rows(batch.column("text"))
             ids = batch.column("doc_id")
-            for i, j in batches_by_bytes(np.fromiter(map(len, texts), np.int64, len(texts)), 1 << 20):
-                shingles, counts = shingle_hashes(*word_hashes(texts[i:j]))
+            for i, j, part in text_parts(batch.column("text")):
+                shingles, counts = shingle_hashes(*word_hashes(utf8_rows(part)))
                 size = np.zeros(j - i, np.int64)
                 digest = np.zeros((2, j - i), np.int64)
                 sig: list[bytes | None] = [None] * (j - i)
@@ -161,9 +160,8 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 
     def scan(batches):
         for batch in batches:
-            texts = utf8_rows(batch.column("text"))
-            for i, j in batches_by_bytes(np.fromiter(map(len, texts), np.int64, len(texts)), 1 << 20):
-                shingles, counts = shingle_hashes(*word_hashes(texts[i:j]))
+            for i, j, part in text_parts(batch.column("text")):
+                shingles, counts = shingle_hashes(*word_hashes(utf8_rows(part)))
                 sets = _distinct(shingles, counts)
                 offsets = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
                 values = np.concatenate(sets).astype(np.int64) if sets else np.zeros(0, np.int64)

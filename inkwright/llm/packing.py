@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkwright.llm.common import IdTable, batches_by_bytes, code_points, cut, in_a_row, spans, tidied
+from inkwright.llm.common import IdTable, code_points, cut, in_a_row, spans, text_parts, tidied
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PACKED = _PIECES + ", sequence_id long, offset long"
@@ -67,7 +67,7 @@ class WordTokens:
         self.lower = np.arange(0x251, dtype="<u4")
         for c in np.flatnonzero(self.kinds < ODD):
             self.lower[c] = ord(chr(c).lower())
-        self.table = IdTable()
+        self.table = IdTable(most=1 << 19, bits=20, kind=np.uint16)  # lower-cased characters below U+0250 are below 2**16
         # a vocabulary with another word split gets every text whole
         self.splits = True
         self.splits = self.encode([*self.PROBES]) == self._ids([*self.PROBES])
@@ -156,11 +156,9 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end
         tokens = tokens_of(tokenizer_path)
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
-            texts = batch.column("text")
-            sizes = np.asarray(texts.nbytes // max(1, len(ids)) * np.ones(len(ids)))
-            for i, j in batches_by_bytes(sizes, 1 << 20):
+            for i, j, part in text_parts(batch.column("text")):
                 rows: list[tuple] = []
-                for doc, encoded in zip(ids[i:j], tokens.encode([t or "" for t in texts.slice(i, j - i).to_pylist()])):
+                for doc, encoded in zip(ids[i:j], tokens.encode([t or "" for t in part.to_pylist()])):
                     encoded += end
                     for n, at in enumerate(range(0, len(encoded), step)):
                         part = encoded[at : at + step]

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwright.llm.common import Scratch, batches_by_bytes, mix, tidied, utf8_rows, word_hashes
+from inkwright.llm.common import Scratch, mix, text_parts, tidied, utf8_rows, word_hashes
 
 _U64 = np.uint64
 _SCORES = "doc_id long, log_weight double, key double"
@@ -82,9 +82,9 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 17, sharpness: f
     def count(batches):
         raw, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
         for batch in batches:
-            texts, ids = utf8_rows(batch.column("text")), batch.column("doc_id").to_pylist()
-            for i, j in batches_by_bytes(np.fromiter(map(len, texts), np.int64, len(texts)), 1 << 20):
-                grams, owner = ngram_buckets(texts[i:j], buckets)
+            ids = batch.column("doc_id").to_pylist()
+            for i, j, part in text_parts(batch.column("text")):
+                grams, owner = ngram_buckets(utf8_rows(part), buckets)
                 good = np.fromiter((x in wanted for x in ids[i:j]), bool, j - i)
                 own, times = np.unique(owner * buckets + grams, return_counts=True)
                 bucket, times = own % buckets, times if plain else np.rint(np.log2(times + 1.0) * _UNIT)
@@ -107,9 +107,9 @@ def scores(docs: DataFrame, model: Resampler) -> DataFrame:
 
     def scan(batches):
         for batch in batches:
-            texts, ids = utf8_rows(batch.column("text")), batch.column("doc_id").to_numpy()
-            for i, j in batches_by_bytes(np.fromiter(map(len, texts), np.int64, len(texts)), 1 << 20):
-                weight, key = model.weigh(ids[i:j], texts[i:j])
+            ids = batch.column("doc_id").to_numpy()
+            for i, j, part in text_parts(batch.column("text")):
+                weight, key = model.weigh(ids[i:j], utf8_rows(part))
                 yield pa.RecordBatch.from_arrays([pa.array(ids[i:j]), pa.array(weight, from_pandas=True), pa.array(key, from_pandas=True)], ["doc_id", "log_weight", "key"])
 
     return _slim(docs).mapInArrow(tidied(scan), _SCORES)
@@ -199,10 +199,9 @@ def keep_drawn(docs: DataFrame, labels: DataFrame, size: int | str | None = None
 
     def scan(batches):
         for batch in batches:
-            texts = utf8_rows(batch.column(columns.index("text")))
             ids = np.asarray([-(2**63) if x is None else x for x in batch.column(columns.index("doc_id")).to_pylist()], np.int64)
-            for i, j in batches_by_bytes(np.fromiter(map(len, texts), np.int64, len(texts)), 1 << 20):
-                _, key = model.weigh(ids[i:j], texts[i:j])
+            for i, j, part in text_parts(batch.column(columns.index("text"))):
+                _, key = model.weigh(ids[i:j], utf8_rows(part))
                 kept = ~np.isnan(key) & (np.trunc(np.nan_to_num(key) * float(1 << 20)).astype(np.int64) + (1 << 60) >= edge)
                 yield batch.slice(i, j - i).filter(pa.array(kept))
 

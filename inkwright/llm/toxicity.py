@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwright.llm.common import Scratch, batches_by_bytes, stem_hashes, tidied, utf8_rows
+from inkwright.llm.common import Scratch, stem_hashes, text_parts, tidied, utf8_rows
 from inkwright.llm.quality import labelled_sample
 
 #: Bytes of a word's beginning that are features besides the whole word: inflected forms share their stem.
@@ -180,9 +180,9 @@ def score(docs: DataFrame, model: OrdinalModel) -> DataFrame:
 
     def scan(batches):
         for batch in batches:
-            texts, ids = utf8_rows(batch.column("text")), batch.column("doc_id")
-            for i, j in batches_by_bytes(np.fromiter(map(len, texts), np.int64, len(texts)), 1 << 20):
-                severity, probability = model.severity(texts[i:j])
+            ids = batch.column("doc_id")
+            for i, j, part in text_parts(batch.column("text")):
+                severity, probability = model.severity(utf8_rows(part))
                 yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(severity), pa.array(probability), pa.array(np.rint(severity).astype(np.int32))], ["doc_id", "severity", "toxic_probability", "grade"])
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -211,8 +211,7 @@ def keep_civil(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
     def scan(batches):
         for batch in batches:
-            texts = utf8_rows(batch.column(columns.index("text")))
-            for i, j in batches_by_bytes(np.fromiter(map(len, texts), np.int64, len(texts)), 1 << 20):
-                yield batch.slice(i, j - i).filter(pa.array(model.severity(texts[i:j])[1] < 0.5))
+            for i, j, part in text_parts(batch.column(columns.index("text"))):
+                yield batch.slice(i, j - i).filter(pa.array(model.severity(utf8_rows(part))[1] < 0.5))
 
     return docs.mapInArrow(tidied(scan), docs.schema)

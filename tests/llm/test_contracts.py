@@ -5,10 +5,12 @@ import itertools
 import math
 import re
 import time
+import tracemalloc
 import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import SMALL, oracle, rows
 from hypothesis import given, settings
@@ -62,6 +64,43 @@ def test_id_table_tells_words_of_one_hash_apart():
         assert bytes(ids.astype(np.uint8)) == b"abcabdababc" and sizes.tolist() == [3, 3, 2, 3]
 
 
+def test_id_table_holds_more_new_words_than_it_has_slots():
+    table, rng = IdTable(most=50, bits=4), np.random.default_rng(0)
+    for size in (10, 1000, 7, 300):
+        h = rng.integers(1, 1 << 62, size).astype(np.uint64)
+        n = np.arange(size)
+        ids, sizes = table.gather(table.resolve(h, h.astype(np.uint32), n, n + 1, lambda at: ((h[at] % np.uint64(97)).astype(np.int32), np.ones(len(at), np.int64))))
+        assert ids.tolist() == (h % np.uint64(97)).tolist() and (sizes == 1).all() and np.count_nonzero(table.keys) < len(table.keys)
+
+
+class Captured:
+    """Documents that return the function over batches instead of its result."""
+
+    columns, schema = ["doc_id", "text"], None
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, scan, _):
+        return scan
+
+
+def test_workers_hold_little_beside_their_batch(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 5000, 400)) for _ in range(4000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    stems = np.unique(rng.integers(0, 1 << 62, 2000).astype(np.uint64))
+    model = toxicity.OrdinalModel(stems, np.ones(len(stems)), np.ones(3), np.ones(1 << 20, bool))
+    monkeypatch.setattr(toxicity, "fit", lambda *_: model)
+    packing.tokens_of(packing.default_tokenizer()).encode(texts)
+    scans = [quality.scores(Captured(), quality.Resampler(np.zeros(1 << 17, np.float32), 1.0, 5)), toxicity.keep_civil(Captured(), None), minhash.shingle_sets(Captured()), packing.token_pieces(Captured(), packing.default_tokenizer())]
+    for scan in scans:
+        tracemalloc.start()
+        assert sum(out.num_rows for out in scan(iter([batch]))) == len(texts)
+        assert tracemalloc.get_traced_memory()[1] < 40e6
+        tracemalloc.stop()
+
+
 def twins():
     """Pairs of words that differ and that every polynomial hash modulo 2**64 takes for one."""
     for n in (10, 11, 12):
